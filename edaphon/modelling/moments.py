@@ -257,20 +257,81 @@ def study(samples: DataFrame, points: int, folds: int = 5) -> Study:
     return Study(samples, points, shift_x, shift_y, holdout_moments(blocks, folds))
 
 
+def list_array(matrix: np.ndarray) -> pa.Array:
+    """A dense matrix as a list column."""
+    rows, width = matrix.shape
+    offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * width)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(matrix).ravel()))
+
+
+def by_target(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+    """Row numbers of each target in a batch."""
+    names = batch.column("target").to_pandas()
+    return names.groupby(names).indices
+
+
 def affine(samples: DataFrame, kept: list[str], points: int, centre: np.ndarray, matrix: np.ndarray,
            output: str = "features") -> DataFrame:
-    """``(spectrum - centre) @ matrix`` as an array column beside the kept columns: projection and
-    linear prediction in one product per batch. A vector for ``matrix`` scales each feature."""
-    schema = T.StructType(
-        [samples.schema[c] for c in kept] + [T.StructField(output, T.ArrayType(T.DoubleType()))]
-    )
+    """``(spectrum - centre) @ matrix`` as an array column beside the kept columns, one product per
+    batch. A vector for ``matrix`` scales each feature."""
+    schema = T.StructType([samples.schema[c] for c in kept] + [T.StructField(output, T.ArrayType(T.DoubleType()))])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             z = matrix_of(batch.column("spectrum"), points) - centre
             z = z * matrix if matrix.ndim == 1 else z @ matrix
-            offsets = np.arange(0, z.size + 1, max(z.shape[1], 1), dtype=np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(z.ravel()))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], lists], names=[*kept, output])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], list_array(z)], names=[*kept, output])
 
     return samples.select(*kept, "spectrum").mapInArrow(apply, schema)
+
+
+def project_all(samples: DataFrame, points: int, bases: dict[str, list]) -> DataFrame:
+    """``(target, holdout, ssn, fold, y, features)``: each sample on each of its target's bases,
+    given as ``{target: [(holdout, centre, matrix)]}``."""
+    shared = samples.sparkSession.sparkContext.broadcast(bases)
+    names = ["ssn", "fold", "y"]
+    schema = "target string, holdout int, ssn string, fold int, y double, features array<double>"
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = matrix_of(batch.column("spectrum"), points)
+            for target, rows in by_target(batch).items():
+                own = batch.take(pa.array(rows))
+                for holdout, centre, matrix in shared.value.get(target, []):
+                    columns = [
+                        own.column("target"),
+                        pa.array(np.full(len(rows), holdout, dtype=np.int32)),
+                        *[own.column(c) for c in names],
+                        list_array((x[rows] - centre) @ matrix),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["target", "holdout", *names, "features"])
+
+    return samples.select("target", "ssn", F.col("fold").cast("int").alias("fold"), "y", "spectrum").mapInArrow(apply, schema)
+
+
+def predict_all(samples: DataFrame, points: int, models: dict[str, list]) -> DataFrame:
+    """``(target, ssn, y, model, yhat)`` of linear models ``{target: [(name, intercept, weights)]}``."""
+    packed = {
+        t: (np.column_stack([w for _, _, w in rows]), np.array([i for _, i, _ in rows]), [n for n, _, _ in rows])
+        for t, rows in models.items()
+    }
+    shared = samples.sparkSession.sparkContext.broadcast(packed)
+    schema = "target string, ssn string, y double, models array<string>, yhats array<double>"
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = matrix_of(batch.column("spectrum"), points)
+            for target, rows in by_target(batch).items():
+                if target not in shared.value:
+                    continue
+                weights, intercepts, names = shared.value[target]
+                own = batch.take(pa.array(rows))
+                columns = [
+                    *[own.column(c) for c in ("target", "ssn", "y")],
+                    pa.array([names] * len(rows), pa.list_(pa.string())),
+                    list_array(x[rows] @ weights + intercepts),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["target", "ssn", "y", "models", "yhats"])
+
+    scored = samples.select("target", "ssn", "y", "spectrum").mapInArrow(apply, schema)
+    return scored.select("target", "ssn", "y", F.inline(F.arrays_zip(F.col("models").alias("model"), F.col("yhats").alias("yhat"))))

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,31 +114,28 @@ class History:
 ROUND = "net int, n double, part array<double>, loss double, valid array<double>"
 
 
-def sharded(rows: DataFrame, train: Column, key: str, size: int, seed: int, shard_rows: int) -> tuple[DataFrame, int]:
+def sharded(rows: DataFrame, shards: int, key: str, size: int, seed: int) -> DataFrame:
     """Training rows dealt to shards, in digest order, with the validation rows marked."""
-    chosen = rows.filter(train)
-    shards = max(1, -(-chosen.count() // shard_rows))
     digest = seeded_md5(F.col(key), f"net{seed}")
-    dealt = chosen.select(
+    dealt = rows.select(
         F.substring(digest, 9, 8).alias("_order"),
         F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(shards)).cast("int").alias("_shard"),
         (hex_uniform(digest) < VALID_SHARE).alias("_valid"),
         "y",
         F.slice("features", 1, size).alias("features"),
     )
-    return dealt.repartitionById(shards, "_shard").sortWithinPartitions("_order"), shards
+    return dealt.repartitionById(shards, "_shard").sortWithinPartitions("_order")
 
 
-def train_networks(rows: DataFrame, train: Column, networks: list[Network], key: str = "ssn", rounds: int = 1500,
+def train_networks(rows: DataFrame, n_rows: int, networks: list[Network], key: str = "ssn", rounds: int = 1500,
                    seed: int = 42, shard_rows: int = SHARD_ROWS) -> History:
-    """Trains ``networks`` in place on ``rows`` = ``(key, y, features)`` and stops early.
+    """Trains ``networks`` in place on the ``n_rows`` rows ``(key, y, features)`` and stops early.
 
     Ten rounds without a better validation score end a network's training, its best weights stay.
     The driver holds weights only.
     """
     size = max(n.inputs for n in networks)
-    data, _ = sharded(rows, train, key, size, seed, shard_rows)
-    data = data.persist()
+    data = sharded(rows, max(1, -(-n_rows // shard_rows)), key, size, seed).persist()
     context = rows.sparkSession.sparkContext
     states = [np.stack([w, np.zeros_like(w), np.zeros_like(w)]) for w in (n.initial(seed) for n in networks)]
     steps, stale = [0] * len(networks), [0] * len(networks)

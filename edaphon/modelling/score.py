@@ -9,16 +9,15 @@ from pyspark.sql import functions as F
 RPD_GOOD, RPD_ACCEPTABLE = 2.0, 1.5
 
 
-def require_positive(samples: DataFrame, y: str = "y") -> DataFrame:
-    """Raises, while running, at the first target the logarithm does not exist for."""
+def log_target(samples: DataFrame, targets: list[str] | None = None, y: str = "y") -> DataFrame:
+    """Natural logarithm of y for the named targets, or for all. Scores stay in log space, the
+    inverse is exp. A value the logarithm does not exist for stops the job."""
     value = F.col(y)
     message = F.lit("log_transform needs positive target values")
-    return samples.withColumn(y, F.when(value <= 0, F.raise_error(message).cast("double")).otherwise(value))
-
-
-def log_target(samples: DataFrame, y: str = "y") -> DataFrame:
-    """Natural logarithm of the target; scores stay in log space, the inverse is exp."""
-    return require_positive(samples, y).withColumn(y, F.ln(y))
+    logged = F.when(value <= 0, F.raise_error(message).cast("double")).otherwise(F.ln(value))
+    if targets is not None:
+        logged = F.when(F.col("target").isin(targets), logged).otherwise(value)
+    return samples.withColumn(y, logged)
 
 
 def log_guard(samples: DataFrame, by: list[str], y: str = "y") -> DataFrame:

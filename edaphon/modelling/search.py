@@ -182,7 +182,9 @@ def linear_models(best: DataFrame, reduced: DataFrame, points: int) -> DataFrame
 
 def prune(scores: DataFrame, study: list[str], startup: int = STARTUP_TRIALS, warmup: int = WARMUP_STEPS) -> DataFrame:
     """Adds the running mean of a trial, the median of the earlier trials at the same step, and
-    whether the trial stops there. A study is at most a few hundred trials."""
+    whether the trial stops there. A study is at most a few hundred trials, so each is dealt to one
+    task and both windows, and what follows by study, need no further shuffle."""
+    scores = scores.repartition(*study)
     by_step = Window.partitionBy(*study, "trial").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*study, "step").orderBy("trial").rowsBetween(Window.unboundedPreceding, -1)
     running = scores.withColumn("running_mean", F.avg("score").over(by_step))

@@ -6,7 +6,7 @@ import math
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edaphon.session import shared_dir
@@ -50,13 +50,13 @@ def with_vector(rows: DataFrame, count: int) -> DataFrame:
     return rows.withColumn("vector", array_to_vector(F.slice("features", 1, count)))
 
 
-def fit_boosting(rows: DataFrame, train: Column, model: str, params: dict[str, float], seed: int = 42) -> GBTRegressionModel:
-    """``rows`` is ``(y, features)``; ``train`` picks the rows to fit on."""
+def fit_boosting(rows: DataFrame, n: int, model: str, params: dict[str, float], seed: int = 42) -> GBTRegressionModel:
+    """``rows`` is ``(y, features)`` of the ``n`` training samples."""
     context = rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(rows.sparkSession))
-    chosen = with_vector(rows.filter(train), int(params["pca_n_components"])).select("y", "vector")
-    return regressor(model, params, chosen.count(), seed).fit(chosen)
+    chosen = with_vector(rows, int(params["pca_n_components"])).select("y", "vector")
+    return regressor(model, params, n, seed).fit(chosen)
 
 
 def predict_boosting(fitted: GBTRegressionModel, rows: DataFrame, params: dict[str, float]) -> DataFrame:

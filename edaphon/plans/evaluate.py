@@ -39,6 +39,18 @@ class Options:
     overrides: dict[str, float] = field(default_factory=dict)
 
 
+@dataclass
+class Projections:
+    """Component scores by target and held-out fold, with the sizes of their training parts."""
+
+    rows: DataFrame
+    sizes: dict
+
+    def of(self, target: str, holdout: int) -> tuple[DataFrame, int, int]:
+        own = self.rows.filter((F.col("target") == target) & (F.col("holdout") == holdout))
+        return own, *self.sizes[target, holdout]
+
+
 @dataclass
 class Evaluation:
     results: DataFrame
@@ -51,19 +63,27 @@ class Evaluation:
 
 def samples_of(gold: DataFrame, options: Options) -> DataFrame:
     """``(target, ssn, fold, y, spectrum)`` with the log targets transformed."""
-    logged = F.col("target").isin(list(options.log_targets))
     split = with_folds(gold, "ssn", options.seed, options.folds, options.test_share)
     if options.log_targets:
-        split = split.filter(~logged).unionByName(log_target(split.filter(logged)))
+        split = log_target(split, list(options.log_targets))
     return split.select("target", "ssn", "fold", "y", "spectrum")
 
 
-def components(study: G.Study, row) -> DataFrame:
-    """Scores of one target's samples on the components of one fold's training rows, written once."""
-    matrix = np.array(row["loadings"]).reshape(study.points, -1) / np.array(row["scale"])[:, None]
-    own = study.samples.filter(F.col("target") == row["target"])
-    scores = G.affine(own, ["ssn", "fold", "y"], study.points, np.array(row["mean_x"]), matrix)
-    return materialise(scores, "components")
+def components(study: G.Study, reduced: DataFrame) -> tuple[DataFrame, dict]:
+    """Scores of all samples on the components of every fold's training rows, from one pass:
+    ``(target, holdout, ssn, fold, y, features)``, written by target and holdout. Also the number
+    of training rows and of components per target and holdout."""
+    bases, sizes = {}, {}
+    # a row per target and fold; its size is set by the instrument, not by the data
+    for row in reduced.select("target", "holdout", "n_train", "mean_x", "scale", "loadings").collect():
+        loadings = np.array(row["loadings"]).reshape(study.points, -1)
+        basis = loadings / np.array(row["scale"])[:, None]
+        bases.setdefault(row["target"], []).append((row["holdout"], np.array(row["mean_x"]), basis))
+        sizes[row["target"], row["holdout"]] = (row["n_train"], loadings.shape[1])
+    path = fresh_path(study.samples.sparkSession, "components")
+    G.project_all(study.samples, study.points, bases).write.partitionBy("target", "holdout").parquet(path)
+    schema = "ssn string, fold int, y double, features array<double>, target string, holdout int"
+    return study.samples.sparkSession.read.schema(schema).parquet(path), sizes
 
 
 def network_of(params: dict[str, float], available: int) -> Network:
@@ -82,7 +102,7 @@ def _r2(predictions: DataFrame, by: list[str]) -> DataFrame:
 
 def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Evaluation:
     """``gold`` is ``(target, ssn, y, spectrum)``, best a written table: it is read once for the
-    moments, once per fold for the components if trees or networks take part, and once to predict.
+    moments, once for the components if trees or networks take part, and once to predict.
     """
     options = options or Options()
     spark = gold.sparkSession
@@ -110,12 +130,10 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
 
     scores = S.score_linear(trials, reduced, options.folds)
     heavy = [r.asDict() for r in trials.filter(~F.col("model").isin(S.LINEAR)).orderBy("target", "model", "trial").collect()]
-    folds_of: dict = {}
+    projections: Projections | None = None
     if heavy:
-        # a row per target and fold, loadings included: set by the instrument, not by the data
-        for row in reduced.select("target", "holdout", "mean_x", "scale", "loadings").collect():
-            folds_of[row["target"], row["holdout"]] = components(study, row)
-        rows = _cross_validate(heavy, folds_of, options)
+        projections = Projections(*components(study, reduced))
+        rows = _cross_validate(heavy, projections, options)
         scores = scores.unionByName(spark.createDataFrame(rows, SCORES))
     scores = materialise(scores, "scores")
 
@@ -126,15 +144,14 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
     boosted, networks = {}, {}
     for row in best.filter(~F.col("model").isin(S.LINEAR)).collect():
         target, model, params = row["target"], row["model"], row["params"]
-        rows = folds_of[target, TEST]
-        train, test = F.col("fold") >= 0, rows.filter(F.col("fold") == TEST)
+        rows, n, available = projections.of(target, TEST)
+        train, test = rows.filter(F.col("fold") >= 0), rows.filter(F.col("fold") == TEST)
         if model in BOOSTED:
-            fitted = boosted[target, model] = fit_boosting(rows, train, model, params, options.seed)
+            fitted = boosted[target, model] = fit_boosting(train, n, model, params, options.seed)
             predicted = predict_boosting(fitted, test, params)
         else:
-            available = len(rows.select("features").first()[0])
             network = networks[target, model] = network_of(params, available)
-            train_networks(rows, train, [network], rounds=options.network_rounds, seed=options.seed)
+            train_networks(train, n, [network], rounds=options.network_rounds, seed=options.seed)
             predicted = predict_networks(test, [network], network.inputs, ["ssn", "y"])
         named = predicted.withColumn("target", F.lit(target)).withColumn("model", F.lit(model))
         parts.append(named.select(*PREDICTIONS))
@@ -146,29 +163,30 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
     return Evaluation(results, predictions, linear, study.samples, boosted, networks)
 
 
-def _cross_validate(heavy: list[dict], folds_of: dict, options: Options) -> list[tuple]:
+def _cross_validate(heavy: list[dict], projections: Projections, options: Options) -> list[tuple]:
     """Held-out scores of trees and networks. Fits are Spark jobs of their own; some run side by
     side so that a small one does not leave the cluster idle."""
 
+    def parts(target: str, fold: int) -> tuple[DataFrame, DataFrame, int, int]:
+        rows, n, available = projections.of(target, fold)
+        number = F.col("fold")
+        return rows.filter((number >= 0) & (number != fold)), rows.filter(number == fold), n, available
+
     def boosted(job) -> tuple:
         trial, fold = job
-        rows = folds_of[trial["target"], fold]
-        train = (F.col("fold") >= 0) & (F.col("fold") != fold)
-        fitted = fit_boosting(rows, train, trial["model"], trial["params"], options.seed)
-        held = predict_boosting(fitted, rows.filter(F.col("fold") == fold), trial["params"])
-        return trial["target"], trial["model"], trial["trial"], fold, _r2(held, []).first()["score"]
+        train, held, n, _ = parts(trial["target"], fold)
+        fitted = fit_boosting(train, n, trial["model"], trial["params"], options.seed)
+        scored = _r2(predict_boosting(fitted, held, trial["params"]), []).collect()
+        return trial["target"], trial["model"], trial["trial"], fold, scored[0]["score"]
 
     def network(job) -> list[tuple]:
         target, fold = job
-        rows = folds_of[target, fold]
+        train, held, n, available = parts(target, fold)
         own = [t for t in heavy if t["target"] == target and t["model"] == NETWORK]
-        available = len(rows.select("features").first()[0])
         nets = [network_of(t["params"], available) for t in own]
-        train = (F.col("fold") >= 0) & (F.col("fold") != fold)
-        train_networks(rows, train, nets, rounds=options.network_rounds, seed=options.seed)
-        size = max(n.inputs for n in nets)
-        held = predict_networks(rows.filter(F.col("fold") == fold), nets, size, ["ssn", "y"])
-        return [(target, NETWORK, own[r["net"]]["trial"], fold, r["score"]) for r in _r2(held, ["net"]).collect()]
+        train_networks(train, n, nets, rounds=options.network_rounds, seed=options.seed)
+        scored = predict_networks(held, nets, max(n.inputs for n in nets), ["ssn", "y"])
+        return [(target, NETWORK, own[r["net"]]["trial"], fold, r["score"]) for r in _r2(scored, ["net"]).collect()]
 
     folds = range(options.folds)
     tree_jobs = [(t, f) for t in heavy if t["model"] in BOOSTED for f in folds]
@@ -181,24 +199,13 @@ def _cross_validate(heavy: list[dict], folds_of: dict, options: Options) -> list
 
 
 def predict_linear(study: G.Study, linear: DataFrame) -> DataFrame:
-    """Predictions of all linear models for the test rows, one matrix product per batch and target."""
+    """Predictions of all linear models for the test rows: one scan, one matrix product per batch
+    and target."""
     models: dict[str, list] = {}
     for row in linear.orderBy("target", "model").collect():
-        models.setdefault(row["target"], []).append(row)
-    parts = []
-    for target, rows in models.items():
-        matrix = np.column_stack([r["coefficients"] for r in rows])
-        test = study.samples.filter((F.col("target") == target) & (F.col("fold") == TEST))
-        scored = G.affine(test, ["target", "ssn", "y"], study.points, np.zeros(study.points), matrix, "products")
-        pairs = [
-            F.struct(F.lit(r["model"]).alias("model"), (F.get("products", F.lit(i)) + r["intercept"]).alias("yhat"))
-            for i, r in enumerate(rows)
-        ]
-        parts.append(scored.select("target", "ssn", "y", F.inline(F.array(*pairs))).select(*PREDICTIONS))
-    combined = parts[0]
-    for part in parts[1:]:
-        combined = combined.unionByName(part)
-    return combined
+        models.setdefault(row["target"], []).append((row["model"], row["intercept"], np.array(row["coefficients"])))
+    test = study.samples.filter(F.col("fold") == TEST)
+    return G.predict_all(test, study.points, models).select(*PREDICTIONS)
 
 
 def result_table(predictions: DataFrame, best: DataFrame, linear: DataFrame, reduced: DataFrame, points: int,

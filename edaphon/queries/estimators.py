@@ -126,8 +126,9 @@ def cv_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_first_point(spark: SparkSession, sf: str) -> DataFrame:
+    """The Gold rows with one spectral point, written once for the passes that follow."""
     rows = with_folds(gold(spark, sf).withColumn("spectrum", F.slice("spectrum", 1, 1)), "ssn")
-    return rows.select("target", "ssn", "fold", "y", "spectrum")
+    return materialise(rows.select("target", "ssn", "fold", "y", "spectrum"), "gold-first-point")
 
 
 TARGETS_SQL = f"""{GOLD_SQL},
@@ -164,7 +165,7 @@ def all_targets_baseline(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gold_shape(spark: SparkSession, sf: str) -> DataFrame:
-    rows = gold_first_point(spark, sf).filter("fold >= 0")
+    rows = with_folds(gold(spark, sf), "ssn").filter("fold >= 0")
     return rows.groupBy("target").agg(F.count("*").alias("n_train"), F.lit(POINTS).alias("points"))
 
 
@@ -219,9 +220,16 @@ def trial_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return long.withColumn("value", F.round("value", 9))
 
 
+def _components(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, int]:
+    """Component scores of all planted samples and of the training ones, and how many those are."""
+    rows = materialise(projected(spark, sf), "components")
+    train = rows.filter("fold >= 0")
+    return rows, train, train.count()
+
+
 def _boosting(spark: SparkSession, sf: str, model: str, **params: float) -> DataFrame:
-    rows = materialise(projected(spark, sf).join(planted(spark, sf).select("ssn", "y"), "ssn"), "components")
-    fitted = fit_boosting(rows, F.col("fold") >= 0, model, params)
+    rows, train, n = _components(spark, sf)
+    fitted = fit_boosting(train, n, model, params)
     scored = predict_boosting(fitted, rows, params).withColumn("part", _part())
     return regression_metrics(scored, ["part"])
 
@@ -249,9 +257,9 @@ def gbt_fit_leafwise_space(spark: SparkSession, sf: str) -> DataFrame:
 @query("mlp_fit")
 def mlp_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Two networks trained in one pass per round, and their scores on both parts."""
-    rows = materialise(projected(spark, sf).join(planted(spark, sf).select("ssn", "y"), "ssn"), "components")
+    rows, train, n = _components(spark, sf)
     nets = [Network(POINTS, (64,), "relu", 1e-4, 1e-2), Network(32, (32, 16), "tanh", 1e-3, 1e-2)]
-    train_networks(rows, F.col("fold") >= 0, nets, rounds=20)
+    train_networks(train, n, nets, rounds=20)
     scored = predict_networks(rows, nets, POINTS, ["ssn", "fold", "y"]).withColumn("part", _part())
     return regression_metrics(scored, ["net", "part"])
 

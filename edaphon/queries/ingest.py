@@ -106,9 +106,9 @@ def bronze_counters(spark: SparkSession, sf: str) -> DataFrame:
 @query("bronze_copy")
 def bronze_copy(spark: SparkSession, sf: str) -> DataFrame:
     """Copies the files of the spectra and laboratory tables; one prefix holds nothing."""
-    source = M.object_manifest(spark, sf)
-    target = fresh_path(spark, "bronze")
     prefixes = ["embeddings", "part", "customer", "orders", "zz/none/"]
+    source = M.prefix_manifest(spark, sf, prefixes)
+    target = fresh_path(spark, "bronze")
     before = M.object_manifest(spark, target)
     audit = copy_objects(source, before, M.bare_path(sf), M.bare_path(target), prefixes, DEST, RUN)
     return audit.select("prefix", "source_key", "dest_key", "source_size", "dest_size", "status", "error_message")
@@ -225,7 +225,9 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """A laboratory table through CSV, as the laboratories deliver it."""
     path = fresh_path(spark, "lab-csv")
     # the header of one column starts with a blank, and some keys are blanks only
-    raw_labs(spark, sf)["cropnuts"].write.options(header="true", ignoreLeadingWhiteSpace="false").csv(path)
+    raw_labs(spark, sf)["cropnuts"].write.options(
+        header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(path)
     return read_lab_csv(spark, path, "cropnuts").toDF("ssn", "pct_c", "olsen", "exbas")
 
 

@@ -130,7 +130,7 @@ def projected(spark: SparkSession, sf: str) -> DataFrame:
     study = G.study(planted(spark, sf), POINTS)
     row = study.reduced().filter(F.col("holdout") == TEST).select("mean_x", "scale", "loadings").collect()[0]
     matrix = np.array(row["loadings"]).reshape(POINTS, -1) / np.array(row["scale"])[:, None]
-    return G.affine(study.samples, ["ssn", "fold"], POINTS, np.array(row["mean_x"]), matrix)
+    return G.affine(study.samples, ["ssn", "fold", "y"], POINTS, np.array(row["mean_x"]), matrix)
 
 
 @query("pca_project")

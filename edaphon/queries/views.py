@@ -175,13 +175,10 @@ PREFIX_SQL = "(values " + ", ".join(f"('{p}')" for p in PREFIXES) + ") as listed
 
 def trial_log(spark: SparkSession, sf: str) -> DataFrame:
     """``(study, trial, step, score)``: studies of up to 100 trials and five steps."""
-    events = table(spark, sf, "events")
+    step = (F.col("event_id") % 5).cast("int").alias("step")
+    means = table(spark, sf, "events").groupBy("event_type", "user_id", step).agg(F.avg("value").alias("score"))
     study = F.concat_ws("/", "event_type", F.expr("user_id div 100").cast("string"))
-    return events.groupBy(
-        study.alias("study"),
-        (F.col("user_id") % 100).cast("int").alias("trial"),
-        (F.col("event_id") % 5).cast("int").alias("step"),
-    ).agg(F.avg("value").alias("score"))
+    return means.select(study.alias("study"), (F.col("user_id") % 100).cast("int").alias("trial"), "step", "score")
 
 
 TRIAL_LOG_SQL = """

@@ -10,7 +10,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edaphon.session import fresh_path
+from edaphon.session import materialise
 from edaphon.sources.manifest import empty_prefixes, with_prefixes, without_folders
 
 # Messages of the audit.
@@ -36,6 +36,20 @@ def copy_status() -> F.Column:
     )
 
 
+def _listed(source: DataFrame, prefixes: list[str], dest_prefix: str) -> DataFrame:
+    return with_prefixes(without_folders(source), prefixes).select(
+        "prefix",
+        F.col("key").alias("source_key"),
+        F.col("size").alias("source_size"),
+        F.concat(F.lit(dest_prefix), "key").alias("dest_key"),
+    )
+
+
+def _stamped(audit: DataFrame, run: dict[str, str]) -> DataFrame:
+    stamps = {c: F.lit(run[c]) for c in ("execution_utc", "source_bucket", "dest_bucket")}
+    return audit.withColumns(stamps).select(*AUDIT_COLUMNS)
+
+
 def copy_audit(source: DataFrame, before: DataFrame, after: DataFrame, prefixes: list[str], dest_prefix: str,
                run: dict[str, str]) -> DataFrame:
     """The audit of a copy from listings of the source and of the destination before and after.
@@ -43,12 +57,7 @@ def copy_audit(source: DataFrame, before: DataFrame, after: DataFrame, prefixes:
     ``run`` gives execution_utc, source_bucket and dest_bucket. Object keys are unique within a
     listing, so neither join can be skewed.
     """
-    objects = with_prefixes(without_folders(source), prefixes).select(
-        "prefix",
-        F.col("key").alias("source_key"),
-        F.col("size").alias("source_size"),
-        F.concat(F.lit(dest_prefix), "key").alias("dest_key"),
-    )
+    objects = _listed(source, prefixes, dest_prefix)
     listed = objects.join(
         before.select(F.col("key").alias("dest_key"), F.col("size").alias("size_before")), "dest_key", "left"
     ).join(after.select(F.col("key").alias("dest_key"), F.col("size").alias("size_after")), "dest_key", "left")
@@ -63,10 +72,7 @@ def copy_audit(source: DataFrame, before: DataFrame, after: DataFrame, prefixes:
         .when(F.col("status") == "copied_with_size_mismatch", MISMATCH_MESSAGE)
         .otherwise("")
     )
-    stamped = audit.withColumn("error_message", message)
-    for name in ("execution_utc", "source_bucket", "dest_bucket"):
-        stamped = stamped.withColumn(name, F.lit(run[name]))
-    return stamped.select(*AUDIT_COLUMNS)
+    return _stamped(audit.withColumn("error_message", message), run)
 
 
 def _open(root: str) -> tuple[arrow_fs.FileSystem, str]:
@@ -99,7 +105,7 @@ def _copy_one(source, source_path: str, dest, dest_path: str) -> int:
 
 
 def copy_objects(source: DataFrame, before: DataFrame, source_root: str, dest_root: str, prefixes: list[str],
-                 dest_prefix: str, run: dict[str, str], tasks: int = 64) -> DataFrame:
+                 dest_prefix: str, run: dict[str, str], tasks: int | None = None) -> DataFrame:
     """Copies what the destination lacks and returns the written audit.
 
     What to copy is decided once, from the listing ``before``; a repeated task copies its objects
@@ -107,16 +113,10 @@ def copy_objects(source: DataFrame, before: DataFrame, source_root: str, dest_ro
     ``failed`` row. Bytes go from store to store through the tasks, never through the driver.
     """
     spark = source.sparkSession
-    objects = with_prefixes(without_folders(source), prefixes).select(
-        "prefix",
-        F.col("key").alias("source_key"),
-        F.col("size").alias("source_size"),
-        F.concat(F.lit(dest_prefix), "key").alias("dest_key"),
-    )
+    tasks = tasks or 4 * spark.sparkContext.defaultParallelism
+    objects = _listed(source, prefixes, dest_prefix)
     known = before.select(F.col("key").alias("dest_key"), F.col("size").alias("size_before"))
-    plan_path = fresh_path(spark, "copy-plan")
-    objects.join(known, "dest_key", "left").write.parquet(plan_path)
-    plan = spark.read.parquet(plan_path)
+    plan = materialise(objects.join(known, "dest_key", "left"), "copy-plan")
 
     def run_copies(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         (from_fs, from_root), (to_fs, to_root) = _open(source_root), _open(dest_root)
@@ -148,11 +148,7 @@ def copy_objects(source: DataFrame, before: DataFrame, source_root: str, dest_ro
         .otherwise(F.coalesce("copy_error", F.lit("")))
     )
     audit = judged.withColumn("dest_size", F.coalesce("size_before", "size_after")).withColumn("error_message", message)
-    for name in ("execution_utc", "source_bucket", "dest_bucket"):
-        audit = audit.withColumn(name, F.lit(run[name]))
-    audit_path = fresh_path(spark, "copy-audit")
-    audit.select(*AUDIT_COLUMNS).write.parquet(audit_path)
-    return spark.read.parquet(audit_path)
+    return materialise(_stamped(audit, run), "copy-audit")
 
 
 def copy_counters(audit: DataFrame) -> DataFrame:

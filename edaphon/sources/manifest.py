@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,13 +20,14 @@ def bare_path(root: str) -> str:
     return text
 
 
-def object_manifest(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """``(key, size)`` of each file below ``root``; the file contents are never read."""
+def object_manifest(spark: SparkSession, root: str, glob: str | None = None, prefix: str = "") -> DataFrame:
+    """``(key, size)`` of each file below ``root``, or of those whose key starts with ``prefix``;
+    the file contents are never read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     try:
-        files = reader.load(root)
+        files = reader.load(f"{root.rstrip('/')}/{prefix}*" if prefix else root)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
             raise
@@ -33,6 +36,14 @@ def object_manifest(spark: SparkSession, root: str, glob: str | None = None) ->
     return files.select(relative_key(F.col("path"), below).alias("key"), F.col("length").alias("size"))
 
 
+def prefix_manifest(spark: SparkSession, root: str, prefixes: list[str]) -> DataFrame:
+    """The objects below the configured prefixes, listed prefix by prefix; the rest of the store is
+    not listed. Overlapping prefixes list an object once."""
+    own = [p for p in prefixes if not any(p != q and p.startswith(q) for q in prefixes)]
+    parts = [object_manifest(spark, root, prefix=p) for p in own]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def relative_key(path: Column, below: str) -> Column:
     start = F.locate(below, path)
     return F.when(start > 0, F.substr(path, start + F.lit(len(below)))).otherwise(path)
