@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edaphon.functions.keys import blank_to_null, with_snake_names
+from edaphon.operators.quality import key_census
 from edaphon.sources.lab_tables import KEY, LAB_TARGETS
 
 # Columns that describe a measurement file and do not reach Silver.
@@ -17,23 +18,55 @@ LINEAGE_COLUMNS = [
 ]
 
 
-def full_outer(left: DataFrame, right: DataFrame, key: str = KEY) -> DataFrame:
+HOT_ROWS = 1_000_000  # a key with more rows than this in one table is spread over several tasks
+HOT_KEYS = 10_000  # the hottest keys that are; any other holds less than a ten-thousandth of the rows
+SALTS = 64
+
+
+def hot_keys(tables: dict[str, DataFrame], key: str = KEY, hot_rows: int = HOT_ROWS) -> dict[str, list]:
+    """The keys with many rows, per table. Counts are added up before the shuffle."""
+    census = key_census(tables, key)
+    most = F.greatest(*[F.col(t) for t in tables]) if len(tables) > 1 else F.col(next(iter(tables)))
+    hot = census.filter(F.col("key").isNotNull() & (most > hot_rows)).orderBy(most.desc(), "key").limit(HOT_KEYS)
+    rows = hot.collect()
+    return {t: [r["key"] for r in rows if r[t] > hot_rows] for t in tables}
+
+
+def full_outer(left: DataFrame, right: DataFrame, key: str = KEY, hot_left: list = (), hot_right: list = (),
+               salts: int = SALTS) -> DataFrame:
     """Full outer join on ``key``, every row kept and duplicates multiplied.
 
-    Rows without a key match nothing, so they skip the join and its shuffle. The rest is a left
-    outer join, whose left side adaptive execution can split when one key is hot, and an anti
-    join for the right rows that matched nothing. Give the side with repeated keys as ``left``.
-    Columns other than the key must have different names on the two sides.
+    The join runs on a stand-in for the key. Rows without a key match nothing, so each side's are
+    spread over stand-ins the other side does not have. The rows of a hot key are spread over
+    salted stand-ins, and the other side's rows with that key are repeated for each salt; since a
+    hot key does occur on its side, a repeated row that matched nothing is a leftover of the
+    spreading and is dropped. Columns other than the key must have different names on the sides.
     """
-    no_key = F.col(key).isNull()
-    matched = left.filter(~no_key).join(right.filter(~no_key), key, "left")
-    parts = [
-        matched,
-        right.filter(~no_key).join(left.filter(~no_key).select(key), key, "left_anti"),
-        left.filter(no_key),
-        right.filter(no_key),
-    ]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    hot_right = [k for k in hot_right if k not in set(hot_left)]
+
+    def stood_in(df: DataFrame, side: str, own_hot: list, other_hot: list) -> DataFrame:
+        k, spread = F.col(key), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        stand_in = F.when(k.isNull(), F.concat(F.lit(f"\0{side}"), F.pmod(spread, F.lit(1024)).cast("string")))
+        if own_hot:
+            salted = F.concat(k, F.lit("\0"), F.pmod(spread, F.lit(salts)).cast("string"))
+            stand_in = stand_in.when(k.isin(own_hot), salted)
+        stand_in = stand_in.otherwise(k)
+        if other_hot:
+            each = F.array(*[F.concat(k, F.lit(f"\0{i}")) for i in range(salts)])
+            stand_in = F.explode(F.when(k.isin(other_hot), each).otherwise(F.array(stand_in)))
+        return df.withColumn("_on", stand_in).withColumnRenamed(key, f"_key_{side}")
+
+    joined = stood_in(left, "l", list(hot_left), hot_right).join(
+        stood_in(right, "r", hot_right, list(hot_left)), "_on", "full_outer"
+    )
+    in_left, in_right = F.col("_key_l"), F.col("_key_r")
+    if hot_left:
+        joined = joined.filter(~(in_left.isNull() & F.coalesce(in_right.isin(list(hot_left)), F.lit(False))))
+    if hot_right:
+        joined = joined.filter(~(in_right.isNull() & F.coalesce(in_left.isin(hot_right), F.lit(False))))
+    named = joined.withColumn(key, F.coalesce(in_left, in_right))
+    rest = [c for c in (*left.columns, *right.columns) if c != key]
+    return named.select(key, *[F.col(f"`{c}`") for c in rest])
 
 
 def present_targets(labs: list[DataFrame], targets: list[str] = LAB_TARGETS) -> list[str]:
@@ -41,14 +74,17 @@ def present_targets(labs: list[DataFrame], targets: list[str] = LAB_TARGETS) ->
     return [t for t in targets if any(t in lab.columns for lab in labs)]
 
 
-def lab_join(labs: dict[str, DataFrame], targets: list[str] = LAB_TARGETS) -> DataFrame:
+def lab_join(labs: dict[str, DataFrame], targets: list[str] = LAB_TARGETS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The laboratories side by side, columns prefixed by laboratory, one row per combination."""
-    renamed = []
+    hot = hot_keys(labs, KEY, hot_rows)
+    joined, joined_hot, names = None, [], []
     for name, lab in labs.items():
         kept = [t for t in targets if t in lab.columns]
-        renamed.append(lab.select(KEY, *[F.col(f"`{t}`").alias(f"{name}:{t}") for t in kept]))
-    # the later laboratories hold the replicates, so they drive the join
-    return reduce(lambda done, lab: full_outer(lab, done), renamed)
+        renamed = lab.select(KEY, *[F.col(f"`{t}`").alias(f"{name}:{t}") for t in kept])
+        names += renamed.columns[1:]
+        joined = renamed if joined is None else full_outer(renamed, joined, KEY, hot[name], joined_hot)
+        joined_hot = sorted({*joined_hot, *hot[name]})
+    return joined.select(KEY, *[F.col(f"`{n}`") for n in names])
 
 
 def by_priority(labs: dict[str, DataFrame], target: str) -> Column:
@@ -56,10 +92,11 @@ def by_priority(labs: dict[str, DataFrame], target: str) -> Column:
     return F.coalesce(*[F.col(f"`{n}:{target}`") for n, lab in labs.items() if target in lab.columns])
 
 
-def coalesced_targets(labs: dict[str, DataFrame], targets: list[str] = LAB_TARGETS) -> DataFrame:
+def coalesced_targets(labs: dict[str, DataFrame], targets: list[str] = LAB_TARGETS,
+                      hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every combination of the laboratories' rows with the targets resolved by priority."""
     names = present_targets(list(labs.values()), targets)
-    return lab_join(labs, targets).select(KEY, *[by_priority(labs, t).alias(t) for t in names])
+    return lab_join(labs, targets, hot_rows).select(KEY, *[by_priority(labs, t).alias(t) for t in names])
 
 
 def merged_labs(labs: dict[str, DataFrame], targets: list[str] = LAB_TARGETS) -> DataFrame:

@@ -34,7 +34,7 @@ DEST = "bronze/"
 
 @query("bronze_manifest")
 def bronze_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return M.object_manifest(spark, sf, "*.parquet").withColumn("key", file_name(F.col("key")))
+    return M.object_manifest(spark, sf)
 
 
 @query(
@@ -107,10 +107,10 @@ def bronze_counters(spark: SparkSession, sf: str) -> DataFrame:
 def bronze_copy(spark: SparkSession, sf: str) -> DataFrame:
     """Copies the files of the spectra and laboratory tables; one prefix holds nothing."""
     prefixes = ["embeddings", "part", "customer", "orders", "zz/none/"]
-    source = M.prefix_manifest(spark, sf, prefixes)
+    source = M.object_manifest(spark, sf, prefixes)
     target = fresh_path(spark, "bronze")
     before = M.object_manifest(spark, target)
-    audit = copy_objects(source, before, M.bare_path(sf), M.bare_path(target), prefixes, DEST, RUN)
+    audit = copy_objects(source, before, sf, target, prefixes, DEST, RUN)
     return audit.select("prefix", "source_key", "dest_key", "source_size", "dest_size", "status", "error_message")
 
 
@@ -202,7 +202,7 @@ def uri_parts(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "scalar_suite",
     """select event_id, coalesce(nullif(event_type, 'click'), 'none') as kind, cast(user_id as varchar) as user_text,
-    round(value, 2) as value_2, round(sqrt(abs(value)), 9) as root, round(value / (user_id + 1), 9) as ratio,
+    round(value, 2) as value_2, sqrt(abs(value)) as root, value / (user_id + 1) as ratio,
     strftime(ts, '%Y-%m-%d-%H-%M') as stamp, case when value > 10 then 'high' end as high from events""",
 )
 def scalar_suite(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,8 +213,8 @@ def scalar_suite(spark: SparkSession, sf: str) -> DataFrame:
         F.coalesce(kind, F.lit("none")).alias("kind"),
         F.col("user_id").cast("string").alias("user_text"),
         F.round(value, 2).alias("value_2"),
-        F.round(F.sqrt(F.abs(value)), 9).alias("root"),
-        F.round(value / (F.col("user_id") + 1), 9).alias("ratio"),
+        F.sqrt(F.abs(value)).alias("root"),
+        (value / (F.col("user_id") + 1)).alias("ratio"),
         F.date_format("ts", "yyyy-MM-dd-HH-mm").alias("stamp"),
         F.when(value > 10, "high").alias("high"),
     )

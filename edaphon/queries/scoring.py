@@ -103,8 +103,8 @@ pruned as (select *, trial >= 20 and step >= 1 and coalesce(running_mean < earli
 
 @query(
     "trial_pruning",
-    f"""with {PRUNED_SQL} select study, trial, step, round(running_mean, 6) as running_mean,
-    round(earlier_median, 6) as earlier_median, pruned from pruned""",
+    f"""with {PRUNED_SQL} select study, trial, step, round(running_mean, 9) as running_mean,
+    round(earlier_median, 9) as earlier_median, pruned from pruned""",
 )
 def trial_pruning(spark: SparkSession, sf: str) -> DataFrame:
     judged = S.prune(trial_log(spark, sf), ["study"])
@@ -112,8 +112,8 @@ def trial_pruning(spark: SparkSession, sf: str) -> DataFrame:
         "study",
         "trial",
         "step",
-        F.round("running_mean", 6).alias("running_mean"),
-        F.round("earlier_median", 6).alias("earlier_median"),
+        F.round("running_mean", 9).alias("running_mean"),
+        F.round("earlier_median", 9).alias("earlier_median"),
         "pruned",
     )
 
@@ -123,11 +123,11 @@ def trial_pruning(spark: SparkSession, sf: str) -> DataFrame:
     f"""with {PRUNED_SQL}, complete as (select study, trial, avg(score) as r2 from pruned group by study, trial
         having not bool_or(pruned)),
     ranked as (select *, row_number() over (partition by study order by r2 desc, trial) as place from complete)
-    select study, trial, round(r2, 6) as cv_best_r2 from ranked where place = 1""",
+    select study, trial, round(r2, 9) as cv_best_r2 from ranked where place = 1""",
 )
 def best_trial(spark: SparkSession, sf: str) -> DataFrame:
     best = S.best_trials(trial_log(spark, sf), ["study"])
-    return best.select("study", "trial", F.round("cv_best_r2", 6).alias("cv_best_r2"))
+    return best.select("study", "trial", F.round("cv_best_r2", 9).alias("cv_best_r2"))
 
 
 def _leaderboard(spark: SparkSession, sf: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edaphon.session import materialise
-from edaphon.sources.manifest import empty_prefixes, with_prefixes, without_folders
+from edaphon.sources.manifest import empty_prefixes, open_store, with_prefixes, without_folders
 
 # Messages of the audit.
 EMPTY_MESSAGE = "Nenhum arquivo encontrado para o prefix."
@@ -75,12 +75,6 @@ def copy_audit(source: DataFrame, before: DataFrame, after: DataFrame, prefixes:
     return _stamped(audit.withColumn("error_message", message), run)
 
 
-def _open(root: str) -> tuple[arrow_fs.FileSystem, str]:
-    if "://" in root or root.startswith("file:"):
-        return arrow_fs.FileSystem.from_uri(root)
-    return arrow_fs.LocalFileSystem(), root
-
-
 def _copy_one(source, source_path: str, dest, dest_path: str) -> int:
     """Streams one object and returns the size found at the destination.
 
@@ -119,7 +113,7 @@ def copy_objects(source: DataFrame, before: DataFrame, source_root: str, dest_ro
     plan = materialise(objects.join(known, "dest_key", "left"), "copy-plan")
 
     def run_copies(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        (from_fs, from_root), (to_fs, to_root) = _open(source_root), _open(dest_root)
+        (from_fs, from_root), (to_fs, to_root) = open_store(source_root), open_store(dest_root)
         for pdf in pdfs:
             sizes, errors = [], []
             for source_key, dest_key in zip(pdf["source_key"], pdf["dest_key"]):
@@ -139,7 +133,7 @@ def copy_objects(source: DataFrame, before: DataFrame, source_root: str, dest_ro
         "prefix string, source_key string, source_size bigint, dest_key string, size_after bigint, copy_error string",
     )
     skipped = plan.filter("size_before is not null")
-    empty = empty_prefixes(without_folders(source), prefixes)
+    empty = empty_prefixes(plan.select(F.col("source_key").alias("key")), prefixes)
     rows = copied.unionByName(skipped, allowMissingColumns=True).unionByName(empty, allowMissingColumns=True)
     judged = rows.withColumn("status", copy_status())
     message = (

@@ -63,7 +63,7 @@ def gold_of(gold: DataFrame, name: str, column: str, points: int | None = None)
 def output_size(spark: SparkSession, path: str) -> DataFrame:
     """``(target, files, bytes)`` of a written Gold table."""
     target = F.regexp_extract("key", "(?:^|/)target=([^/]+)/", 1)
-    files = object_manifest(spark, path, "*.parquet")
+    files = object_manifest(spark, path).filter(F.col("key").endswith(".parquet"))
     return files.groupBy(target.alias("target")).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
 
 

@@ -2,51 +2,67 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
-from pyspark.errors import AnalysisException
+import pandas as pd
+from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MANIFEST = T.StructType([T.StructField("key", T.StringType()), T.StructField("size", T.LongType())])
-
-
-def bare_path(root: str) -> str:
-    """``file:/a/b/`` → ``/a/b``; other schemes keep scheme and authority."""
-    text = root.rstrip("/")
-    if text.startswith("file:"):
-        text = "/" + text[len("file:"):].lstrip("/")
-    return text
-
-
-def object_manifest(spark: SparkSession, root: str, glob: str | None = None, prefix: str = "") -> DataFrame:
-    """``(key, size)`` of each file below ``root``, or of those whose key starts with ``prefix``;
-    the file contents are never read."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    try:
-        files = reader.load(f"{root.rstrip('/')}/{prefix}*" if prefix else root)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
-            raise
-        return spark.createDataFrame([], MANIFEST)
-    below = bare_path(root) + "/"
-    return files.select(relative_key(F.col("path"), below).alias("key"), F.col("length").alias("size"))
-
-
-def prefix_manifest(spark: SparkSession, root: str, prefixes: list[str]) -> DataFrame:
-    """The objects below the configured prefixes, listed prefix by prefix; the rest of the store is
-    not listed. Overlapping prefixes list an object once."""
-    own = [p for p in prefixes if not any(p != q and p.startswith(q) for q in prefixes)]
-    parts = [object_manifest(spark, root, prefix=p) for p in own]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def relative_key(path: Column, below: str) -> Column:
-    start = F.locate(below, path)
-    return F.when(start > 0, F.substr(path, start + F.lit(len(below)))).otherwise(path)
+
+LISTED = "key string, size bigint, folder boolean"
+
+
+def open_store(root: str) -> tuple[arrow_fs.FileSystem, str]:
+    """File system and path of a folder, in the driver or in a task."""
+    for scheme in ("s3a://", "s3n://"):
+        if root.startswith(scheme):
+            root = "s3://" + root[len(scheme):]
+    if root.startswith("file:"):
+        root = "/" + root[len("file:"):].lstrip("/")
+    if "://" in root:
+        store, path = arrow_fs.FileSystem.from_uri(root)
+    else:
+        store, path = arrow_fs.LocalFileSystem(), root
+    return store, path.rstrip("/")
+
+
+def object_manifest(spark: SparkSession, root: str, prefixes: list[str] | None = None) -> DataFrame:
+    """``(key, size)`` of the objects below ``root`` whose key starts with one of the prefixes.
+
+    Tasks list the store: first the level each prefix points at, then every folder found there by
+    itself. Spark's file sources are no help here, they leave out empty files. A root that does not
+    exist holds nothing. Overlapping prefixes list an object once.
+    """
+    wanted = prefixes or [""]
+    own = [p for p in wanted if not any(p != q and p.startswith(q) for q in wanted)]
+
+    def keyed(store, path: str, folder: str, recursive: bool) -> pd.DataFrame:
+        selector = arrow_fs.FileSelector(f"{path}/{folder}".rstrip("/"), recursive=recursive, allow_not_found=True)
+        rows = []
+        for info in store.get_file_info(selector):
+            if info.type in (arrow_fs.FileType.File, arrow_fs.FileType.Directory):
+                is_folder = info.type == arrow_fs.FileType.Directory
+                rows.append((info.path[len(path) + 1:] + "/" * is_folder, None if is_folder else info.size, is_folder))
+        return pd.DataFrame(rows, columns=["key", "size", "folder"]).astype({"size": "Int64"})
+
+    def first_level(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, path = open_store(root)
+        for pdf in pdfs:
+            for prefix in pdf["prefix"]:
+                found = keyed(store, path, prefix.rpartition("/")[0], False)
+                yield found[found["key"].str.startswith(prefix).astype(bool)]
+
+    def whole_folder(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, path = open_store(root)
+        for pdf in pdfs:
+            for folder in pdf["key"]:
+                yield keyed(store, path, folder, True)
+
+    listed = spark.createDataFrame([(p,) for p in own], "prefix string").repartition(len(own), "prefix")
+    level = listed.mapInPandas(first_level, LISTED)
+    folders = level.filter("folder").repartition(4 * spark.sparkContext.defaultParallelism, "key")
+    below = folders.mapInPandas(whole_folder, LISTED)
+    return level.unionByName(below).filter("not folder").select("key", "size")
 
 
 def without_folders(manifest: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from edaphon.functions.keys import blank_to_null, file_name, sample_id, sample_key
 from edaphon.operators.dedup import first_per_key
+from edaphon.sources.manifest import object_manifest
 
 # Where the spectra lie and how their files end.
 SPECTRA_FOLDER = "Bruker_Alpha_KBr/"
@@ -32,9 +33,16 @@ def text_decoder(content: bytes) -> list[float] | None:
 
 
 def scan_spectra(spark: SparkSession, root: str) -> DataFrame:
-    """``(source, content)`` of the spectral files below ``root``, split over tasks by size."""
+    """``(source, content)`` of the spectral files below ``root``, split over tasks by size.
+
+    Spark's file source leaves out empty files; they are added from the listing, so that the
+    status counts hold every file.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return files.filter(is_spectrum_key(F.col("path"))).select(F.col("path").alias("source"), "content")
+    full = files.filter(is_spectrum_key(F.col("path"))).select(F.col("path").alias("source"), "content")
+    path = F.concat(F.lit(f"{root.rstrip('/')}/"), "key")
+    empty = object_manifest(spark, root).filter((F.col("size") == 0) & is_spectrum_key(path))
+    return full.unionByName(empty.select(path.alias("source"), F.lit(b"").alias("content")))
 
 
 def decode(files: DataFrame, decoder: Decoder = text_decoder) -> DataFrame:
