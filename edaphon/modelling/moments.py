@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,8 @@ from edaphon.modelling.gram import Gram, f_scores, pls_weights, principal, stand
 from edaphon.modelling.split import TEST
 
 BLOCK = 256  # side of the blocks a Gram matrix travels in: 512 KB of doubles
-HELD_BYTES = 1 << 30  # partial sums a task holds before it passes them on
+HELD_BYTES = 1 << 29  # partial sums a task may hold
+GROUPS_PER_TARGET = 6  # five folds and the test rows
 MAX_PCA, MAX_KBEST = 80, 300
 
 
@@ -104,6 +106,10 @@ def gram_blocks(samples: DataFrame, points: int, shift_x: np.ndarray, shift_y: d
         yield from emit(sums)
 
     narrow = samples.select("target", F.col("fold").cast("int").alias("fold"), "y", "spectrum")
+    if len(shift_y) * GROUPS_PER_TARGET > held:
+        # wide spectra: a scan per target, so that a task holds the sums of one target only; a table
+        # partitioned by target is still read once
+        narrow = reduce(DataFrame.unionByName, [narrow.filter(F.col("target") == t) for t in sorted(shift_y)])
     return add_blocks(narrow.mapInArrow(partial, schema), ["target", "fold"])
 
 
@@ -115,13 +121,32 @@ def add_blocks(blocks: DataFrame, by: list[str]) -> DataFrame:
 
 
 def holdout_moments(blocks: DataFrame, folds: int = 5) -> DataFrame:
-    """Training and validation sums for each held-out fold; fold -1 trains on all folds and
-    validates on the test rows."""
+    """``(target, holdout, role, block_row, block_col, part)``: for each held-out fold its own sums
+    (``valid``) and those of all training folds together (``total``). Holdout -1 stands for the
+    test rows, with all folds to train on."""
+    fold = F.col("fold")
+    own = F.struct(F.lit("valid").alias("role"), fold.alias("holdout"))
+    shared = F.struct(F.lit("total").alias("role"), F.lit(None).cast("int").alias("holdout"))
+    roles = F.when(fold >= 0, F.array(own, shared)).otherwise(F.array(own))
+    added = add_blocks(blocks.select("target", F.inline(roles), "block_row", "block_col", "part"), ["target", "role", "holdout"])
     holdouts = F.array(*[F.lit(h) for h in [TEST, *range(folds)]])
-    fold, holdout = F.col("fold"), F.col("holdout")
-    role = F.when(fold == holdout, "valid").when(fold >= 0, "train")
-    spread = blocks.withColumn("holdout", F.explode(holdouts)).withColumn("role", role)
-    return add_blocks(spread.filter("role is not null"), ["target", "holdout", "role"])
+    spread = F.explode(F.when(F.col("role") == "total", holdouts).otherwise(F.array("holdout")))
+    return added.select("target", spread.alias("holdout"), "role", "block_row", "block_col", "part")
+
+
+def split_roles(key: tuple, pdf: pd.DataFrame, points: int, shift_y: dict[str, float],
+                shift_x: np.ndarray) -> tuple[Gram, Gram] | None:
+    """Training and validation sums of one target and held-out fold, None if either has no rows."""
+    parts = []
+    for role in ("total", "valid"):
+        part = pdf[pdf["role"] == role]
+        if part.empty:
+            return None
+        parts.append(assemble(part, points, shift_y[key[0]], shift_x))
+    train, valid = parts
+    if key[1] >= 0:
+        train.matrix -= valid.matrix
+    return (train, valid) if train.n > 0 else None
 
 
 def assemble(pdf: pd.DataFrame, points: int, shift_y: float, shift_x: np.ndarray) -> Gram:
@@ -154,12 +179,10 @@ def reduce_moments(moments: DataFrame, points: int, shift_x: np.ndarray, shift_y
 
     def reduce_one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         target, holdout = key
-        train_part, valid_part = pdf[pdf["role"] == "train"], pdf[pdf["role"] == "valid"]
-        if train_part.empty or valid_part.empty:
+        roles = split_roles(key, pdf, points, shift_y, shift_x)
+        if roles is None:
             return pd.DataFrame()
-        gram = assemble(train_part, points, shift_y[target], shift_x)
-        valid = assemble(valid_part, points, shift_y[target], shift_x)
-        train = standardise(gram)
+        train, valid = standardise(roles[0]), roles[1]
         count = int(min(MAX_PCA, points, train.n - 1))
         values, vectors = principal(train.xx, count)
         y1, yy, xy, xx = valid.about(train.mean_y, train.mean_x)
@@ -197,7 +220,10 @@ def feature_rows(moments: DataFrame, points: int, shift_x: np.ndarray, shift_y:
     and the weight of the feature in the first PLS component."""
 
     def rows(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        train = standardise(assemble(pdf, points, shift_y[key[0]], shift_x))
+        roles = split_roles(key, pdf, points, shift_y, shift_x)
+        if roles is None:
+            return pd.DataFrame()
+        train = standardise(roles[0])
         scores = f_scores(train)
         weights = pls_weights(train.xx, train.xy, train.n, 1)
         length = np.linalg.norm(weights)
@@ -212,14 +238,17 @@ def feature_rows(moments: DataFrame, points: int, shift_x: np.ndarray, shift_y:
         )
 
     schema = "target string, holdout int, i int, f_score double, pls_weight double"
-    return moments.filter("role = 'train'").groupBy("target", "holdout").applyInPandas(rows, schema)
+    return moments.groupBy("target", "holdout").applyInPandas(rows, schema)
 
 
 def covariance_rows(moments: DataFrame, points: int, shift_x: np.ndarray, shift_y: dict[str, float]) -> DataFrame:
     """``(target, holdout, i, j, covariance)`` with i ≤ j, of the training rows (divisor n-1)."""
 
     def rows(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        gram = assemble(pdf, points, shift_y[key[0]], shift_x)
+        roles = split_roles(key, pdf, points, shift_y, shift_x)
+        if roles is None:
+            return pd.DataFrame()
+        gram = roles[0]
         _, _, _, xx = gram.about(*gram.means())
         i, j = np.triu_indices(points)
         values = xx[i, j] / (gram.n - 1)
@@ -227,7 +256,7 @@ def covariance_rows(moments: DataFrame, points: int, shift_x: np.ndarray, shift_
                              "covariance": values})
 
     schema = "target string, holdout int, i int, j int, covariance double"
-    return moments.filter("role = 'train'").groupBy("target", "holdout").applyInPandas(rows, schema)
+    return moments.groupBy("target", "holdout").applyInPandas(rows, schema)
 
 
 @dataclass

@@ -43,6 +43,7 @@ SPACE = {
 LAYERS = [(64,), (128,), (128, 64), (256, 128)]
 ACTIVATIONS = ["relu", "tanh"]
 MIN_PCA, MIN_KBEST, MAX_PLS = 10, 30, 30
+SMALLEST = 2  # components and features below which a target cannot be searched
 STARTUP_TRIALS, WARMUP_STEPS = 20, 1
 LINEAR = ["Ridge", "PLS", "ElasticNet", "ElasticNet_SelectKBest", "Lasso"]
 
@@ -60,13 +61,6 @@ def bounds(shape: DataFrame) -> DataFrame:
     )
 
 
-def check_bounds(limits: DataFrame) -> DataFrame:
-    """Raises where a target has too few samples or features; a row per target."""
-    for row in limits.filter("min_pca < 2 or min_kbest < 2").collect():
-        raise ValueError(f"target {row['target']}: too few samples or features")
-    return limits
-
-
 def _draw(model: str, spec: tuple, seed: int) -> Column:
     """The value of one parameter, drawn from the digest of model, trial, parameter and seed."""
     name, kind, low, high, step = spec

@@ -59,6 +59,7 @@ class Evaluation:
     samples: DataFrame
     boosted: dict = field(default_factory=dict)
     networks: dict = field(default_factory=dict)
+    skipped: dict[str, str] = field(default_factory=dict)
 
 
 def samples_of(gold: DataFrame, options: Options) -> DataFrame:
@@ -109,7 +110,7 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
     study = G.study(samples_of(gold, options), points, options.folds)
     reduced = materialise(study.reduced(), "reduced")
     shape = reduced.filter(F.col("holdout") == TEST).select("target", "n_train", F.lit(points).alias("points"))
-    limits = S.check_bounds(S.bounds(shape))
+    limits, skipped = usable_targets(S.bounds(shape), list(study.shift_y))
 
     def trials_of(models: list[str], count: int) -> DataFrame:
         drawn = S.candidates(limits, count, options.seed, [m for m in options.models if m in models])
@@ -160,7 +161,18 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
         predictions = predictions.unionByName(part)
     predictions = materialise(predictions, "predictions")
     results = result_table(predictions, best, linear, reduced, points, options.log_targets)
-    return Evaluation(results, predictions, linear, study.samples, boosted, networks)
+    return Evaluation(results, predictions, linear, study.samples, boosted, networks, skipped)
+
+
+def usable_targets(limits: DataFrame, targets: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """The limits of the targets large enough to search, and the others with the reason. One target
+    too small does not stop the rest; if none is left, that is an error. A row per target."""
+    enough = (F.col("min_pca") >= S.SMALLEST) & (F.col("min_kbest") >= S.SMALLEST)
+    good = {r["target"] for r in limits.filter(enough).select("target").collect()}
+    skipped = {t: "too few samples or features" for t in sorted(targets) if t not in good}
+    if not good:
+        raise ValueError(f"too few samples or features: {', '.join(sorted(targets))}")
+    return limits.filter(enough), skipped
 
 
 def _cross_validate(heavy: list[dict], projections: Projections, options: Options) -> list[tuple]:

@@ -56,27 +56,27 @@ def bronze_prefix_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _destination(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The destination's listings before and after a run in which some objects failed."""
+    """The destination before and after a run. Pages served by https were there before, the mobile
+    hosts' could not be copied, and some arrived with another size."""
     found = M.without_folders(objects(spark, sf)).withColumn("key", F.concat(F.lit(DEST), "key"))
-    page = F.col("page_id")
-    there = page % 3 == 0
-    grown = F.when((there & (page % 9 == 0)) | (~there & (page % 9 == 1)), F.col("size") + 1).otherwise(F.col("size"))
-    before = found.filter(there).select("key", grown.alias("size"))
-    after = found.filter(there | (page % 11 != 5)).select("key", grown.alias("size"))
+    url = F.col("url")
+    there, mobile = url.startswith("https:"), url.contains("://m.")
+    grown = F.when(url.contains("ref="), F.col("size") + 1).otherwise(F.col("size"))
+    sized = found.select("key", grown.alias("size"), there.alias("there"), mobile.alias("mobile"))
+    before = sized.filter("there").select("key", "size")
+    after = sized.filter("there or not mobile").select("key", "size")
     return before, after
 
 
 AUDIT_SQL = f"""{OBJECTS_SQL},
 source as (select * from objects where right(key, 1) <> '/'),
-dest as (select page_id, concat('{DEST}', key) as key, page_id % 3 = 0 as earlier,
-    page_id % 3 = 0 or page_id % 11 <> 5 as later,
-    size + case when (page_id % 3 = 0 and page_id % 9 = 0) or (page_id % 3 <> 0 and page_id % 9 = 1)
-    then 1 else 0 end as size from source),
+dest as (select url, starts_with(url, 'https:') as earlier, starts_with(url, 'https:') or not contains(url, '://m.')
+    as later, size + case when contains(url, 'ref=') then 1 else 0 end as size from source),
 judged as (select prefix, s.key as source_key, s.size as source_size, concat('{DEST}', s.key) as dest_key,
     case when earlier or later then d.size end as dest_size,
     case when s.key is null then 'empty_prefix' when earlier then 'skipped_existing' when not later then 'failed'
     when d.size <> s.size then 'copied_with_size_mismatch' else 'copied' end as status
-    from {PREFIX_SQL} left join source s on starts_with(s.key, prefix) left join dest d using (page_id)),
+    from {PREFIX_SQL} left join source s on starts_with(s.key, prefix) left join dest d using (url)),
 audit as (select '{RUN["execution_utc"]}' as execution_utc, prefix, '{RUN["source_bucket"]}' as source_bucket,
     source_key, '{RUN["dest_bucket"]}' as dest_bucket, case when source_key is not null then dest_key end as dest_key,
     source_size, dest_size, status, case status when 'empty_prefix' then 'Nenhum arquivo encontrado para o prefix.'

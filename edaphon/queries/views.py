@@ -149,7 +149,7 @@ planted as (select ssn, spectrum, spectrum[1] as x0, spectrum[2] as x1,
 
 
 def objects(spark: SparkSession, sf: str) -> DataFrame:
-    """``(page_id, key, size)``: pages as objects, keys by language and host, some folder markers."""
+    """``(url, key, size)``: pages as objects, keys by language and host, some folder markers."""
     url = F.col("url")
     key = F.concat(
         F.regexp_extract(url, r"^https?://[^/]+/([a-z]+)", 1),
@@ -161,11 +161,11 @@ def objects(spark: SparkSession, sf: str) -> DataFrame:
         F.regexp_extract(url, r"^https?://[^/]+/[a-z]+/(.*)$", 1),
     )
     size = F.when(F.col("page_id") % 50 == 7, 0).otherwise(F.length("html")).cast("bigint")
-    return table(spark, sf, "pages").select("page_id", key.alias("key"), size.alias("size"))
+    return table(spark, sf, "pages").select("url", key.alias("key"), size.alias("size"))
 
 
 OBJECTS_SQL = r"""
-objects as (select page_id, concat(regexp_extract(url, '^https?://[^/]+/([a-z]+)', 1), '/',
+objects as (select url, concat(regexp_extract(url, '^https?://[^/]+/([a-z]+)', 1), '/',
     cast(page_id as varchar), '/', regexp_extract(url, '^https?://([^/]+)/', 1), '/',
     regexp_extract(url, '^https?://[^/]+/[a-z]+/(.*)$', 1)) as key,
     cast(case when page_id % 50 = 7 then 0 else length(html) end as bigint) as size from pages)"""

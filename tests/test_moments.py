@@ -8,6 +8,7 @@ from pyspark.ml.regression import LinearRegression
 from edaphon.modelling import gram as A
 from edaphon.modelling import moments as G
 from edaphon.modelling import search as S
+from edaphon.plans.evaluate import usable_targets
 
 SCHEMA = "target string, ssn string, fold int, y double, spectrum array<double>"
 
@@ -193,12 +194,15 @@ def test_affine(spark):
 
 def test_search(spark):
     shape = spark.createDataFrame([("t", 400, 64), ("u", 12, 64)], "target string, n_train bigint, points int")
-    limits = S.check_bounds(S.bounds(shape))
+    limits = S.bounds(shape)
     got = {r["target"]: r for r in limits.collect()}
     assert (got["t"]["min_pca"], got["t"]["max_pca"], got["t"]["min_kbest"], got["t"]["max_kbest"]) == (10, 64, 30, 64)
     assert (got["u"]["min_pca"], got["u"]["max_pca"]) == (10, 11)
+    small = spark.createDataFrame([("t", 400, 64), ("v", 2, 64)], shape.schema)
+    kept, skipped = usable_targets(S.bounds(small), ["t", "v", "w"])
+    assert [r["target"] for r in kept.collect()] == ["t"] and list(skipped) == ["v", "w"]
     with pytest.raises(ValueError, match="too few"):
-        S.check_bounds(S.bounds(spark.createDataFrame([("v", 2, 64)], shape.schema)))
+        usable_targets(S.bounds(small.filter("target = 'v'")), ["v"])
     trials = S.candidates(limits, 200).collect()
     assert len(trials) == 2 * 8 * 200
     for r in trials:
