@@ -242,7 +242,7 @@ def result_table(predictions: DataFrame, best: DataFrame, linear: DataFrame, red
         "test_mae",
         "test_rpd",
         components_used.alias("pca_componentes"),
-        F.when(components_used.isNotNull(), share / F.col("variance")).alias("pca_variancia_explicada"),
+        F.when(components_used.isNotNull(), F.least(share / F.col("variance"), F.lit(1.0))).alias("pca_variancia_explicada"),
         F.col("params")["k_best"].cast("int").alias("k_best"),
         F.col("params").alias("melhores_params"),
     )

@@ -33,6 +33,10 @@ def fitted_rows(study: G.Study, trials: DataFrame) -> DataFrame:
     return fitted.select("target", "intercept", F.posexplode("coefficients").alias("i", "coefficient"))
 
 
+def rounded_fit(rows: DataFrame) -> DataFrame:
+    return rows.select("i", *[rounded(F.col(c)).alias(c) for c in ("coefficient", "intercept")])
+
+
 @query(
     "ridge_two_feature",
     f"""with {PLANTED_SQL},
@@ -46,7 +50,7 @@ def fitted_rows(study: G.Study, trials: DataFrame) -> DataFrame:
 def ridge_two_feature(spark: SparkSession, sf: str) -> DataFrame:
     study = G.study(first_points(spark, sf, 2), 2)
     rows = fitted_rows(study, fixed_trials(study.samples, "Ridge", pca_n_components=2, alpha=1.5))
-    return rows.select("i", rounded(F.col("coefficient")).alias("coefficient"), rounded(F.col("intercept")).alias("intercept"))
+    return rounded_fit(rows)
 
 
 ONE_SQL = """s as (select count(*) as n, avg(x0) as m, avg(y) as my, stddev_pop(x0) as sd, covar_pop(x0, y) / stddev_pop(x0)
@@ -61,7 +65,7 @@ ONE_SQL = """s as (select count(*) as n, avg(x0) as m, avg(y) as my, stddev_pop(
 def lasso_one_feature(spark: SparkSession, sf: str) -> DataFrame:
     study = G.study(first_points(spark, sf, 1), 1)
     rows = fitted_rows(study, fixed_trials(study.samples, "Lasso", pca_n_components=1, alpha=0.05))
-    return rows.select("i", rounded(F.col("coefficient")).alias("coefficient"), rounded(F.col("intercept")).alias("intercept"))
+    return rounded_fit(rows)
 
 
 @query(
@@ -74,7 +78,7 @@ def elasticnet_one_feature(spark: SparkSession, sf: str) -> DataFrame:
     study = G.study(first_points(spark, sf, 1), 1)
     trials = fixed_trials(study.samples, "ElasticNet", pca_n_components=1, alpha=0.05, l1_ratio=0.4)
     rows = fitted_rows(study, trials)
-    return rows.select("i", rounded(F.col("coefficient")).alias("coefficient"), rounded(F.col("intercept")).alias("intercept"))
+    return rounded_fit(rows)
 
 
 @query(
@@ -95,13 +99,46 @@ def _scored(spark: SparkSession, sf: str, trials) -> DataFrame:
     return predict_linear(study, materialise(models, "linear"))
 
 
+@query(
+    "elasticnet_best_feature",
+    f"""with {LONG_SQL}, s as (select i, corr(x, y) as r, avg(x) as m, avg(y) as my, stddev_pop(x) as sd,
+        covar_pop(x, y) / stddev_pop(x) as c from long where fold >= 0 group by i),
+    best as (select * from s order by r * r desc, i limit 1),
+    w as (select *, sign(c) * greatest(abs(c) - 5e-2 * 4e-1, 0) / (1 + 5e-2 * 6e-1) as w from best)
+    select cast(i as integer) as i, round(w / sd, 6) as coefficient, round(my - w / sd * m, 6) as intercept from w""",
+)
+def elasticnet_best_feature(spark: SparkSession, sf: str) -> DataFrame:
+    """Elastic net on the one feature with the best F score."""
+    study = G.study(planted(spark, sf), POINTS)
+    trials = fixed_trials(study.samples, "ElasticNet_SelectKBest", k_best=1, alpha=0.05, l1_ratio=0.4)
+    rows = fitted_rows(study, trials).filter("coefficient <> 0")
+    return rounded_fit(rows)
+
+
+@query(
+    "pls_two_feature",
+    f"""with {PLANTED_SQL},
+    s as (select avg(x0) as m0, avg(x1) as m1, avg(y) as my, covar_pop(x0, x0) as v0, covar_pop(x1, x1) as v1,
+        covar_pop(x0, x1) as v01, covar_pop(x0, y) as c0, covar_pop(x1, y) as c1 from planted where fold >= 0),
+    w as (select *, (c0 * v1 - c1 * v01) / (v0 * v1 - v01 * v01) as b0, (c1 * v0 - c0 * v01) / (v0 * v1 - v01 * v01) as b1
+        from s)
+    select 0 as i, round(b0, 6) as coefficient, round(my - b0 * m0 - b1 * m1, 6) as intercept from w
+    union all select 1, round(b1, 6), round(my - b0 * m0 - b1 * m1, 6) from w""",
+)
+def pls_two_feature(spark: SparkSession, sf: str) -> DataFrame:
+    """PLS with as many components as features is least squares."""
+    study = G.study(first_points(spark, sf, 2), 2)
+    rows = fitted_rows(study, fixed_trials(study.samples, "PLS", pca_n_components=2, n_components=2))
+    return rounded_fit(rows)
+
+
 @query("elasticnet_kbest")
 def elasticnet_kbest(spark: SparkSession, sf: str) -> DataFrame:
     """Elastic net on the 30 features with the best F scores: the coefficients left standing."""
     study = G.study(planted(spark, sf), POINTS)
     trials = fixed_trials(study.samples, "ElasticNet_SelectKBest", k_best=30, alpha=0.01, l1_ratio=0.5)
     rows = fitted_rows(study, trials).filter("coefficient <> 0")
-    return rows.select("i", rounded(F.col("coefficient")).alias("coefficient"), rounded(F.col("intercept")).alias("intercept"))
+    return rounded_fit(rows)
 
 
 @query("pls_fit")
