@@ -26,6 +26,7 @@ from edaphon.modelling.split import TEST
 
 BLOCK = 256  # side of the blocks a Gram matrix travels in: 512 KB of doubles
 HELD_BYTES = 1 << 29  # partial sums a task may hold
+LARGE_BYTES = 1 << 24  # partial sums worth saving a shuffle of
 GROUPS_PER_TARGET = 6  # five folds and the test rows
 MAX_PCA, MAX_KBEST = 80, 300
 
@@ -106,13 +107,25 @@ def gram_blocks(samples: DataFrame, points: int, shift_x: np.ndarray, shift_y: d
         yield from emit(sums)
 
     narrow = samples.select("target", F.col("fold").cast("int").alias("fold"), "y", "spectrum")
+    if GROUPS_PER_TARGET * 8 * side * side > LARGE_BYTES:
+        # A task passes on one Gram matrix per group, however few rows it saw: with wide spectra,
+        # let a task stream through several input splits rather than shuffle more than was read.
+        narrow = narrow.coalesce(stream_tasks(narrow))
     if len(shift_y) * GROUPS_PER_TARGET > held:
-        # wide spectra: a scan per target, so that a task holds the sums of one target only; a table
-        # partitioned by target is still read once
+        # A scan per target, so that a task holds the sums of one target only; a table partitioned
+        # by target is still read once.
         narrow = reduce(DataFrame.unionByName, [narrow.filter(F.col("target") == t) for t in sorted(shift_y)])
     return add_blocks(narrow.mapInArrow(partial, schema), ["target", "fold"])
 
 
+def stream_tasks(df: DataFrame) -> int:
+    """Tasks that keep the cluster busy, also while it is still growing; more splits than that are
+    read one after the other."""
+    spark = df.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(4 * spark.sparkContext.defaultParallelism, partitions, 512)
+
+
 def add_blocks(blocks: DataFrame, by: list[str]) -> DataFrame:
     """Elementwise sums of equally placed blocks."""
     total = Summarizer.sum(array_to_vector(F.col("part")))

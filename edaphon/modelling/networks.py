@@ -25,7 +25,7 @@ from edaphon.modelling.moments import matrix_of
 # Training defaults.
 BATCH, VALID_SHARE, PATIENCE, TOLERANCE = 200, 0.1, 10, 1e-4
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
-SHARD_ROWS = 100_000
+SHARD_ROWS = 500_000
 
 
 @dataclass

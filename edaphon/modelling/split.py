@@ -35,42 +35,54 @@ def with_folds(df: DataFrame, key: str, seed: int = 42, folds: int = 5, share: f
     return df.withColumn("fold", F.when(is_test(k, seed, share), TEST).otherwise(fold_of(k, seed, folds)))
 
 
-def with_position(keys: DataFrame, digest: str) -> DataFrame:
-    """Adds ``position`` in digest order (from 0) and the row count ``total``.
+def with_position(keys: DataFrame, digest: str, by: list[str] = ()) -> DataFrame:
+    """Adds ``position`` in digest order (from 0) and the row count ``total``, per group of ``by``.
 
     Ranks are taken inside bins of the digest and moved by the number of rows in lower bins, so
     no task sees more than one bin. Digests spread distinct keys evenly; pass each key once.
     """
+    by = list(by)
     binned = keys.withColumn("_bin", F.substring(digest, 1, BIN_DIGITS))
-    counts = binned.groupBy("_bin").agg(F.count("*").alias("_rows"))
-    # at most 16**BIN_DIGITS rows, whatever the size of the table
-    in_order = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    counts = binned.groupBy(*by, "_bin").agg(F.count("*").alias("_rows"))
+    # at most 16**BIN_DIGITS rows per group, whatever the size of the table
+    in_order = Window.partitionBy(*by).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
+        *by,
         "_bin",
         F.coalesce(F.sum("_rows").over(in_order), F.lit(0)).alias("_start"),
-        F.sum("_rows").over(Window.partitionBy()).alias("total"),
+        F.sum("_rows").over(Window.partitionBy(*by)).alias("total"),
     )
     tie = [c for c in keys.columns if c != digest]
-    rank = F.row_number().over(Window.partitionBy("_bin").orderBy(digest, *tie))
+    rank = F.row_number().over(Window.partitionBy(*by, "_bin").orderBy(digest, *tie))
     ranked = binned.withColumn("_rank", rank)
-    placed = ranked.join(F.broadcast(starts), "_bin")
+    # few groups, e.g. five targets: the starts are a small table
+    placed = ranked.join(F.broadcast(starts), [*by, "_bin"])
     return placed.withColumn("position", F.col("_start") + F.col("_rank") - 1).drop("_bin", "_start", "_rank")
 
 
-def exact_split(keys: DataFrame, key: str, seed: int = 42, share: float = 0.2) -> DataFrame:
-    """``(key, split)`` with exactly ``ceil(share · n)`` test keys."""
-    distinct = keys.select(key).distinct().withColumn("_digest", seeded_md5(F.col(key), seed))
-    placed = with_position(distinct, "_digest")
+def exact_split(keys: DataFrame, key: str, seed: int = 42, share: float = 0.2, by: list[str] = ()) -> DataFrame:
+    """``(by…, key, split)`` with exactly ``ceil(share · n)`` test keys per group."""
+    distinct = keys.select(*by, key).distinct().withColumn("_digest", seeded_md5(F.col(key), seed))
+    placed = with_position(distinct, "_digest", by)
     # the share as a decimal, so that 0.2 · 10 is 2 and not a little above
     n_test = F.ceil(F.col("total") * F.lit(str(share)).cast("decimal(9,8)"))
-    return placed.select(key, F.when(F.col("position") < n_test, "test").otherwise("train").alias("split"))
+    return placed.select(*by, key, F.when(F.col("position") < n_test, "test").otherwise("train").alias("split"))
 
 
-def exact_folds(keys: DataFrame, key: str, seed: int = 42, folds: int = 5) -> DataFrame:
-    """``(key, fold)`` with fold sizes that differ by one at most, larger folds first."""
-    distinct = keys.select(key).distinct().withColumn("_digest", seeded_md5(F.col(key), f"fold{seed}"))
-    placed = with_position(distinct, "_digest")
+def exact_folds(keys: DataFrame, key: str, seed: int = 42, folds: int = 5, by: list[str] = ()) -> DataFrame:
+    """``(by…, key, fold)`` with fold sizes that differ by one at most, larger folds first."""
+    distinct = keys.select(*by, key).distinct().withColumn("_digest", seeded_md5(F.col(key), f"fold{seed}"))
+    placed = with_position(distinct, "_digest", by)
     p, q, r = F.col("position"), F.expr(f"total div {folds}"), F.col("total") % folds
     head = r * (q + 1)
     fold = F.when(p < head, F.floor(p / (q + 1))).otherwise(r + F.floor((p - head) / F.greatest(q, F.lit(1))))
-    return placed.select(key, fold.cast("int").alias("fold"))
+    return placed.select(*by, key, fold.cast("int").alias("fold"))
+
+
+def with_exact_folds(df: DataFrame, key: str, by: list[str], seed: int = 42, folds: int = 5,
+                     share: float = 0.2) -> DataFrame:
+    """As :func:`with_folds`, with exact sizes per group; costs a join on the key."""
+    split = exact_split(df, key, seed, share, by)
+    test = split.filter("split = 'test'").select(*by, key, F.lit(TEST).alias("fold"))
+    train = exact_folds(split.filter("split = 'train'"), key, seed, folds, by)
+    return df.join(test.unionByName(train), [*by, key])

@@ -13,7 +13,7 @@ from edaphon.modelling import moments as G
 from edaphon.modelling import search as S
 from edaphon.modelling.networks import Network, predict_networks, train_networks
 from edaphon.modelling.score import log_target, ranked, regression_metrics
-from edaphon.modelling.split import TEST, with_folds
+from edaphon.modelling.split import TEST, with_exact_folds, with_folds
 from edaphon.modelling.trees import fit_boosting, predict_boosting
 from edaphon.session import fresh_path, materialise
 
@@ -32,6 +32,7 @@ class Options:
     network_trials: int = 100
     folds: int = 5
     test_share: float = 0.2
+    exact_sizes: bool = False  # ceil(share · n) test rows and even folds, for a join on the key
     seed: int = 42
     network_rounds: int = 1500
     log_targets: tuple[str, ...] = ()
@@ -64,7 +65,10 @@ class Evaluation:
 
 def samples_of(gold: DataFrame, options: Options) -> DataFrame:
     """``(target, ssn, fold, y, spectrum)`` with the log targets transformed."""
-    split = with_folds(gold, "ssn", options.seed, options.folds, options.test_share)
+    if options.exact_sizes:
+        split = with_exact_folds(gold, "ssn", ["target"], options.seed, options.folds, options.test_share)
+    else:
+        split = with_folds(gold, "ssn", options.seed, options.folds, options.test_share)
     if options.log_targets:
         split = log_target(split, list(options.log_targets))
     return split.select("target", "ssn", "fold", "y", "spectrum")
@@ -107,7 +111,10 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
     """
     options = options or Options()
     spark = gold.sparkSession
-    study = G.study(samples_of(gold, options), points, options.folds)
+    samples = samples_of(gold, options)
+    if options.exact_sizes:
+        samples = materialise(samples, "samples")
+    study = G.study(samples, points, options.folds)
     reduced = materialise(study.reduced(), "reduced")
     shape = reduced.filter(F.col("holdout") == TEST).select("target", "n_train", F.lit(points).alias("points"))
     limits, skipped = usable_targets(S.bounds(shape), list(study.shift_y))

@@ -7,6 +7,7 @@ bronze skips what is there, silver and gold replace their tables, reports go to
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,11 @@ AUDIT_ORDER = [
 ]
 
 
+def run_stamp(now: datetime | None = None) -> str:
+    """UTC time of a run, taken once and handed to the jobs."""
+    return (now or datetime.now(timezone.utc)).astimezone(timezone.utc).strftime("%Y-%m-%d-%H-%M")
+
+
 @dataclass
 class Lake:
     """Where the layers lie."""

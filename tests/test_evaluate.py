@@ -113,7 +113,7 @@ def test_evaluation(spark, tmp_path):
             rows.append((target, f"s{i}", float(np.exp(y) if target == "p" else y), x.tolist()))
     gold = spark.createDataFrame(rows, "target string, ssn string, y double, spectrum array<double>")
     options = Options(
-        linear_trials=25, tree_trials=1, network_trials=1, folds=2, network_rounds=4, log_targets=("p",),
+        linear_trials=25, tree_trials=1, network_trials=1, folds=2, network_rounds=4, log_targets=("p",), exact_sizes=True,
         models=["Ridge", "PLS", "ElasticNet", "ElasticNet_SelectKBest", "Lasso", "XGBoost", "MLP"],
         overrides={"n_estimators": 3, "max_depth": 2},
     )
@@ -129,6 +129,7 @@ def test_evaluation(spark, tmp_path):
         best = next(r for r in own if r["modelo"] == "ElasticNet_SelectKBest")
         assert best["pca_componentes"] is None and 30 <= best["k_best"] <= 40
     test = found.samples.filter("fold = -1")
+    assert test.count() == 2 * 52
     assert found.predictions.count() == 7 * test.count()
     folder = save_models(found, str(tmp_path / "models"))
     assert spark.read.parquet(f"{folder}/linear").count() == 10

@@ -1,11 +1,14 @@
 """The four jobs, one after the other, on a small store."""
 
+from datetime import datetime, timedelta, timezone
+
 import numpy as np
 import pytest
 
+from edaphon.__main__ import arguments, main
 from edaphon.modelling.search import LINEAR
 from edaphon.plans.evaluate import Options
-from edaphon.plans.jobs import PREFIXES, Lake, run_bronze, run_gold, run_models, run_silver
+from edaphon.plans.jobs import PREFIXES, Lake, run_bronze, run_gold, run_models, run_silver, run_stamp
 from edaphon.sinks.lake import gold_of, read_gold
 from edaphon.sources.spectra import text_decoder
 
@@ -60,3 +63,19 @@ def test_jobs(spark, store, tmp_path):
     assert best["ph"]["test_r2"] > 0.8 and best["p"]["log_transform"]
     saved = spark.read.option("header", "true").csv(lake.path("results", "run_ts=t1"))
     assert saved.count() == 10 and "melhores_params" in saved.columns
+
+
+def test_command_line(spark, tmp_path, capsys):
+    source = tmp_path / "src" / "p"
+    source.mkdir(parents=True)
+    (source / "a").write_text("x")
+    main(["bronze", "--lake", str(tmp_path / "lake"), "--source", str(tmp_path / "src"), "--prefix", "p/"])
+    assert (tmp_path / "lake" / "bronze" / "p" / "a").read_text() == "x"
+    assert "p/" in capsys.readouterr().out
+    for bad in (["bronze", "--lake", "x"], ["models", "--lake", "x"], ["other", "--lake", "x"]):
+        with pytest.raises(SystemExit):
+            arguments(bad)
+
+
+def test_run_stamp():
+    assert run_stamp(datetime(2024, 5, 6, 7, 8, tzinfo=timezone(timedelta(hours=-3)))) == "2024-05-06-10-08"

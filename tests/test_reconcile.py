@@ -172,3 +172,12 @@ def test_metric_names(spark):
     assert len(names) == len(set(names)) == 47
 
 
+
+
+def test_guards(spark):
+    silver = spark.createDataFrame([("a", 7.0, 1.0, [1.0])], SILVER)
+    for missing in ("ssn", "ph", "spectrum"):
+        with pytest.raises(KeyError, match=missing):
+            O.gold_table(silver.drop(missing), "ph", 1)
+    with pytest.raises(ValueError, match="wn_"):
+        narrow(silver)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from edaphon.functions.hashing import hex_uniform, seeded_md5
-from edaphon.modelling.split import exact_folds, exact_split, fold_of, is_test, with_folds
+from edaphon.modelling.split import exact_folds, exact_split, fold_of, is_test, with_exact_folds, with_folds
 
 
 def keys(spark, n, parts=3):
@@ -59,3 +59,13 @@ def test_repeated_keys_count_once(spark):
 def test_uniform(spark):
     u = keys(spark, 10).select("ssn", hex_uniform(seeded_md5(F.col("ssn"), 1)).alias("u")).collect()
     assert all(r["u"] == int(digest(f"{r['ssn']}|1")[:8], 16) / 2**32 for r in u)
+
+
+def test_exact_folds_per_group(spark):
+    both = keys(spark, 23).withColumn("target", F.lit("a")).unionByName(keys(spark, 40).withColumn("target", F.lit("b")))
+    rows = with_exact_folds(both, "ssn", ["target"]).collect()
+    for target, n in (("a", 23), ("b", 40)):
+        folds = [r["fold"] for r in rows if r["target"] == target]
+        test = math.ceil(n / 5)
+        sizes = [(n - test) // 5 + (f < (n - test) % 5) for f in range(5)]
+        assert [folds.count(f) for f in range(-1, 5)] == [test, *sizes]
