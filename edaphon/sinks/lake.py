@@ -7,6 +7,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edaphon.functions.dictionary import with_comments
 from edaphon.functions.spectrum import widen
 from edaphon.session import fresh_path
 from edaphon.sources.manifest import object_manifest
@@ -20,6 +21,7 @@ def write_silver(silver: DataFrame, path: str | None = None, points: int | None
     Tasks write in parallel: no single output file, no pass of the table through one task.
     """
     path = path or fresh_path(silver.sparkSession, "silver")
+    silver = with_comments(silver)
     try:
         silver.write.mode("overwrite").parquet(path)
         return path, "parquet"
@@ -34,18 +36,15 @@ def write_silver(silver: DataFrame, path: str | None = None, points: int | None
     return f"{path}_csv", "csv"
 
 
-def write_gold(tidy: DataFrame, path: str) -> str:
+def write_gold(tidy: DataFrame, path: str, replace_all: bool = False) -> str:
     """``(target, ssn, y, spectrum)`` partitioned by target.
 
-    Dynamic overwrite replaces the targets at hand and leaves the others, so a re-run is safe; rows
-    are spread within a target, so no target is one file or one task.
+    Replaces the targets that have rows and leaves the others, or replaces the whole table, so that
+    a target without rows does not keep its old ones. Either way a re-run is safe. Rows are spread
+    within a target, so no target is one file or one task.
     """
-    (
-        tidy.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("target")
-        .parquet(path)
-    )
+    mode = "static" if replace_all else "dynamic"
+    tidy.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("target").parquet(path)
     return path
 
 

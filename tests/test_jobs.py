@@ -49,6 +49,9 @@ def test_jobs(spark, store, tmp_path):
     status = spark.read.option("header", "true").csv(lake.path("validations", "spectra", "run_ts=t1"))
     assert {r["decode_status"]: r["files"] for r in status.collect()} == {"ok": str(SAMPLES - 1), "no_spectrum": "1"}
 
+    comments = {f.name: f.metadata.get("comment") for f in spark.read.parquet(lake.path("silver")).schema.fields}
+    assert comments["ph"] and comments["spectrum"]
+
     audit = {r["gold_name"]: r for r in run_gold(spark, lake, "t1").collect()}
     assert audit["ph"]["status"] == "success" and audit["ph"]["output_rows"] == SAMPLES - 1
     assert audit["ph"]["final_file_size"] > 0 and audit["ph"]["final_path"].endswith("gold/target=ph")
@@ -65,6 +68,21 @@ def test_jobs(spark, store, tmp_path):
     assert saved.count() == 10 and "melhores_params" in saved.columns
 
 
+def test_gold_from_a_wide_silver_replaces_the_table(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    rows = [("a", 7.0, 1.0, 0.1, 0.2), ("b", None, 2.0, 0.3, 0.4)]
+    schema = "ssn string, ph double, pct_c double, wn_0 double, wn_1 double"
+    spark.createDataFrame(rows, schema).write.parquet(lake.path("silver"))
+    run_gold(spark, lake, "t1")
+    found = {(r["target"], r["ssn"]): r["spectrum"] for r in read_gold(spark, lake.path("gold")).collect()}
+    assert found == {("ph", "a"): [0.1, 0.2], ("carbono", "a"): [0.1, 0.2], ("carbono", "b"): [0.3, 0.4]}
+    spark.createDataFrame(rows[1:], schema).write.mode("overwrite").parquet(lake.path("silver"))
+    audit = {r["gold_name"]: r for r in run_gold(spark, lake, "t2").collect()}
+    assert audit["ph"]["status"] == "empty_gold_after_dropna" and audit["ph"]["final_file_size"] == 0
+    left = read_gold(spark, lake.path("gold")).select("target", "ssn").collect()
+    assert [tuple(r) for r in left] == [("carbono", "b")]
+
+
 def test_command_line(spark, tmp_path, capsys):
     source = tmp_path / "src" / "p"
     source.mkdir(parents=True)
