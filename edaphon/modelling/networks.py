@@ -115,11 +115,13 @@ ROUND = "net int, n double, part array<double>, loss double, valid array<double>
 
 
 def sharded(rows: DataFrame, shards: int, key: str, size: int, seed: int) -> DataFrame:
-    """Training rows dealt to shards, in digest order, with the validation rows marked."""
+    """Training rows dealt to shards, in digest order, with the validation rows marked. The deal
+    looks at the whole row, so a repeated key does not fill one shard."""
     digest = seeded_md5(F.col(key), f"net{seed}")
+    deal = F.xxhash64(key, "y", "features", F.lit(seed))
     dealt = rows.select(
-        F.substring(digest, 9, 8).alias("_order"),
-        F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(shards)).cast("int").alias("_shard"),
+        F.concat(F.substring(digest, 9, 8), F.hex(deal)).alias("_order"),
+        F.pmod(deal, F.lit(shards)).cast("int").alias("_shard"),
         (hex_uniform(digest) < VALID_SHARE).alias("_valid"),
         "y",
         F.slice("features", 1, size).alias("features"),

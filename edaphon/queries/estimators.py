@@ -308,6 +308,15 @@ def refit_predict(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate(samples, POINTS, Options(models=S.LINEAR, linear_trials=40)).predictions
 
 
+@query("evaluate_all_targets")
+def evaluate_all_targets(spark: SparkSession, sf: str) -> DataFrame:
+    """The linear families on the five Gold tables, phosphorus in logs, with exact split sizes."""
+    path = write_gold(gold(spark, sf), fresh_path(spark, "gold"))
+    options = Options(models=S.LINEAR, linear_trials=25, log_targets=("p",), exact_sizes=True)
+    results = evaluate(read_gold(spark, path), POINTS, options).results
+    return results.withColumn("melhores_params", F.to_json("melhores_params"))
+
+
 @query("evaluate_models")
 def evaluate_models(spark: SparkSession, sf: str) -> DataFrame:
     """All eight families on the planted target, with small budgets for trees and networks."""
