@@ -28,6 +28,7 @@ BLOCK = 256  # side of the blocks a Gram matrix travels in: 512 KB of doubles
 HELD_BYTES = 1 << 29  # partial sums a task may hold
 LARGE_BYTES = 1 << 24  # partial sums worth saving a shuffle of
 GROUPS_PER_TARGET = 6  # five folds and the test rows
+GROUP_TASKS = 128  # most tasks for groups that are few and small but cost time
 MAX_PCA, MAX_KBEST = 80, 300
 
 
@@ -126,6 +127,11 @@ def stream_tasks(df: DataFrame) -> int:
     return max(4 * spark.sparkContext.defaultParallelism, partitions, 512)
 
 
+def group_tasks(df: DataFrame) -> int:
+    """Tasks for a few costly groups. Counted, because by size alone Spark would put them in one."""
+    return min(GROUP_TASKS, 2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def add_blocks(blocks: DataFrame, by: list[str]) -> DataFrame:
     """Elementwise sums of equally placed blocks."""
     total = Summarizer.sum(array_to_vector(F.col("part")))
@@ -225,7 +231,8 @@ def reduce_moments(moments: DataFrame, points: int, shift_x: np.ndarray, shift_y
         }
         return pd.DataFrame([row])
 
-    return moments.groupBy("target", "holdout").applyInPandas(reduce_one, REDUCED)
+    spread = moments.repartition(group_tasks(moments), "target", "holdout")
+    return spread.groupBy("target", "holdout").applyInPandas(reduce_one, REDUCED)
 
 
 def feature_rows(moments: DataFrame, points: int, shift_x: np.ndarray, shift_y: dict[str, float]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from edaphon.functions.hashing import hex_uniform
 from edaphon.modelling.gram import elastic_dense, elastic_diagonal, pls_weights, ridge_diagonal
-from edaphon.modelling.moments import MAX_KBEST, MAX_PCA
+from edaphon.modelling.moments import MAX_KBEST, MAX_PCA, group_tasks
 
 # The search space. Bounds marked None come from the data, see `bounds`.
 # (parameter, kind, low, high, step)
@@ -121,9 +121,11 @@ def held_out_r2(space: str, count: int, w: np.ndarray, row) -> float:
     return float(1 - error / spread) if spread > 0 else float("nan")
 
 
-def _joined(trials: DataFrame, reduced: DataFrame, fn, schema: str) -> DataFrame:
-    """Each target and held-out fold with its trials, in one small task."""
-    return trials.groupBy("target", "holdout").cogroup(reduced.groupBy("target", "holdout")).applyInPandas(fn, schema)
+def _joined(trials: DataFrame, reduced: DataFrame, fn, schema: str, by: list[str]) -> DataFrame:
+    """Trials with the moments they are solved on, group by group."""
+    tasks = group_tasks(trials)
+    left, right = (df.repartition(tasks, *by).groupBy(*by) for df in (trials, reduced))
+    return left.cogroup(right).applyInPandas(fn, schema)
 
 
 def score_linear(trials: DataFrame, reduced: DataFrame, folds: int = 5) -> DataFrame:
@@ -138,8 +140,12 @@ def score_linear(trials: DataFrame, reduced: DataFrame, folds: int = 5) -> DataF
             scores.append(held_out_r2(*linear_weights(model, dict(params), row), row))
         return trial_pdf.assign(score=scores, step=trial_pdf["holdout"])[["target", "model", "trial", "step", "score"]]
 
-    spread = trials.filter(F.col("model").isin(LINEAR)).withColumn("holdout", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
-    return _joined(spread, reduced, score, "target string, model string, trial int, step int, score double")
+    numbers = F.sequence(F.lit(0), F.lit(folds - 1))
+    spread = trials.filter(F.col("model").isin(LINEAR)).withColumn("holdout", F.explode(numbers))
+    # a group per model family: its row of moments is a few hundred KB, its solves may take a minute
+    each = reduced.withColumn("model", F.explode(F.array(*[F.lit(m) for m in LINEAR])))
+    schema = "target string, model string, trial int, step int, score double"
+    return _joined(spread, each, score, schema, ["target", "holdout", "model"])
 
 
 def linear_models(best: DataFrame, reduced: DataFrame, points: int) -> DataFrame:
@@ -171,7 +177,7 @@ def linear_models(best: DataFrame, reduced: DataFrame, points: int) -> DataFrame
         "intercept double, coefficients array<double>, pca_variance double"
     )
     final = best.filter(F.col("model").isin(LINEAR)).withColumn("holdout", F.lit(-1))
-    return _joined(final.select("target", "holdout", "model", "params"), reduced, refit, schema)
+    return _joined(final.select("target", "holdout", "model", "params"), reduced, refit, schema, ["target", "holdout"])
 
 
 def prune(scores: DataFrame, study: list[str], startup: int = STARTUP_TRIALS, warmup: int = WARMUP_STEPS) -> DataFrame:

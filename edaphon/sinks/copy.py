@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edaphon.session import materialise
-from edaphon.sources.manifest import empty_prefixes, open_store, with_prefixes, without_folders
+from edaphon.sources.manifest import empty_prefixes, full_root, open_store, with_prefixes, without_folders
 
 # Messages of the audit.
 EMPTY_MESSAGE = "Nenhum arquivo encontrado para o prefix."
@@ -108,6 +108,7 @@ def copy_objects(source: DataFrame, before: DataFrame, source_root: str, dest_ro
     """
     spark = source.sparkSession
     tasks = tasks or 4 * spark.sparkContext.defaultParallelism
+    source_root, dest_root = full_root(source_root), full_root(dest_root)
     objects = _listed(source, prefixes, dest_prefix)
     known = before.select(F.col("key").alias("dest_key"), F.col("size").alias("size_before"))
     plan = materialise(objects.join(known, "dest_key", "left"), "copy-plan")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,6 +27,11 @@ def open_store(root: str) -> tuple[arrow_fs.FileSystem, str]:
     return store, path.rstrip("/")
 
 
+def full_root(root: str) -> str:
+    """A relative path as the driver means it."""
+    return root if "://" in root or root.startswith(("/", "file:")) else os.path.abspath(root)
+
+
 def object_manifest(spark: SparkSession, root: str, prefixes: list[str] | None = None) -> DataFrame:
     """``(key, size)`` of the objects below ``root`` whose key starts with one of the prefixes.
 
@@ -33,7 +39,7 @@ def object_manifest(spark: SparkSession, root: str, prefixes: list[str] | None =
     itself. Spark's file sources are no help here, they leave out empty files. A root that does not
     exist holds nothing. Overlapping prefixes list an object once.
     """
-    wanted = prefixes or [""]
+    root, wanted = full_root(root), prefixes or [""]
     own = [p for p in wanted if not any(p != q and p.startswith(q) for q in wanted)]
 
     def keyed(store, path: str, folder: str, recursive: bool) -> pd.DataFrame:
