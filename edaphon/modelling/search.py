@@ -194,9 +194,9 @@ def prune(scores: DataFrame, study: list[str], startup: int = STARTUP_TRIALS, wa
     return judged.withColumn("pruned", ~exempt & F.coalesce(below, F.lit(False)))
 
 
-def best_trials(scores: DataFrame, study: list[str]) -> DataFrame:
+def best_trials(scores: DataFrame, study: list[str], startup: int = STARTUP_TRIALS) -> DataFrame:
     """``(study…, trial, cv_best_r2)``: the unpruned trial with the highest mean, lowest number on ties."""
-    judged = prune(scores, study)
+    judged = prune(scores, study, startup)
     complete = judged.groupBy(*study, "trial").agg(
         F.avg("score").alias("cv_r2"), F.bool_or("pruned").alias("pruned")
     )

@@ -18,6 +18,7 @@ from edaphon.modelling.trees import fit_boosting, predict_boosting
 from edaphon.session import fresh_path, materialise
 
 BOOSTED, NETWORK = ["XGBoost", "LightGBM"], "MLP"
+STUDY = ["target", "model"]
 SCORES = "target string, model string, trial int, step int, score double"
 PREDICTIONS = ["target", "ssn", "model", "y", "yhat"]
 
@@ -30,6 +31,7 @@ class Options:
     linear_trials: int = 100
     tree_trials: int = 100
     network_trials: int = 100
+    startup_trials: int = S.STARTUP_TRIALS  # trials that are never pruned
     folds: int = 5
     test_share: float = 0.2
     exact_sizes: bool = False  # ceil(share · n) test rows and even folds, for a join on the key
@@ -145,7 +147,7 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
         scores = scores.unionByName(spark.createDataFrame(rows, SCORES))
     scores = materialise(scores, "scores")
 
-    best = S.best_trials(scores, ["target", "model"]).join(trials, ["target", "model", "trial"])
+    best = S.best_trials(scores, STUDY, options.startup_trials).join(trials, ["target", "model", "trial"])
     best = materialise(best, "best")
     linear = materialise(S.linear_models(best, reduced, points), "linear")
     parts = [predict_linear(study, linear)]
@@ -183,8 +185,9 @@ def usable_targets(limits: DataFrame, targets: list[str]) -> tuple[DataFrame, di
 
 
 def _cross_validate(heavy: list[dict], projections: Projections, options: Options) -> list[tuple]:
-    """Held-out scores of trees and networks. Fits are Spark jobs of their own; some run side by
-    side so that a small one does not leave the cluster idle."""
+    """Held-out scores of trees and networks, fold by fold, trials that fall behind left out of the
+    later folds. Fits are Spark jobs of their own; some run side by side so that a small one does
+    not leave the cluster idle."""
 
     def parts(target: str, fold: int) -> tuple[DataFrame, DataFrame, int, int]:
         rows, n, available = projections.of(target, fold)
@@ -207,13 +210,18 @@ def _cross_validate(heavy: list[dict], projections: Projections, options: Option
         scored = predict_networks(held, nets, max(n.inputs for n in nets), ["ssn", "y"])
         return [(target, NETWORK, own[r["net"]]["trial"], fold, r["score"]) for r in _r2(scored, ["net"]).collect()]
 
-    folds = range(options.folds)
-    tree_jobs = [(t, f) for t in heavy if t["model"] in BOOSTED for f in folds]
-    net_jobs = sorted({(t["target"], f) for t in heavy if t["model"] == NETWORK for f in folds})
+    scored: list[tuple] = []
     with ThreadPoolExecutor(options.parallel) as pool:
-        scored = list(pool.map(boosted, tree_jobs))
-        for part in pool.map(network, net_jobs):
-            scored += part
+        for fold in range(options.folds):
+            trees = [(t, fold) for t in heavy if t["model"] in BOOSTED]
+            nets = [(t, fold) for t in sorted({t["target"] for t in heavy if t["model"] == NETWORK})]
+            scored += pool.map(boosted, trees)
+            for part in pool.map(network, nets):
+                scored += part
+            # a trial that falls behind after this fold is not tried on the next
+            judged = S.prune(projections.rows.sparkSession.createDataFrame(scored, SCORES), STUDY, options.startup_trials)
+            behind = {(r["target"], r["model"], r["trial"]) for r in judged.filter("pruned").collect()}
+            heavy = [t for t in heavy if (t["target"], t["model"], t["trial"]) not in behind]
     return scored
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence  # noqa: F401
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +16,9 @@ from edaphon.sources.manifest import object_manifest
 # Where the spectra lie and how their files end.
 SPECTRA_FOLDER = "Bruker_Alpha_KBr/"
 SPECTRA_PATTERN = r"\.0$"
+SPECTRA_GLOB = "*.0"
 
-Decoder = Callable[[bytes], "list[float] | None"]
+Decoder = Callable[[bytes], "Sequence[float] | None"]
 DECODED = "source string, spectrum array<double>, decode_status string, error_message string"
 
 
@@ -38,7 +40,9 @@ def scan_spectra(spark: SparkSession, root: str) -> DataFrame:
     Spark's file source leaves out empty files; they are added from the listing, so that the
     status counts hold every file.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    # the filter on the path comes after the contents are read, the glob before
+    files = reader.option("pathGlobFilter", SPECTRA_GLOB).load(root)
     full = files.filter(is_spectrum_key(F.col("path"))).select(F.col("path").alias("source"), "content")
     path = F.concat(F.lit(f"{root.rstrip('/')}/"), "key")
     empty = object_manifest(spark, root).filter((F.col("size") == 0) & is_spectrum_key(path))
@@ -53,26 +57,29 @@ def decode(files: DataFrame, decoder: Decoder = text_decoder) -> DataFrame:
 
     def one(content: bytes):
         try:
-            spectrum = decoder(bytes(content))
+            spectrum = decoder(content)
+            if spectrum is None:
+                return None, "no_spectrum", None
+            values = np.asarray(spectrum, dtype=float)
+            if values.ndim != 1:
+                raise ValueError(f"a spectrum has one dimension, not {values.ndim}")
         except Exception as error:  # noqa: BLE001 - any decoder failure becomes a status
             return None, "error", f"{type(error).__name__}: {error}"
-        if spectrum is None:
-            return None, "no_spectrum", None
-        return spectrum, "ok", None
-
-    def batches(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in pdfs:
-            results = [one(c) for c in pdf["content"]]
-            yield pd.DataFrame(
-                {
-                    "source": pdf["source"].to_numpy(),
-                    "spectrum": [r[0] for r in results],
-                    "decode_status": [r[1] for r in results],
-                    "error_message": [r[2] for r in results],
-                }
-            )
-
-    return files.select("source", "content").mapInPandas(batches, DECODED)
+        return values, "ok", None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            results = [one(content.as_py()) for content in batch.column("content")]
+            columns = [
+                batch.column("source"),
+                # Arrow keeps a NaN apart from a missing value, pandas would not
+                pa.array([r[0] for r in results], pa.list_(pa.float64()), from_pandas=False),
+                pa.array([r[1] for r in results], pa.string()),
+                pa.array([r[2] for r in results], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["source", "spectrum", "decode_status", "error_message"])
+
+    return files.select("source", "content").mapInArrow(run, DECODED)
 
 
 def spectra_base(decoded: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from edaphon.modelling import score as R
 from edaphon.modelling.networks import Network, predict_networks, train_networks
 from edaphon.modelling.trees import regressor, tree_depth
+from edaphon.plans import evaluate as E
 from edaphon.plans.evaluate import Options, evaluate, save_models
 
 
@@ -135,3 +136,29 @@ def test_evaluation(spark, tmp_path):
     assert spark.read.parquet(f"{folder}/linear").count() == 10
     assert spark.read.parquet(f"{folder}/networks").count() == 2
     assert GBTRegressionModel.load(f"{folder}/boosted/ph/XGBoost").getNumTrees == 3
+
+
+def test_trials_that_fall_behind_stop(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(150, 12))
+    y = x @ rng.normal(size=12)
+    rows = [("t", f"s{i}", float(y[i]), x[i].tolist()) for i in range(150)]
+    gold = spark.createDataFrame(rows, "target string, ssn string, y double, spectrum array<double>")
+    options = Options(models=["XGBoost"], tree_trials=4, folds=3, startup_trials=1,
+                      overrides={"n_estimators": 2, "max_depth": 2})
+    samples = E.samples_of(gold, options)
+    study = E.G.study(samples, 12, 3)
+    reduced = E.materialise(study.reduced(), "reduced")
+    limits, _ = E.usable_targets(E.S.bounds(reduced.filter("holdout = -1").selectExpr("target", "n_train", "12 as points")), ["t"])
+    heavy = [
+        {"target": "t", "model": "XGBoost", "trial": r["trial"], "params": {**r["params"], "n_estimators": 2.0, "max_depth": 2.0}}
+        for r in E.S.candidates(limits, 4, models=["XGBoost"]).collect()
+    ]
+    scored = E._cross_validate(heavy, E.Projections(*E.components(study, reduced)), options)
+    tried = {t: sorted(s for _, _, trial, s, _ in scored if trial == t) for t in range(4)}
+    assert tried[0] == [0, 1, 2] and all(steps[:2] == [0, 1] for steps in tried.values())
+    table = spark.createDataFrame(scored, E.SCORES)
+    pruned = {(r["trial"], r["step"]) for r in E.S.prune(table, E.STUDY, 1).filter("pruned").collect()}
+    for trial, steps in tried.items():
+        stopped = [s for t, s in pruned if t == trial]
+        assert steps == list(range(min(stopped, default=2) + 1))

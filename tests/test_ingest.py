@@ -1,5 +1,7 @@
+import math
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql.readwriter import DataFrameWriter
 
@@ -105,6 +107,15 @@ def test_scan_and_decode_files(spark, store):
         require_spectra(spectra_base(decoded.filter("decode_status <> 'ok'")))
 
 
+def test_decoder_results_that_are_no_spectrum(spark):
+    answers = {b"list": [1, 2], b"array": np.array([3.0]), b"words": ["a"], b"table": [[1.0], [2.0]], b"hole": [None, 1.0], b"none": None}
+    files = spark.createDataFrame([(f"{k.decode()}.0", bytearray(k)) for k in answers], "source string, content binary")
+    got = {r["source"][:-2]: (r["decode_status"], r["spectrum"]) for r in decode(files, answers.__getitem__).collect()}
+    assert got["list"] == ("ok", [1.0, 2.0]) and got["array"] == ("ok", [3.0])
+    assert got["words"][0] == got["table"][0] == "error" and got["none"] == ("no_spectrum", None)
+    assert got["hole"][0] == "ok" and math.isnan(got["hole"][1][0])
+
+
 def test_lab_csv_with_stray_words(spark, tmp_path):
     path = tmp_path / "Wet_Chemistry_X.csv"
     path.write_text('SSN,pH,%C, Olsen P mg/kg,note\nicr1,6.5,bad,3,x\n"  ",7,1.5,,y\n')
