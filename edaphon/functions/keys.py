@@ -7,7 +7,10 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# What a sample key starts with, and the replacements of the naming rule, in order.
 KEY_PREFIX = "icr"
+RENAMES = (("%", "pct_"), ("/", "_"), (" ", "_"))
+DROPPED = "[^a-z0-9_]"
 
 
 def blank_to_null(key: Column) -> Column:
@@ -56,17 +59,17 @@ def uri_key(uri: Column) -> Column:
 def snake_name(name: str) -> str:
     """The naming rule for table columns, applied to a schema."""
     text = name.strip().lower()
-    for old, new in (("%", "pct_"), ("/", "_"), (" ", "_")):
+    for old, new in RENAMES:
         text = text.replace(old, new)
-    return re.sub("[^a-z0-9_]", "", text)
+    return re.sub(DROPPED, "", text)
 
 
 def snake_name_of(name: Column) -> Column:
     """The same rule for names that are data."""
     text = F.lower(strip(name))
-    for old, new in (("%", "pct_"), ("/", "_"), (" ", "_")):
+    for old, new in RENAMES:
         text = F.replace(text, F.lit(old), F.lit(new))
-    return F.regexp_replace(text, "[^a-z0-9_]", "")
+    return F.regexp_replace(text, DROPPED, "")
 
 
 def with_snake_names(df: DataFrame) -> DataFrame:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from edaphon.session import shared_dir
 
-# Smallest leaf of the two families when nothing else is said.
+# Smallest leaf of the two families and their number of bins per feature.
 MIN_LEAF = {"XGBoost": 1, "LightGBM": 20}
+BINS = 256
 
 
 def tree_depth(model: str, params: dict[str, float]) -> int:
@@ -38,6 +39,7 @@ def regressor(model: str, params: dict[str, float], n: int, seed: int = 42) -> G
         maxDepth=tree_depth(model, params),
         subsamplingRate=float(params["subsample"]),
         featureSubsetStrategy=str(min(float(params["colsample_bytree"]), 1.0)),
+        maxBins=BINS,
         minInfoGain=float(params["reg_alpha"]) / n,
         minInstancesPerNode=MIN_LEAF[model] + int(params["reg_lambda"]),
         checkpointInterval=10,

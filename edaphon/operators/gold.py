@@ -18,6 +18,10 @@ GOLD_TARGETS = {
 }
 # The targets whose domain the audit checks.
 CHECKED = ["ph", "pct_c", "olsen_p_mg_kg", "exbas"]
+# Audit statuses, the first that applies, and the message of a target Silver lacks.
+FAILED, EMPTY, DUPLICATES = "failed", "empty_gold_after_dropna", "success_with_duplicates"
+INVALID, SUCCESS = "success_with_invalid_target", "success"
+NO_TARGET = "Target {} não existe"
 ID = "ssn"
 
 
@@ -92,18 +96,18 @@ def gold_audit(silver: DataFrame, points: int, targets: dict[str, str] = GOLD_TA
                 (F.col(f"null_{g}") if found else zero).alias("null_target_rows"),
                 (F.col(f"dup_{g}") if found else zero).alias("duplicate_ssn"),
                 (F.col(f"bad_{g}") if found else zero).alias("invalid_target_rows"),
-                (nothing if found else F.lit(f"Target {t} não existe")).alias("error_message"),
+                (nothing if found else F.lit(NO_TARGET.format(t))).alias("error_message"),
             )
         )
     listed = totals.select(F.inline(F.array(*rows)))
     dropped = F.col("input_rows") - F.col("output_rows")
     share = F.when(F.col("input_rows") > 0, F.round((dropped / F.col("input_rows")) * 100, 2)).otherwise(0.0)
     status = (
-        F.when(F.col("error_message") != "", "failed")
-        .when(F.col("output_rows") == 0, "empty_gold_after_dropna")
-        .when(F.col("duplicate_ssn") > 0, "success_with_duplicates")
-        .when(F.col("invalid_target_rows") > 0, "success_with_invalid_target")
-        .otherwise("success")
+        F.when(F.col("error_message") != "", FAILED)
+        .when(F.col("output_rows") == 0, EMPTY)
+        .when(F.col("duplicate_ssn") > 0, DUPLICATES)
+        .when(F.col("invalid_target_rows") > 0, INVALID)
+        .otherwise(SUCCESS)
     )
     return listed.select(
         "gold_name",

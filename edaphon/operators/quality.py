@@ -23,6 +23,14 @@ DOMAIN_RULES = {
 SPECTRA, CROPNUTS, ICRAF, RRES, SILVER = "bronze_espectro", "wet_cropnuts", "wet_icraf", "wet_rres", "silver_final"
 LABS = [CROPNUTS, ICRAF, RRES]
 
+# The other metric names; braces stand for a table or a column.
+ROWS, NULL_KEYS, REPEATED_KEYS = "qtd_linhas_{}", "qtd_ssn_nulo_{}", "qtd_ssn_duplicado_{}"
+UNIQUE_WET, UNIQUE_SPECTRA = "qtd_ssn_unicos_wet_unificado", "qtd_ssn_unicos_espectro"
+MATCHED, WET_ONLY, SPECTRA_ONLY = "qtd_wet_com_match_espectro", "qtd_wet_sem_espectro", "qtd_espectro_sem_wet"
+COVERAGE = "pct_cobertura_wet_com_espectro"
+FILLED, MISSING = "qtd_preenchido_{}", "qtd_nulo_{}"
+SILVER_COLUMNS, SPECTRAL_COLUMNS = "qtd_colunas_silver_final", "qtd_colunas_espectrais_wn"
+
 
 def outside_domain(target: str, value: Column) -> Column:
     """True outside the bounds; NaN sorts above every bound and is outside an upper one."""
@@ -51,24 +59,24 @@ def key_metrics(census: DataFrame, tables: list[str]) -> DataFrame:
     known = F.col("key").isNotNull()
     exprs = []
     for t in tables:
-        exprs.append(F.coalesce(F.sum(t), F.lit(0)).alias(f"qtd_linhas_{t}"))
-        exprs.append(F.coalesce(F.sum(F.when(~known, F.col(t))), F.lit(0)).alias(f"qtd_ssn_nulo_{t}"))
-        exprs.append(F.count_if(known & (F.col(t) > 1)).alias(f"qtd_ssn_duplicado_{t}"))
+        exprs.append(F.coalesce(F.sum(t), F.lit(0)).alias(ROWS.format(t)))
+        exprs.append(F.coalesce(F.sum(F.when(~known, F.col(t))), F.lit(0)).alias(NULL_KEYS.format(t)))
+        exprs.append(F.count_if(known & (F.col(t) > 1)).alias(REPEATED_KEYS.format(t)))
     if SPECTRA in tables:
         labs = [t for t in LABS if t in tables]
         in_lab = known & reduce(lambda a, b: a | b, [F.col(t) > 0 for t in labs])
         scanned = F.col(SPECTRA) > 0
         exprs += [
-            F.count_if(in_lab).alias("qtd_ssn_unicos_wet_unificado"),
-            F.count_if(known & scanned).alias("qtd_ssn_unicos_espectro"),
-            F.count_if(in_lab & scanned).alias("qtd_wet_com_match_espectro"),
-            F.count_if(in_lab & ~scanned).alias("qtd_wet_sem_espectro"),
-            F.count_if(scanned & ~in_lab).alias("qtd_espectro_sem_wet"),
+            F.count_if(in_lab).alias(UNIQUE_WET),
+            F.count_if(known & scanned).alias(UNIQUE_SPECTRA),
+            F.count_if(in_lab & scanned).alias(MATCHED),
+            F.count_if(in_lab & ~scanned).alias(WET_ONLY),
+            F.count_if(scanned & ~in_lab).alias(SPECTRA_ONLY),
         ]
     row = census.agg(*exprs)
     if SPECTRA in tables:
-        covered = percent(F.col("qtd_wet_com_match_espectro"), F.col("qtd_ssn_unicos_wet_unificado"))
-        row = row.withColumn("pct_cobertura_wet_com_espectro", covered)
+        covered = percent(F.col(MATCHED), F.col(UNIQUE_WET))
+        row = row.withColumn(COVERAGE, covered)
     return row
 
 
@@ -78,8 +86,8 @@ def target_aggregates(columns: list[str]) -> list[Column]:
     for t in [t for t in TARGETS if t in columns]:
         value = F.col(t)
         exprs += [
-            F.count(value).alias(f"qtd_preenchido_{t}"),
-            F.count_if(value.isNull()).alias(f"qtd_nulo_{t}"),
+            F.count(value).alias(FILLED.format(t)),
+            F.count_if(value.isNull()).alias(MISSING.format(t)),
             F.count_if(outside_domain(t, value)).alias(DOMAIN_RULES[t][0]),
         ]
     return exprs
@@ -88,8 +96,8 @@ def target_aggregates(columns: list[str]) -> list[Column]:
 def spectral_aggregates(first: int = 10) -> list[Column]:
     """Number of spectral columns and the NULL count of the first ones."""
     points = F.coalesce(F.max(F.array_size("spectrum")), F.lit(0))
-    nulls = [F.count_if(F.get("spectrum", F.lit(i)).isNull()).alias(f"qtd_nulo_wn_{i}") for i in range(first)]
-    return [points.alias("qtd_colunas_espectrais_wn"), *nulls]
+    nulls = [F.count_if(F.get("spectrum", F.lit(i)).isNull()).alias(MISSING.format(f"wn_{i}")) for i in range(first)]
+    return [points.alias(SPECTRAL_COLUMNS), *nulls]
 
 
 def as_rows(metrics: DataFrame) -> DataFrame:
@@ -112,9 +120,9 @@ def silver_metrics(tables: dict[str, DataFrame], silver: DataFrame) -> DataFrame
     as a written table, it is read for its keys and for its values.
     """
     census = key_census({**tables, SILVER: silver.select(F.col("ssn").alias("SSN"))})
-    keys = key_metrics(census, [*tables, SILVER]).drop(f"qtd_ssn_nulo_{SILVER}")
+    keys = key_metrics(census, [*tables, SILVER]).drop(NULL_KEYS.format(SILVER))
     others = len([c for c in silver.columns if c != "spectrum"])
     values = silver.agg(*target_aggregates(silver.columns), *spectral_aggregates()).withColumn(
-        "qtd_colunas_silver_final", F.col("qtd_colunas_espectrais_wn") + others
+        SILVER_COLUMNS, F.col(SPECTRAL_COLUMNS) + others
     )
     return as_rows(keys).unionByName(as_rows(values))

@@ -17,6 +17,11 @@ from edaphon.modelling.split import TEST, with_exact_folds, with_folds
 from edaphon.modelling.trees import fit_boosting, predict_boosting
 from edaphon.session import fresh_path, materialise
 
+# The fields of a result row.
+RESULT_FIELDS = [
+    "modelo", "target", "log_transform", "n_amostras", "n_features_originais", "cv_best_r2", "test_r2", "test_rmse",
+    "test_mae", "test_rpd", "pca_componentes", "pca_variancia_explicada", "k_best", "melhores_params",
+]
 BOOSTED, NETWORK = ["XGBoost", "LightGBM"], "MLP"
 STUDY = ["target", "model"]
 SCORES = "target string, model string, trial int, step int, score double"
@@ -245,22 +250,24 @@ def result_table(predictions: DataFrame, best: DataFrame, linear: DataFrame, red
     components_used = F.col("params")["pca_n_components"].cast("int")
     share = F.aggregate(F.slice("eigenvalues", 1, F.coalesce(components_used, F.lit(0))), F.lit(0.0), lambda a, b: a + b)
     joined = metrics.join(best, ["target", "model"]).join(sizes, "target")
-    rows = joined.select(
-        F.col("model").alias("modelo"),
-        "target",
-        F.col("target").isin(list(log_targets)).alias("log_transform"),
-        "n_amostras",
-        F.lit(points).alias("n_features_originais"),
-        "cv_best_r2",
-        "test_r2",
-        "test_rmse",
-        "test_mae",
-        "test_rpd",
-        components_used.alias("pca_componentes"),
-        F.when(components_used.isNotNull(), F.least(share / F.col("variance"), F.lit(1.0))).alias("pca_variancia_explicada"),
-        F.col("params")["k_best"].cast("int").alias("k_best"),
-        F.col("params").alias("melhores_params"),
-    )
+    used = components_used.isNotNull()
+    values = [
+        F.col("model"),
+        F.col("target"),
+        F.col("target").isin(list(log_targets)),
+        F.col("n_amostras"),
+        F.lit(points),
+        F.col("cv_best_r2"),
+        F.col("test_r2"),
+        F.col("test_rmse"),
+        F.col("test_mae"),
+        F.col("test_rpd"),
+        components_used,
+        F.when(used, F.least(share / F.col("variance"), F.lit(1.0))),
+        F.col("params")["k_best"].cast("int"),
+        F.col("params"),
+    ]
+    rows = joined.select(*[value.alias(name) for name, value in zip(RESULT_FIELDS, values, strict=True)])
     return ranked(rows)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from edaphon.functions.spectrum import narrow
 from edaphon.operators import quality as Q
-from edaphon.operators.gold import GOLD_TARGETS, gold_audit, gold_tidy, spectral_points
+from edaphon.operators.gold import FAILED, GOLD_TARGETS, gold_audit, gold_tidy, spectral_points
 from edaphon.operators.reconcile import silver_master
 from edaphon.plans.evaluate import Evaluation, Options, evaluate, save_models
 from edaphon.session import materialise
@@ -37,6 +37,7 @@ LAB_FILES = {
     "icraf": "Wet_Chemistry_ICRAF.csv",
     "cropnuts": "Wet_Chemistry_CROPNUTS.csv",
 }
+# The columns of the Gold audit.
 AUDIT_ORDER = [
     "execution_utc", "gold_name", "target_col", "input_rows", "output_rows", "dropped_rows", "pct_rows_dropped",
     "null_target_rows", "duplicate_ssn", "invalid_target_rows", "spectral_cols", "final_path", "final_file_size",
@@ -98,7 +99,7 @@ def run_gold(spark: SparkSession, lake: Lake, run_ts: str, points: int | None =
     path = write_gold(gold_tidy(silver, points), lake.path("gold"), replace_all=True)
     sizes = output_size(spark, path).select(F.col("target").alias("gold_name"), F.col("bytes").alias("final_file_size"))
     audit = gold_audit(silver, points).join(sizes, "gold_name", "left")
-    done = F.col("status") != "failed"
+    done = F.col("status") != FAILED
     final = F.when(done, F.concat(F.lit(f"{path}/target="), "gold_name")).otherwise("")
     audit = audit.withColumns(
         {

@@ -224,12 +224,12 @@ def join_coverage(spark: SparkSession, sf: str) -> DataFrame:
     tables = _key_tables(spark, sf)
     row = Q.key_metrics(Q.key_census(tables), list(tables))
     return row.select(
-        F.col("qtd_ssn_unicos_wet_unificado").alias("unique_wet"),
-        F.col("qtd_ssn_unicos_espectro").alias("unique_spectra"),
-        F.col("qtd_wet_com_match_espectro").alias("matched"),
-        F.col("qtd_wet_sem_espectro").alias("wet_without"),
-        F.col("qtd_espectro_sem_wet").alias("spectra_without"),
-        F.col("pct_cobertura_wet_com_espectro").alias("pct"),
+        F.col(Q.UNIQUE_WET).alias("unique_wet"),
+        F.col(Q.UNIQUE_SPECTRA).alias("unique_spectra"),
+        F.col(Q.MATCHED).alias("matched"),
+        F.col(Q.WET_ONLY).alias("wet_without"),
+        F.col(Q.SPECTRA_ONLY).alias("spectra_without"),
+        F.col(Q.COVERAGE).alias("pct"),
     )
 
 
@@ -245,8 +245,8 @@ def target_fill(spark: SparkSession, sf: str) -> DataFrame:
     parts = [
         F.struct(
             F.lit(t).alias("target"),
-            F.col(f"qtd_preenchido_{t}").alias("filled"),
-            F.col(f"qtd_nulo_{t}").alias("missing"),
+            F.col(Q.FILLED.format(t)).alias("filled"),
+            F.col(Q.MISSING.format(t)).alias("missing"),
         )
         for t in TARGETS
     ]

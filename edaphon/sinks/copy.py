@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from edaphon.session import materialise
 from edaphon.sources.manifest import empty_prefixes, full_root, open_store, with_prefixes, without_folders
 
-# Messages of the audit.
+# Statuses, messages and columns of the audit.
+COPIED, SKIPPED, MISMATCH, FAILED, EMPTY = (
+    "copied", "skipped_existing", "copied_with_size_mismatch", "failed", "empty_prefix",
+)
 EMPTY_MESSAGE = "Nenhum arquivo encontrado para o prefix."
 MISMATCH_MESSAGE = "Tamanho no destino diferente do tamanho da origem."
 MISSING_MESSAGE = "Objeto não encontrado no destino após upload: "
@@ -28,11 +31,11 @@ CHUNK = 8 << 20
 def copy_status() -> F.Column:
     """Status of one object from its sizes: an existing destination is skipped whatever its size."""
     return (
-        F.when(F.col("source_key").isNull(), "empty_prefix")
-        .when(F.col("size_before").isNotNull(), "skipped_existing")
-        .when(F.col("size_after").isNull(), "failed")
-        .when(F.col("size_after") != F.col("source_size"), "copied_with_size_mismatch")
-        .otherwise("copied")
+        F.when(F.col("source_key").isNull(), EMPTY)
+        .when(F.col("size_before").isNotNull(), SKIPPED)
+        .when(F.col("size_after").isNull(), FAILED)
+        .when(F.col("size_after") != F.col("source_size"), MISMATCH)
+        .otherwise(COPIED)
     )
 
 
@@ -67,9 +70,9 @@ def copy_audit(source: DataFrame, before: DataFrame, after: DataFrame, prefixes:
         "dest_size", F.coalesce("size_before", "size_after")
     )
     message = (
-        F.when(F.col("status") == "empty_prefix", EMPTY_MESSAGE)
-        .when(F.col("status") == "failed", F.concat(F.lit(MISSING_MESSAGE), "dest_key"))
-        .when(F.col("status") == "copied_with_size_mismatch", MISMATCH_MESSAGE)
+        F.when(F.col("status") == EMPTY, EMPTY_MESSAGE)
+        .when(F.col("status") == FAILED, F.concat(F.lit(MISSING_MESSAGE), "dest_key"))
+        .when(F.col("status") == MISMATCH, MISMATCH_MESSAGE)
         .otherwise("")
     )
     return _stamped(audit.withColumn("error_message", message), run)
@@ -138,8 +141,8 @@ def copy_objects(source: DataFrame, before: DataFrame, source_root: str, dest_ro
     rows = copied.unionByName(skipped, allowMissingColumns=True).unionByName(empty, allowMissingColumns=True)
     judged = rows.withColumn("status", copy_status())
     message = (
-        F.when(F.col("status") == "empty_prefix", EMPTY_MESSAGE)
-        .when(F.col("status") == "copied_with_size_mismatch", MISMATCH_MESSAGE)
+        F.when(F.col("status") == EMPTY, EMPTY_MESSAGE)
+        .when(F.col("status") == MISMATCH, MISMATCH_MESSAGE)
         .otherwise(F.coalesce("copy_error", F.lit("")))
     )
     audit = judged.withColumn("dest_size", F.coalesce("size_before", "size_after")).withColumn("error_message", message)
@@ -149,12 +152,12 @@ def copy_objects(source: DataFrame, before: DataFrame, source_root: str, dest_ro
 def copy_counters(audit: DataFrame) -> DataFrame:
     """Found, copied, skipped, failed, empty and mismatched objects per prefix and in total (NULL)."""
     status = F.col("status")
-    mismatch = status == "copied_with_size_mismatch"
+    mismatch = status == MISMATCH
     return audit.rollup("prefix").agg(
         F.count("source_key").alias("found"),
-        F.count_if((status == "copied") | mismatch).alias("copied"),
-        F.count_if(status == "skipped_existing").alias("skipped"),
-        F.count_if(status == "failed").alias("failed"),
+        F.count_if((status == COPIED) | mismatch).alias("copied"),
+        F.count_if(status == SKIPPED).alias("skipped"),
+        F.count_if(status == FAILED).alias("failed"),
         F.count_if(F.col("source_size") == 0).alias("zero_byte"),
         F.count_if(mismatch).alias("size_mismatch"),
     )
