@@ -21,7 +21,7 @@ CHECKED = ["ph", "pct_c", "olsen_p_mg_kg", "exbas"]
 # Audit statuses, the first that applies, and the message of a target Silver lacks.
 FAILED, EMPTY, DUPLICATES = "failed", "empty_gold_after_dropna", "success_with_duplicates"
 INVALID, SUCCESS = "success_with_invalid_target", "success"
-NO_TARGET = "Target {} não existe"
+NO_TARGET = "Target %s não existe"
 ID = "ssn"
 
 
@@ -49,20 +49,27 @@ def gold_table(silver: DataFrame, target: str, points: int) -> DataFrame:
 
 def gold_tidy(silver: DataFrame, points: int, targets: dict[str, str] = GOLD_TARGETS) -> DataFrame:
     """All Gold tables as ``(target, ssn, y, spectrum)`` from one scan of Silver."""
-    present = {g: t for g, t in targets.items() if t in silver.columns}
+    present = present_in(silver, targets)
     values = F.array(*[F.struct(F.lit(g).alias("target"), F.col(t).alias("y")) for g, t in present.items()])
     whole = silver.filter(F.col(ID).isNotNull() & complete(F.col("spectrum"), points))
     tidy = whole.select(F.inline(values), ID, "spectrum")
     return tidy.filter(F.col("y").isNotNull() & ~F.isnan("y"))
 
 
-def gold_audit(silver: DataFrame, points: int, targets: dict[str, str] = GOLD_TARGETS) -> DataFrame:
-    """The audit rows of all targets from one pass over Silver.
+COUNTS = ["input_rows", "output_rows", "null_target_rows", "duplicate_ssn", "invalid_target_rows"]
+
+
+def present_in(silver: DataFrame, targets: dict[str, str]) -> dict[str, str]:
+    return {g: t for g, t in targets.items() if t in silver.columns}
+
+
+def gold_counts(silver: DataFrame, points: int, targets: dict[str, str] = GOLD_TARGETS) -> DataFrame:
+    """``(gold_name, counts…)`` of the Gold tables Silver yields, written or not, in one pass.
 
     Counts per key come first (added up before the shuffle), so repeated keys of each Gold table
-    are found in the same pass. A target Silver does not have gets a ``failed`` row.
+    are found in the same pass.
     """
-    present = {g: t for g, t in targets.items() if t in silver.columns}
+    present = present_in(silver, targets)
     flags = [F.col(ID).alias("key")]
     for g, t in present.items():
         good = usable(t, points)
@@ -72,34 +79,53 @@ def gold_audit(silver: DataFrame, points: int, targets: dict[str, str] = GOLD_TA
             F.col(t).isNull().cast("long").alias(f"null_{g}"),
             (good & bad).cast("long").alias(f"bad_{g}"),
         ]
-    sums = [F.sum(f"{part}_{g}").alias(f"{part}_{g}") for g in present for part in ("out", "null", "bad")]
-    per_key = silver.select(*flags).groupBy("key").agg(F.count("*").alias("rows"), *sums)
+    parts = [f"{part}_{g}" for g in present for part in ("out", "null", "bad")]
+    per_key = silver.select(*flags).groupBy("key").agg(F.count("*").alias("rows"), *[F.sum(p).alias(p) for p in parts])
     totals = per_key.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("input_rows"),
-        *[
-            F.coalesce(F.sum(f"{part}_{g}"), F.lit(0)).alias(f"{part}_{g}")
-            for g in present
-            for part in ("out", "null", "bad")
-        ],
+        *[F.coalesce(F.sum(p), F.lit(0)).alias(p) for p in parts],
         *[F.count_if(F.col(f"out_{g}") > 1).alias(f"dup_{g}") for g in present],
     )
-    zero, nothing = F.lit(0).cast("long"), F.lit("")
     rows = []
-    for g, t in targets.items():
-        found = g in present
-        rows.append(
-            F.struct(
-                F.lit(g).alias("gold_name"),
-                F.lit(t).alias("target_col"),
-                (F.col("input_rows") if found else zero).alias("input_rows"),
-                (F.col(f"out_{g}") if found else zero).alias("output_rows"),
-                (F.col(f"null_{g}") if found else zero).alias("null_target_rows"),
-                (F.col(f"dup_{g}") if found else zero).alias("duplicate_ssn"),
-                (F.col(f"bad_{g}") if found else zero).alias("invalid_target_rows"),
-                (nothing if found else F.lit(NO_TARGET.format(t))).alias("error_message"),
-            )
-        )
-    listed = totals.select(F.inline(F.array(*rows)))
+    for g in present:
+        names = ["input_rows", f"out_{g}", f"null_{g}", f"dup_{g}", f"bad_{g}"]
+        rows.append(F.struct(F.lit(g).alias("gold_name"), *[F.col(n).alias(c) for n, c in zip(names, COUNTS)]))
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def written_counts(silver: DataFrame, gold: DataFrame, targets: dict[str, str] = GOLD_TARGETS) -> DataFrame:
+    """The same counts from the written Gold table: reads keys and targets, no spectra."""
+    present = present_in(silver, targets)
+    nulls = [F.count_if(F.col(t).isNull()).alias(f"null_{g}") for g, t in present.items()]
+    parts = [
+        F.struct(F.lit(g).alias("gold_name"), F.col("input_rows"), F.col(f"null_{g}").alias("null_target_rows"))
+        for g in present
+    ]
+    read = silver.agg(F.count("*").alias("input_rows"), *nulls).select(F.inline(F.array(*parts)))
+    bad = F.lit(False)
+    for g, t in present.items():
+        if t in CHECKED:
+            bad = bad | ((F.col("target") == g) & outside_domain(t, F.col("y")))
+    per_key = gold.groupBy(F.col("target").alias("gold_name"), ID).agg(
+        F.count("*").alias("rows"), F.count_if(bad).alias("bad")
+    )
+    kept = per_key.groupBy("gold_name").agg(
+        F.sum("rows").alias("output_rows"),
+        F.count_if(F.col("rows") > 1).alias("duplicate_ssn"),
+        F.sum("bad").alias("invalid_target_rows"),
+    )
+    return read.join(kept, "gold_name", "left").select("gold_name", *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTS])
+
+
+def audit_rows(counts: DataFrame, points: int, targets: dict[str, str] = GOLD_TARGETS) -> DataFrame:
+    """The audit: a row for every target, with a status; a target without counts has failed."""
+    spark = counts.sparkSession
+    listed = spark.createDataFrame(list(targets.items()), "gold_name string, target_col string")
+    found = F.col("input_rows").isNotNull()
+    rows = listed.join(counts, "gold_name", "left").withColumn(
+        "error_message", F.when(found, "").otherwise(F.format_string(NO_TARGET, "target_col"))
+    )
+    rows = rows.withColumns({c: F.coalesce(c, F.lit(0)) for c in COUNTS})
     dropped = F.col("input_rows") - F.col("output_rows")
     share = F.when(F.col("input_rows") > 0, F.round((dropped / F.col("input_rows")) * 100, 2)).otherwise(0.0)
     status = (
@@ -109,7 +135,7 @@ def gold_audit(silver: DataFrame, points: int, targets: dict[str, str] = GOLD_TA
         .when(F.col("invalid_target_rows") > 0, INVALID)
         .otherwise(SUCCESS)
     )
-    return listed.select(
+    return rows.select(
         "gold_name",
         "target_col",
         "input_rows",
@@ -125,3 +151,6 @@ def gold_audit(silver: DataFrame, points: int, targets: dict[str, str] = GOLD_TA
     )
 
 
+def gold_audit(silver: DataFrame, points: int, targets: dict[str, str] = GOLD_TARGETS) -> DataFrame:
+    """The audit of the Gold tables Silver yields, from one pass over Silver."""
+    return audit_rows(gold_counts(silver, points, targets), points, targets)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from edaphon.functions.spectrum import narrow
 from edaphon.operators import quality as Q
-from edaphon.operators.gold import FAILED, GOLD_TARGETS, gold_audit, gold_tidy, spectral_points
+from edaphon.operators.gold import FAILED, GOLD_TARGETS, audit_rows, gold_tidy, spectral_points, written_counts
 from edaphon.operators.reconcile import silver_master
 from edaphon.plans.evaluate import Evaluation, Options, evaluate, save_models
 from edaphon.session import materialise
@@ -91,14 +91,14 @@ def run_silver(spark: SparkSession, lake: Lake, decoder: Decoder, run_ts: str) -
 
 
 def run_gold(spark: SparkSession, lake: Lake, run_ts: str, points: int | None = None) -> DataFrame:
-    """Writes the Gold table of every target Silver has and returns the audit."""
+    """Writes the Gold table of every target Silver has and returns the audit. Spectra are read once."""
     silver = spark.read.parquet(lake.path("silver"))
     if "spectrum" not in silver.columns:
         silver = narrow(silver)
     points = spectral_points(silver) if points is None else points
     path = write_gold(gold_tidy(silver, points), lake.path("gold"), replace_all=True)
     sizes = output_size(spark, path).select(F.col("target").alias("gold_name"), F.col("bytes").alias("final_file_size"))
-    audit = gold_audit(silver, points).join(sizes, "gold_name", "left")
+    audit = audit_rows(written_counts(silver, read_gold(spark, path)), points).join(sizes, "gold_name", "left")
     done = F.col("status") != FAILED
     final = F.when(done, F.concat(F.lit(f"{path}/target="), "gold_name")).otherwise("")
     audit = audit.withColumns(

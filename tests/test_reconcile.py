@@ -147,6 +147,20 @@ def test_gold_audit_status(spark, rows, status):
     assert audit["exbas"]["error_message"] == "Target exbas não existe"
 
 
+def test_audit_of_written_tables(spark):
+    silver = spark.createDataFrame(
+        [("a", 7.0, -1.0, [1.0]), ("a", 15.0, None, [2.0]), ("b", None, 2.0, [3.0]), ("c", 1.0, 1.0, None),
+         (None, 3.0, 3.0, [4.0])],
+        SILVER,
+    )
+    gold = O.gold_tidy(silver, 1)
+    direct, written = O.gold_counts(silver, 1), O.written_counts(silver, gold)
+    assert direct.columns == written.columns and sorted_rows(direct) == sorted_rows(written)
+    audit = {r["gold_name"]: r for r in O.audit_rows(written, 1).collect()}
+    assert audit["ph"]["status"] == "success_with_duplicates" and audit["ph"]["invalid_target_rows"] == 1
+    assert audit["carbono"]["status"] == "success_with_invalid_target" and audit["p"]["status"] == "failed"
+
+
 def test_quality_counts_nan_as_out_of_range(spark):
     silver = spark.createDataFrame([("a", NAN, -1.0, None), ("b", 14.0, 0.0, [1.0]), ("c", None, NAN, [None])], SILVER)
     tables = {n: spark.createDataFrame([("a",), ("a",), (None,)], "SSN string") for n in (Q.SPECTRA, *Q.LABS)}
