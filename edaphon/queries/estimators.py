@@ -14,7 +14,7 @@ from edaphon.modelling.trees import fit_boosting, predict_boosting
 from edaphon.plans.evaluate import Options, evaluate, predict_linear
 from edaphon.queries.registry import query
 from edaphon.queries.splits import LONG_SQL, first_points, projected, rounded
-from edaphon.queries.views import GOLD_SQL, PLANTED_SQL, POINTS, FOLD_SQL, gold, planted
+from edaphon.queries.views import GOLD_SQL, PLANTED_SQL, POINTS, FOLD_SQL, gold, planted, planted_labelled
 from edaphon.session import fresh_path, materialise
 from edaphon.sinks.lake import read_gold, write_gold
 
@@ -291,6 +291,47 @@ def gbt_fit_leafwise_space(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _stump_sql(rows: str, value: str, name: str, smallest: int) -> str:
+    """The split of the label that explains most of a value, and the mean on either side."""
+    return f"""{name}_sides as (select t.label as split, r.label <= t.label as low, count(*) as n, sum({value}) as s
+        from {rows} r, (select distinct label from {rows}) t group by 1, 2),
+    {name}_split as (select split from {name}_sides group by split having count(*) = 2 and min(n) >= {smallest}
+        order by sum(s * s / n) desc, split limit 1),
+    {name} as (select r.label <= split as low, split, avg({value}) as mean from {rows} r, {name}_split group by 1, 2)"""
+
+
+def _labelled_boosting(spark: SparkSession, sf: str, model: str, **params: float) -> DataFrame:
+    """Trees on the label alone, for every sample."""
+    rows = planted_labelled(spark, sf).withColumn("features", F.array(F.col("label").cast("double")))
+    train = rows.filter("fold >= 0")
+    every = {"pca_n_components": 1, "subsample": 1.0, "colsample_bytree": 1.0, "reg_alpha": 1e-4, "reg_lambda": 1e-4}
+    fitted = fit_boosting(train, train.count(), model, every | params)
+    return predict_boosting(fitted, rows, every | params).select("ssn", rounded(F.col("yhat")).alias("yhat"))
+
+
+@query(
+    "gbt_stump",
+    f"""with {PLANTED_SQL}, train as (select label, y from planted where fold >= 0), {_stump_sql("train", "y", "one", 1)}
+    select ssn, round(mean, 6) + 0e0 as yhat from planted join one on (label <= split) = low""",
+)
+def gbt_stump(spark: SparkSession, sf: str) -> DataFrame:
+    """One boosted tree with one split."""
+    return _labelled_boosting(spark, sf, "XGBoost", n_estimators=1, learning_rate=0.1, max_depth=1)
+
+
+@query(
+    "gbt_two_stumps",
+    f"""with {PLANTED_SQL}, train as (select label, y from planted where fold >= 0), {_stump_sql("train", "y", "one", 20)},
+    rest as (select label, 2 * (y - mean) as e from train join one on (label <= split) = low),
+    {_stump_sql("rest", "e", "two", 20)}
+    select ssn, round(one.mean + 1e-1 * two.mean, 6) + 0e0 as yhat from planted
+    join one on (label <= one.split) = one.low join two on (label <= two.split) = two.low""",
+)
+def gbt_two_stumps(spark: SparkSession, sf: str) -> DataFrame:
+    """Two boosted trees with one split each, the second on the gradient the first leaves."""
+    return _labelled_boosting(spark, sf, "LightGBM", n_estimators=2, learning_rate=0.1, max_depth=8, num_leaves=2)
+
+
 @query("mlp_fit")
 def mlp_fit(spark: SparkSession, sf: str) -> DataFrame:
     """Two networks trained in one pass per round, and their scores on both parts."""

@@ -129,8 +129,8 @@ FOLD_SQL = """case when substr(md5({key} || '|42'), 1, 8) < '33333333' then -1
     when substr(md5({key} || '|fold42'), 1, 8) < 'cccccccc' then 3 else 4 end"""
 
 
-def planted(spark: SparkSession, sf: str) -> DataFrame:
-    """``(target, ssn, fold, y, spectrum)`` with a target the spectra do explain."""
+def planted_labelled(spark: SparkSession, sf: str) -> DataFrame:
+    """``(target, ssn, fold, y, spectrum, label)`` with a target the spectra do explain."""
     base = table(spark, sf, "embeddings").select(
         F.lit("planted").alias("target"),
         ssn(F.col("vec_id")).alias("ssn"),
@@ -139,11 +139,15 @@ def planted(spark: SparkSession, sf: str) -> DataFrame:
     )
     x = [F.get("spectrum", F.lit(i)) for i in range(4)]
     y = 3 * x[0] - 2 * x[1] + x[2] * x[3] + F.col("label") / 100
-    return with_folds(base.withColumn("y", y), "ssn").select("target", "ssn", "fold", "y", "spectrum")
+    return with_folds(base.withColumn("y", y), "ssn").select("target", "ssn", "fold", "y", "spectrum", "label")
+
+
+def planted(spark: SparkSession, sf: str) -> DataFrame:
+    return planted_labelled(spark, sf).drop("label")
 
 
 PLANTED_SQL = f"""{SPECTRA_SQL},
-planted as (select ssn, spectrum, spectrum[1] as x0, spectrum[2] as x1,
+planted as (select ssn, label, spectrum, spectrum[1] as x0, spectrum[2] as x1,
     3*spectrum[1] - 2*spectrum[2] + spectrum[3]*spectrum[4] + label/100e0 as y,
     {FOLD_SQL.format(key="ssn")} as fold from spectra)"""
 
