@@ -33,10 +33,12 @@ MAX_PCA, MAX_KBEST = 80, 300
 
 
 def matrix_of(column: pa.Array, points: int) -> np.ndarray:
-    """A list column as a dense matrix; a row of another length is an error."""
+    """A list column as a dense matrix; a row of another length or a missing value is an error."""
     flat = column.flatten().to_numpy(zero_copy_only=False)
     if len(flat) != len(column) * points:
         raise ValueError(f"every spectrum must have {points} values")
+    if not np.isfinite(flat).all():
+        raise ValueError("spectra hold missing or infinite values; Gold tables do not")
     return flat.reshape(len(column), points).astype(np.float64, copy=False)
 
 
@@ -96,6 +98,8 @@ def gram_blocks(samples: DataFrame, points: int, shift_x: np.ndarray, shift_y: d
                 continue
             x = matrix_of(batch.column("spectrum"), points) - shift_x
             y = batch.column("y").to_numpy(zero_copy_only=False)
+            if not np.isfinite(y).all():
+                raise ValueError("targets hold missing or infinite values; Gold tables do not")
             groups = pd.DataFrame({"t": batch.column("target").to_pandas(), "f": batch.column("fold").to_pandas()})
             for (target, fold), rows in groups.groupby(["t", "f"]).indices.items():
                 a = np.empty((len(rows), side))
@@ -360,12 +364,12 @@ def project_all(samples: DataFrame, points: int, bases: dict[str, list]) -> Data
 
 def predict_all(samples: DataFrame, points: int, models: dict[str, list]) -> DataFrame:
     """``(target, ssn, y, model, yhat)`` of linear models ``{target: [(name, intercept, weights)]}``."""
-    packed = {
-        t: (np.column_stack([w for _, _, w in rows]), np.array([i for _, i, _ in rows]), [n for n, _, _ in rows])
-        for t, rows in models.items()
-    }
+    packed = {t: (np.column_stack([w for _, _, w in rows]), np.array([i for _, i, _ in rows])) for t, rows in models.items()}
     shared = samples.sparkSession.sparkContext.broadcast(packed)
-    schema = "target string, ssn string, y double, models array<string>, yhats array<double>"
+    names = F.lit(None).cast("array<string>")
+    for target, rows in models.items():
+        names = F.when(F.col("target") == target, F.array(*[F.lit(n) for n, _, _ in rows])).otherwise(names)
+    schema = "target string, ssn string, y double, yhats array<double>"
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -373,14 +377,12 @@ def predict_all(samples: DataFrame, points: int, models: dict[str, list]) -> Dat
             for target, rows in by_target(batch).items():
                 if target not in shared.value:
                     continue
-                weights, intercepts, names = shared.value[target]
+                weights, intercepts = shared.value[target]
                 own = batch.take(pa.array(rows))
-                columns = [
-                    *[own.column(c) for c in ("target", "ssn", "y")],
-                    pa.array([names] * len(rows), pa.list_(pa.string())),
-                    list_array(x[rows] @ weights + intercepts),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["target", "ssn", "y", "models", "yhats"])
+                kept = [own.column(c) for c in ("target", "ssn", "y")]
+                predicted = list_array(x[rows] @ weights + intercepts)
+                yield pa.RecordBatch.from_arrays([*kept, predicted], names=["target", "ssn", "y", "yhats"])
 
     scored = samples.select("target", "ssn", "y", "spectrum").mapInArrow(apply, schema)
-    return scored.select("target", "ssn", "y", F.inline(F.arrays_zip(F.col("models").alias("model"), F.col("yhats").alias("yhat"))))
+    pairs = F.arrays_zip(names.alias("model"), F.col("yhats").alias("yhat"))
+    return scored.select("target", "ssn", "y", F.inline(pairs))

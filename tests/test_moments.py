@@ -89,6 +89,13 @@ def test_ragged_spectra_are_an_error(spark):
         G.study(spark.createDataFrame(rows, SCHEMA).coalesce(1), 2).reduced().collect()
 
 
+@pytest.mark.parametrize("bad", [("t", "b", 1, 2.0, [1.0, None]), ("t", "b", 1, 2.0, [1.0, float("nan")]), ("t", "b", 1, None, [1.0, 2.0])])
+def test_missing_values_are_an_error(spark, bad):
+    rows = [("t", "a", 0, 1.0, [1.0, 2.0]), bad]
+    with pytest.raises(Exception, match="missing or infinite"):
+        G.study(spark.createDataFrame(rows, SCHEMA).coalesce(1), 2).reduced().collect()
+
+
 def test_several_targets_in_one_pass(spark, case):
     x, y, fold, _, rows = case
     both = frame(spark, x, y, fold).unionByName(frame(spark, x, -2 * y, fold, "u"))
