@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from edaphon.session import materialise
+
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The row that sorts first, NULLs last. NULL keys form one group and keep one row.
@@ -14,3 +16,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     """
     window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+
+
+def without_repeats(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The same rows for a written table with large rows, ``name`` naming each row and deciding.
+
+    Ranking would sort the large rows before the shuffle. Here keys and names alone are ranked, the
+    names that lose are written, and an anti join takes them out. They are few as a rule, so Spark
+    broadcasts them and the large rows stay where they are; if they are many it shuffles.
+    """
+    window = Window.partitionBy(*keys).orderBy(F.col(name).asc_nulls_last())
+    ranked = df.select(*keys, name).withColumn("_rank", F.row_number().over(window))
+    losing = materialise(ranked.filter("_rank > 1").select(name), "repeats")
+    return df.join(losing, name, "left_anti").select(*df.columns)

@@ -76,10 +76,10 @@ def run_silver(spark: SparkSession, lake: Lake, decoder: Decoder, run_ts: str) -
     found = require_keys(keys_by_suffix(object_manifest(spark, bronze), list(LAB_FILES.values())))
     labs = {n: read_lab_csv(spark, f"{bronze}/{found[file]}", n) for n, file in LAB_FILES.items()}
     # decoding is the costly part, so its result is written once; from there the spectra move once,
-    # for the de-duplication, and the join finds them in place
+    # to the join
     decoded = materialise(decode(scan_spectra(spark, bronze), decoder), "decoded")
     write_report(decode_status(decoded), lake.path("validations", "spectra"), run_ts)
-    spectra = require_spectra(spectra_base(decoded))
+    spectra = require_spectra(spectra_base(decoded, written=True))
     path, used = write_silver(silver_master(spectra, labs), lake.path("silver"))
     if used != "parquet":
         raise RuntimeError(f"Silver was saved as CSV below {path}; metrics need the Parquet table")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edaphon.functions.keys import blank_to_null, file_name, sample_id, sample_key
-from edaphon.operators.dedup import first_per_key
+from edaphon.operators.dedup import first_per_key, without_repeats
 from edaphon.sources.manifest import object_manifest
 
 # Where the spectra lie and how their files end.
@@ -82,8 +82,9 @@ def decode(files: DataFrame, decoder: Decoder = text_decoder) -> DataFrame:
     return files.select("source", "content").mapInArrow(run, DECODED)
 
 
-def spectra_base(decoded: DataFrame) -> DataFrame:
-    """One row per sample key: the decodable file with the lowest path."""
+def spectra_base(decoded: DataFrame, written: bool = False) -> DataFrame:
+    """One row per sample key: the decodable file with the lowest path. Say if ``decoded`` is a
+    written table, it is then read twice to move the spectra less."""
     source = F.col("source")
     rows = decoded.filter(F.col("decode_status") == "ok").select(
         blank_to_null(sample_key(source)).alias("SSN"),
@@ -92,6 +93,8 @@ def spectra_base(decoded: DataFrame) -> DataFrame:
         source,
         "spectrum",
     )
+    if written:
+        return without_repeats(rows, ["SSN"], "source")
     return first_per_key(rows, ["SSN"], ["source"])
 
 

@@ -26,6 +26,9 @@ def store(tmp_path_factory):
     for i in range(SAMPLES):
         content = "AB:" + ",".join(map(repr, x[i].tolist()))
         (spectra / f"icr{i:06d}.0").write_text("broken" if i == 5 else content)
+    # a second measurement, which loses to the lower path
+    (spectra / "re").mkdir()
+    (spectra / "re" / "icr000003.0").write_text("AB:" + ",".join(["9"] * POINTS))
     ph = 7 + x[:, 0] * 0.5 + rng.normal(size=SAMPLES) * 0.05
     lines = [f"icr{i:06d},{ph[i]},{abs(x[i, 1]) + 0.1}" for i in range(SAMPLES)]
     (rres / "Wet_Chemistry_RRES.csv").write_text("SSN,pH, Olsen P mg/kg\n" + "\n".join(lines) + "\n")
@@ -37,9 +40,9 @@ def store(tmp_path_factory):
 def test_jobs(spark, store, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
     counters = {r["prefix"]: r for r in run_bronze(spark, lake, str(store), "t1").collect()}
-    assert counters[None]["copied"] == SAMPLES + 3 and counters[None]["failed"] == 0
+    assert counters[None]["copied"] == SAMPLES + 4 and counters[None]["failed"] == 0
     again = {r["prefix"]: r for r in run_bronze(spark, lake, str(store), "t2").collect()}
-    assert again[None]["skipped"] == SAMPLES + 3 and again[None]["copied"] == 0
+    assert again[None]["skipped"] == SAMPLES + 4 and again[None]["copied"] == 0
 
     metrics = {r["metric_name"]: r["metric_value"] for r in run_silver(spark, lake, text_decoder, "t1").collect()}
     assert metrics["qtd_linhas_bronze_espectro"] == str(SAMPLES - 1)
@@ -47,8 +50,10 @@ def test_jobs(spark, store, tmp_path):
     assert metrics["qtd_ssn_nulo_wet_icraf"] == "1" and metrics["qtd_ssn_duplicado_wet_icraf"] == "1"
     assert metrics["qtd_colunas_espectrais_wn"] == str(POINTS) and metrics["qtd_nulo_exbas"] == str(SAMPLES + 2)
     status = spark.read.option("header", "true").csv(lake.path("validations", "spectra", "run_ts=t1"))
-    assert {r["decode_status"]: r["files"] for r in status.collect()} == {"ok": str(SAMPLES - 1), "no_spectrum": "1"}
+    assert {r["decode_status"]: r["files"] for r in status.collect()} == {"ok": str(SAMPLES), "no_spectrum": "1"}
 
+    third = spark.read.parquet(lake.path("silver")).filter("ssn = 'icr000003'").collect()
+    assert len(third) == 1 and third[0]["spectrum"][0] != 9
     comments = {f.name: f.metadata.get("comment") for f in spark.read.parquet(lake.path("silver")).schema.fields}
     assert comments["ph"] and comments["spectrum"]
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from edaphon.functions.spectrum import narrow, widen
 from edaphon.operators import gold as O
 from edaphon.operators import quality as Q
-from edaphon.operators.dedup import first_per_key
+from edaphon.operators.dedup import first_per_key, without_repeats
 from edaphon.operators.reconcile import coalesced_targets, full_outer, lab_join, merged_labs, silver_master
 from edaphon.sources.lab_tables import LAB_TARGETS
 
@@ -98,6 +98,16 @@ def test_first_per_key_keeps_one_null_key(spark):
     assert sorted_rows(first_per_key(rows, ["k"], ["v"])) == sorted([(None, 1), ("a", 3)], key=repr)
 
 
+def test_without_repeats_keeps_the_same_rows(spark):
+    rows = spark.createDataFrame(
+        [("a", "f2", 1), ("a", "f1", 2), ("b", "f3", 3), (None, "f5", 4), (None, "f4", 5), ("a", "f0", 6)],
+        "k string, name string, v int",
+    )
+    assert sorted_rows(without_repeats(rows, ["k"], "name")) == sorted_rows(first_per_key(rows, ["k"], ["name"]))
+    once = rows.filter("v in (3, 6)")
+    assert sorted_rows(without_repeats(once, ["k"], "name")) == sorted_rows(once)
+
+
 SILVER = "ssn string, ph double, pct_c double, spectrum array<double>"
 
 
