@@ -151,7 +151,8 @@ def holdout_moments(blocks: DataFrame, folds: int = 5) -> DataFrame:
     own = F.struct(F.lit("valid").alias("role"), fold.alias("holdout"))
     shared = F.struct(F.lit("total").alias("role"), F.lit(None).cast("int").alias("holdout"))
     roles = F.when(fold >= 0, F.array(own, shared)).otherwise(F.array(own))
-    added = add_blocks(blocks.select("target", F.inline(roles), "block_row", "block_col", "part"), ["target", "role", "holdout"])
+    dealt = blocks.select("target", F.inline(roles), "block_row", "block_col", "part")
+    added = add_blocks(dealt, ["target", "role", "holdout"])
     holdouts = F.array(*[F.lit(h) for h in [TEST, *range(folds)]])
     spread = F.explode(F.when(F.col("role") == "total", holdouts).otherwise(F.array("holdout")))
     return added.select("target", spread.alias("holdout"), "role", "block_row", "block_col", "part")
@@ -359,7 +360,8 @@ def project_all(samples: DataFrame, points: int, bases: dict[str, list]) -> Data
                     ]
                     yield pa.RecordBatch.from_arrays(columns, names=["target", "holdout", *names, "features"])
 
-    return samples.select("target", "ssn", F.col("fold").cast("int").alias("fold"), "y", "spectrum").mapInArrow(apply, schema)
+    narrow = samples.select("target", "ssn", F.col("fold").cast("int").alias("fold"), "y", "spectrum")
+    return narrow.mapInArrow(apply, schema)
 
 
 def predict_all(samples: DataFrame, points: int, models: dict[str, list]) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edaphon.functions.hashing import seeded_md5
 from edaphon.functions.keys import with_clean_key
 from edaphon.modelling.split import with_folds
 from edaphon.operators.gold import gold_tidy
@@ -204,7 +203,3 @@ def predictions(spark: SparkSession, sf: str) -> DataFrame:
 PREDICTIONS_SQL = """
 predictions as (select l_orderkey, l_linenumber, l_partkey, p_brand, l_extendedprice as y,
     l_quantity * p_retailprice as yhat from lineitem join part on l_partkey = p_partkey)"""
-
-
-def digest(column: str, seed: int | str) -> Column:
-    return seeded_md5(F.col(column), seed)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence  # noqa: F401
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ SPECTRA_FOLDER = "Bruker_Alpha_KBr/"
 SPECTRA_PATTERN = r"\.0$"
 SPECTRA_GLOB = "*.0"
 
-Decoder = Callable[[bytes], "Sequence[float] | None"]
+Decoder = Callable[[bytes], Sequence[float] | None]
 DECODED = "source string, spectrum array<double>, decode_status string, error_message string"
 
 
