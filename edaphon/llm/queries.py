@@ -5,13 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from edaphon.llm.base import table
+from edaphon.llm.base import table, word_count
+from edaphon.llm.mixing import copies, mixing_plan, short_first
 from edaphon.llm.quality_rules import apply_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    plan, sizes = mixing_plan(docs, word_count(F.col("text")), short_first(F.col("size")))
+    out = copies(sizes, plan)
+    return out.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies"
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
@@ -20,6 +31,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_source_mixing": op2_source_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {}
