@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edaphon.llm.base import table, word_count
+from edaphon.llm.base import sha256_hex, table, word_count
 from edaphon.llm.mixing import copies, mixing_plan, short_first
+from edaphon.llm.personal_data import KINDS, find_personal_data, spans_text
 from edaphon.llm.quality_rules import apply_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +24,15 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_personal_data(table(spark, sf_dir, "documents"))
+    plain = F.transform("base", lambda x: F.struct(x["kind"], x["start"], x["end"], x["value"]))
+    return out.select(
+        "doc_id", *[f"n_{kind}" for kind in KINDS],
+        sha256_hex(spans_text(plain)).alias("base_sha256"), spans_text(F.concat(plain, "found")).alias("spans"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
@@ -32,6 +42,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
+    "op3_personal_data": op3_personal_data,
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {}
