@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edaphon.llm.base import sha256_hex, table, word_count
+from edaphon.llm.licenses import known_licenses, scan_licenses, scan_sql
 from edaphon.llm.mixing import copies, mixing_plan, short_first
 from edaphon.llm.personal_data import KINDS, find_personal_data, spans_text
 from edaphon.llm.quality_rules import apply_rules
@@ -33,6 +34,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), known_licenses(spark))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(
@@ -43,6 +48,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_personal_data": op3_personal_data,
+    "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_license_scan": scan_sql(),
+}
