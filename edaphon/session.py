@@ -16,6 +16,7 @@ def local_session(cores: str | int = "*", name: str = "edaphon") -> SparkSession
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("EDAPHON_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle))
         .config("spark.sql.session.timeZone", "UTC")
