@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from edaphon.llm.base import sha256_hex, table, word_count
 from edaphon.llm.licenses import known_licenses, scan_licenses, scan_sql
 from edaphon.llm.mixing import copies, mixing_plan, short_first
+from edaphon.llm.packing import pack_documents
 from edaphon.llm.personal_data import KINDS, find_personal_data, spans_text
 from edaphon.llm.quality_rules import apply_rules
 
@@ -34,6 +35,17 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    """Where the public byte-level vocabulary lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents"), known_licenses(spark))
 
@@ -48,6 +60,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_personal_data": op3_personal_data,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }
