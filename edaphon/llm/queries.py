@@ -13,6 +13,7 @@ from edaphon.llm.mixing import copies, mixing_plan, short_first
 from edaphon.llm.packing import pack_documents
 from edaphon.llm.personal_data import KINDS, find_personal_data, spans_text
 from edaphon.llm.quality_rules import apply_rules
+from edaphon.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,10 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     """Where the public byte-level vocabulary lies."""
     import public_tokenizers
@@ -60,6 +65,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_personal_data": op3_personal_data,
+    "op6_simhash_duplicates": op6_simhash_duplicates,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
