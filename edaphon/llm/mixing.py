@@ -93,6 +93,8 @@ def levels(sizes: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
     rows = with_plan(sizes, targets)
     base = rows.groupBy("source").agg(F.sum(F.col("preference") * F.col("size")).alias("_pull"))
     per = with_plan(targets, base).withColumn("_first", F.when(F.col("_pull") > 0, F.col("target") / F.col("_pull")).otherwise(F.lit(0.0)))
+    # a written table of one row per source has a known size, so a hot source need not be dealt out
+    per = materialise(per, "mix-first")
     rows = with_plan(sizes, per.select("source", "_first"))
     grid = [F.sum(F.least(F.lit(float(cap)), F.col("_first") * m * F.col("preference")) * F.col("size")) for m in LEVELS]
     sums = rows.groupBy("source").agg(F.array(*grid).alias("_sums"))
@@ -182,7 +184,8 @@ def mixing_plan(
     """The plan (one row per source) and the sizes it was made from. ``preference`` is an expression
     on ``size`` by which documents of a source are favoured; all alike without it."""
     sizes = materialise(sizes_of(docs, id, source, size, preference), "mix-sizes")
-    plan = materialise(levels(sizes, source_targets(sizes, weights, cap), cap), "mix-plan")
+    targets = materialise(source_targets(sizes, weights, cap), "mix-targets")
+    plan = materialise(levels(sizes, targets, cap), "mix-plan")
     ranked = with_rank(with_plan(sizes, plan.select("source", "level")), cap, seed)
     return materialise(fills(ranked, cuts(ranked, plan)), "mix-fill"), sizes
 
