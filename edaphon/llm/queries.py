@@ -14,6 +14,7 @@ from edaphon.llm.packing import pack_documents
 from edaphon.llm.personal_data import KINDS, find_personal_data, spans_text
 from edaphon.llm.quality_rules import apply_rules
 from edaphon.llm.simhash import near_duplicates
+from edaphon.llm.topk import QUERY_STEP, integer_vectors, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +37,25 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = integer_vectors(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, F.col("vec_id") % QUERY_STEP == 0)
+
+
+OP4_SQL = """
+with v as (
+  select distinct vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) v from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0
+),
+scored as (
+  select q.vec_id query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint score
+  from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id
+),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+select query_id, rank::int as rank, vec_id, score from ranked where rank <= 10"""
+
+
 def op6_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -65,11 +85,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_personal_data": op3_personal_data,
+    "op4_exact_top_k": op4_exact_top_k,
     "op6_simhash_duplicates": op6_simhash_duplicates,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {
+    "op4_exact_top_k": OP4_SQL,
     "op9_license_scan": scan_sql(),
 }
