@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from edaphon.llm.base import sha256_hex, table, word_count
 from edaphon.llm.licenses import known_licenses, scan_licenses, scan_sql
 from edaphon.llm.mixing import copies, mixing_plan, short_first
+from edaphon.llm.ngram_lm import held_out, score, train
 from edaphon.llm.packing import pack_documents
 from edaphon.llm.personal_data import KINDS, find_personal_data, spans_text
 from edaphon.llm.quality_rules import apply_rules
@@ -60,6 +61,16 @@ def op6_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs.filter(~held_out(F.col("doc_id"))))
+    out = score(docs, model)
+    return out.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+    )
+
+
 def tokenizer_path() -> str:
     """Where the public byte-level vocabulary lies."""
     import public_tokenizers
@@ -87,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op3_personal_data": op3_personal_data,
     "op4_exact_top_k": op4_exact_top_k,
     "op6_simhash_duplicates": op6_simhash_duplicates,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
