@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,3 +40,12 @@ def count_of(text: Column, chars: str) -> Column:
 
 def sha256_hex(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``materialise``, then lets Spark drop the shuffle files that nothing refers to any more."""
+    out = materialise(df, label)
+    del df
+    gc.collect()
+    out.sparkSession._jvm.System.gc()
+    return out

@@ -15,11 +15,17 @@ from edaphon.llm.packing import pack_documents
 from edaphon.llm.personal_data import KINDS, find_personal_data, spans_text
 from edaphon.llm.quality_rules import apply_rules
 from edaphon.llm.simhash import near_duplicates
+from edaphon.llm.substring_dedup import remove_repeats
 from edaphon.llm.topk import QUERY_STEP, integer_vectors, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", sha256_hex(F.col("kept_text")).alias("kept_sha256"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     plan, sizes = mixing_plan(docs, word_count(F.col("text")), short_first(F.col("size")))
@@ -94,6 +100,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op3_personal_data": op3_personal_data,
     "op4_exact_top_k": op4_exact_top_k,
