@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from edaphon.llm.base import sha256_hex, table, word_count
 from edaphon.llm.licenses import known_licenses, scan_licenses, scan_sql
+from edaphon.llm.line_dedup import remove_repeated_lines
 from edaphon.llm.mixing import copies, mixing_plan, short_first
 from edaphon.llm.ngram_lm import held_out, score, train
 from edaphon.llm.packing import pack_documents
@@ -63,6 +64,11 @@ ranked as (select *, row_number() over (partition by query_id order by score des
 select query_id, rank::int as rank, vec_id, score from ranked where rank <= 10"""
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_equal", "n_near", sha256_hex(F.col("kept_text")).alias("kept_sha256"))
+
+
 def op6_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -104,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op2_source_mixing": op2_source_mixing,
     "op3_personal_data": op3_personal_data,
     "op4_exact_top_k": op4_exact_top_k,
+    "op5_line_dedup": op5_line_dedup,
     "op6_simhash_duplicates": op6_simhash_duplicates,
     "op7_kneser_ney": op7_kneser_ney,
     "op8_best_fit_packing": op8_best_fit_packing,
