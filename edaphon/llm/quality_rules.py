@@ -118,3 +118,10 @@ def apply_rules(docs: DataFrame, text: str = "text", min_kept_share: float = MIN
         )
         .drop("_lines", "_kept_lines", "_spoken")
     )
+
+
+def kept_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The documents that ``apply_rules`` keeps, with its columns. The row number keeps the optimizer from
+    moving the test below the figures it is made of, which would write them out once for each use."""
+    out = apply_rules(docs, text, **options).withColumn("_row", F.monotonically_increasing_id())
+    return out.filter(F.col("kept") & (F.col("_row") >= 0)).drop("_row")
