@@ -64,8 +64,6 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def learn(self, cache: dict, words: set[str], lead: str) -> None:
-        if len(cache) + len(words) > CACHE:
-            cache.clear()
         plain = [w for w in words if w and len(w.split()) == 1 and w == w.strip()]
         cache.update((w, None) for w in words)
         if lead:  # one text for all, taken apart where a word opens
@@ -85,7 +83,9 @@ class Encoder:
         for cache, words, lead in ((self.first, first, ""), (self.rest, rest, " ")):
             missing = words - cache.keys()
             if missing and len(cache) + len(missing) > CACHE:
-                missing = words  # the cache starts anew
+                kept = {w: cache[w] for w in words & cache.keys()}  # what is in use stays
+                cache.clear()
+                cache.update(kept)
             if missing:
                 self.learn(cache, missing, lead)
         out = []
