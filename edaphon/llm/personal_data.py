@@ -57,21 +57,28 @@ def running_total(values: Column) -> Column:
     return F.flatten(F.zip_with(blocks, before(sums, F.lit(0).cast("bigint")), before))
 
 
-def occurrences(text: Column, pattern: str, kind: Column, valid) -> Column:
-    """Non-overlapping matches from the left, with positions and what stands around them."""
-    found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    parts = F.zip_with(found, F.slice(between, 1, F.size(found)), lambda m, p: F.struct(m.alias("m"), p.alias("p")))
-    sized = F.transform(parts, lambda x: (F.length(x["m"]) + F.length(x["p"])).cast("bigint"))
-    starts = running_total(sized)
-    rows = F.transform(
-        F.zip_with(parts, starts, lambda x, s: F.struct(x["m"].alias("m"), x["p"].alias("p"), (s + F.length(x["p"])).alias("s"))),
-        lambda x, i: F.struct(
-            kind.alias("kind"),
+def matches(text: Column, pattern: str) -> Column:
+    """Non-overlapping matches from the left, and the text between them."""
+    return F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("between"))
+
+
+def occurrences(parts: Column, kind: int, valid) -> Column:
+    """``matches`` with positions and what stands around them. Arrays are passed in and zipped: a lambda that
+    names an expression would evaluate it for every element."""
+    found, between = parts["found"], parts["between"]
+    lengths = F.zip_with(found, between, lambda m, b: (F.coalesce(F.length(m), F.lit(0)) + F.length(b)).cast("bigint"))
+    ahead = F.zip_with(between, running_total(lengths), lambda b, s: F.struct(b.alias("b"), (s + F.length(b)).alias("s")))
+    around = F.zip_with(F.slice(ahead, 1, F.size(found)), F.slice(between, 2, F.size(found)), lambda x, after: F.struct(x["b"], x["s"], after.alias("a")))
+    rows = F.zip_with(
+        found,
+        around,
+        lambda m, x: F.struct(
+            F.lit(kind).alias("kind"),
             x["s"].alias("start"),
-            (x["s"] + F.length(x["m"])).alias("end"),
-            x["m"].alias("value"),
-            F.right(x["p"], F.lit(CONTEXT)).alias("before"),
-            F.left(F.get(between, i + 1), F.lit(CONTEXT)).alias("after"),
+            (x["s"] + F.length(m)).alias("end"),
+            m.alias("value"),
+            F.right(x["b"], F.lit(CONTEXT)).alias("before"),
+            F.left(x["a"], F.lit(CONTEXT)).alias("after"),
         ),
     )
     return F.filter(rows, lambda x: valid(x["value"]))
@@ -109,31 +116,31 @@ def anything(value: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column) -> list[Column]:
-    """Per kind an array of occurrences, by start."""
-    none = F.array().cast(OCCURRENCE)
+def base_matches(text: Column) -> dict[str, Column]:
+    """Per kind the matches of its expression; NULL where none can be."""
     clean = F.translate(text, JOINT, OTHER)
     dots = F.regexp_replace(clean, "(?<=[A-Za-z0-9-])\\.(?=[A-Za-z0-9-])", JOINT)
     gaps = F.regexp_replace(clean, "(?<=[0-9])[ -](?=[0-9])", JOINT)
     local, host = "A-Za-z0-9._%+\\x01-", "A-Za-z0-9-"
-    kinds = (
-        (text.contains("@"), dots, f"(?:(?<![{local}])|\\G)[{local}]++@[{host}]++\\x01[{host}\\x01]+", anything),
-        (text.rlike("[0-9]\\.[0-9]"), clean, "(?<![0-9])[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++", is_ip),
-        (text.rlike("[0-9][ -]?[0-9]"), gaps, "[0-9][0-9\\x01]++", is_card),
-        (text.contains("+"), clean, "\\+[0-9][ ().0-9-]+[0-9]", is_phone),
-    )
-    return [
-        F.when(maybe, occurrences(body, pattern, F.lit(k), valid)).otherwise(none)
-        for k, (maybe, body, pattern, valid) in enumerate(kinds)
-    ]
+    return {
+        "email": F.when(text.contains("@"), matches(dots, f"(?:(?<![{local}])|\\G)[{local}]++@[{host}]++\\x01[{host}\\x01]+")),
+        "ip": F.when(text.rlike("[0-9]\\.[0-9]"), matches(clean, "(?<![0-9])[0-9]++\\.[0-9]++\\.[0-9]++\\.[0-9]++")),
+        "card": F.when(text.rlike("[0-9][ -]?[0-9]"), matches(gaps, "[0-9][0-9\\x01]++")),
+        "phone": F.when(text.contains("+"), matches(clean, "\\+[0-9][ ().0-9-]+[0-9]")),
+    }
+
+
+VALID = {"email": anything, "ip": is_ip, "card": is_card, "phone": is_phone}
+
+
+def candidate_matches(text: Column) -> Column:
+    """Words with a digit or an @."""
+    return F.when(text.rlike("[0-9@]"), matches(text, "(?<![^ \\t-\\r])(?=[^ \\t-\\r0-9@]*+[0-9@])[^ \\t-\\r]++"))
 
 
-def candidates(text: Column, base: Column) -> Column:
-    """Words with a digit or an @ that touch no base span."""
-    pattern = "(?<![^ \\t-\\r])(?=[^ \\t-\\r0-9@]*+[0-9@])[^ \\t-\\r]++"
-    found = F.when(text.rlike("[0-9@]"), occurrences(text, pattern, F.lit(-1), anything)).otherwise(F.array().cast(OCCURRENCE))
+def candidates(found: Column, base: Column) -> Column:
+    """Of the found words those that touch no base span, without the marks around them."""
     free = F.filter(found, lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"])))
-    # marks around the word are not part of the identifier
     lead = lambda v: F.length(v) - F.length(F.regexp_replace(v, "^[^A-Za-z0-9+]+", ""))
     trail = lambda v: F.length(v) - F.length(F.regexp_replace(v, "[^A-Za-z0-9]+$", ""))
     return F.transform(
@@ -151,17 +158,22 @@ def candidates(text: Column, base: Column) -> Column:
 
 def scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: its id, a digest of its text, base spans and candidates."""
-    body = F.coalesce(F.col(text), F.lit(""))
+    body, none = F.coalesce(F.col(text), F.lit("")), F.array().cast(OCCURRENCE)
     rows = docs.select(F.col(id).alias("doc_id"), body.alias("_text"))
-    for kind, spans in zip(KINDS, base_spans(F.col("_text"))):
-        rows = rows.withColumn(f"_{kind}", spans)
+    found = base_matches(F.col("_text")) | {"word": candidate_matches(F.col("_text"))}
+    rows = rows.select("doc_id", F.xxhash64("_text").alias("digest"), *[parts.alias(f"_{kind}") for kind, parts in found.items()])
+    spans = {
+        kind: F.coalesce(occurrences(F.col(f"_{kind}"), KINDS.index(kind) if kind in KINDS else -1, VALID.get(kind, anything)), none)
+        for kind in found
+    }
+    rows = rows.withColumns({f"_{kind}": column for kind, column in spans.items()})
     rows = rows.withColumn("_base", F.concat(*[f"_{kind}" for kind in KINDS]))
     return rows.select(
         "doc_id",
-        F.xxhash64("_text").alias("digest"),
+        "digest",
         *[F.size(f"_{kind}").cast("long").alias(f"n_{kind}") for kind in KINDS],
         F.col("_base").alias("base"),
-        candidates(F.col("_text"), F.col("_base")).alias("candidates"),
+        candidates(F.col("_word"), F.col("_base")).alias("candidates"),
     )
 
 
