@@ -37,7 +37,7 @@ QUERY_STEP = 100
 BLOCK = 8192
 QUERY_BLOCK = 512
 #: Entries of each sorted list that are read between two tests of the bound.
-READ = 32
+READ = 128
 EXACT = float(1 << 53)
 
 RESULT = "query_id bigint, vec_id bigint, score bigint"
@@ -75,28 +75,30 @@ def blocks(vectors: DataFrame, rows: int, size: int, width: int) -> DataFrame:
 
 def best_rows(query: np.ndarray, own: int, data: np.ndarray, ids: np.ndarray, lists: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The threshold algorithm for one query in one block: positions and scores of its best rows."""
-    rows, dims = data.shape
+    rows = len(data)
     use = np.flatnonzero(query)
     if not len(use):
         use = np.arange(1)
     weights = query[use]
-    fresh = ids != own
+    lists, falls = lists[use], weights > 0
+    seen = ids == own
     found, scores, depth = np.zeros(0, np.int64), np.zeros(0, query.dtype), 0
     while depth < rows:
         deep = min(rows, depth + READ)
-        # from the end of each ascending list that its weight favours
-        up = lists[use, depth:deep]
-        down = lists[use, rows - deep : rows - depth][:, ::-1]
-        read = np.where((weights > 0)[:, None], down, up)
-        new = np.unique(read)
-        new = new[fresh[new]]
-        fresh[new] = False
-        found, scores = np.concatenate([found, new]), np.concatenate([scores, data[new] @ query])
-        if len(found) > k:
-            keep = np.lexsort((ids[found], -scores))[:k]
-            found, scores = found[keep], scores[keep]
-        bound = sum((weights * data[read[:, -1], use]).tolist())
-        if len(found) >= k and bound < scores[-1]:
+        # each ascending list is read from the end that its weight favours
+        read = np.where(falls[:, None], lists[:, rows - deep : rows - depth][:, ::-1], lists[:, depth:deep])
+        fresh = np.zeros(rows, dtype=bool)
+        fresh[read] = True
+        fresh &= ~seen
+        seen |= fresh
+        new = np.flatnonzero(fresh)
+        score = data[new] @ query
+        if len(found) == k:
+            new, score = new[score >= scores[-1]], score[score >= scores[-1]]
+        found, scores = np.concatenate([found, new]), np.concatenate([scores, score])
+        keep = np.lexsort((ids[found], -scores))[:k]
+        found, scores = found[keep], scores[keep]
+        if seen.all() or (len(found) == k and (weights * data[read[:, -1], use]).sum() < scores[-1]):
             break
         depth = deep
     return found, scores
