@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,5 +48,6 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     out = materialise(df, label)
     del df
     gc.collect()
+    time.sleep(0.5)  # the references to the JVM's objects are dropped by a thread of their own
     out.sparkSession._jvm.System.gc()
     return out

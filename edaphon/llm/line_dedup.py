@@ -17,8 +17,8 @@ Every group is settled within a chunk of text first, and a chunk sends what can
 others: a line or template that stands in very many documents is one row per chunk.
 
 Defined cases: NULL and empty texts have no lines; lines without words stay and are not compared; white
-space inside a line does not count; a NULL id comes before all others; rows that share an id are one
-document.
+space inside a line does not count; rows without an id come before all others, by a hash of their text;
+rows that share an id are one document (lines found in one of several texts under an id go from each).
 """
 
 from __future__ import annotations
@@ -32,7 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edaphon.llm.base import settled
-from edaphon.llm.substring_dedup import NO_ID, PART_CHARS, ROW, first_of, name, repeats, sent, word_names
+from edaphon.llm.substring_dedup import (
+    PART_CHARS, PLAIN, ROW, SETTLED, document_id, first_of, gathered, name, record, repeats, sent, word_names,
+)
 
 MIN_WORDS = 8
 CHUNK_BYTES = 4_000_000
@@ -44,10 +46,10 @@ BASES = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0xD1342543DE82EF95))
 
 class Lines:
     """The lines with words of a chunk of documents. ``begin``, ``end``: word positions; ``doc``, ``line``: where
-    it stands; sums over powers give the name of any run of words."""
+    it stands; ``row``: which text; sums over powers give the name of any run of words."""
 
-    def __init__(self, ids: list[int | None], texts: list[str | None], wanted: list[list[int] | None] | None = None):
-        words, sizes, docs, places = [], [], [], []
+    def __init__(self, ids: list[int], texts: list[str | None], wanted: list[list[int] | None] | None = None):
+        words, sizes, docs, places, rows = [], [], [], [], []
         for k, (doc, text) in enumerate(zip(ids, texts)):
             lines = (text or "").encode().split(b"\n")
             for i in range(len(lines)) if wanted is None else wanted[k]:
@@ -55,10 +57,12 @@ class Lines:
                 if found:
                     words += found
                     sizes.append(len(found))
-                    docs.append(NO_ID if doc is None else doc)
+                    docs.append(doc)
+                    rows.append(k)
                     places.append(i)
         self.size = np.array(sizes, dtype=np.int64)
         self.doc, self.line = np.array(docs, dtype=np.int64), np.array(places, dtype=np.int64)
+        self.row = np.array(rows, dtype=np.int64)
         self.end = np.cumsum(self.size)
         self.begin = self.end - self.size
         names, self.sums, self.back = word_names(words), [], []
@@ -102,8 +106,8 @@ def equal_rows(docs: DataFrame) -> DataFrame:
 
 
 def half_rows(docs: DataFrame, min_words: int) -> DataFrame:
-    """A row per line and half under the half's name; ``n`` is the place in ``SIDES``, ``known`` that another
-    line of the chunk has the same half."""
+    """A row per line and half under the half's name; ``n`` is the place in ``SIDES``; settled rows
+    share theirs with another line of the chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in chunks(batches):
@@ -125,21 +129,11 @@ def half_rows(docs: DataFrame, min_words: int) -> DataFrame:
             new_line = new_key | np.r_[True, span[1:] != span[:-1]]
             group = np.cumsum(new_key) - 1
             several = np.bincount(group, new_line)[group] > 1
-            # one row speaks for the chunk; the others of a shared half are settled
-            goes = new_key | (new_line & several)
-            known = several & ~new_key
-            key = np.where(known, name(x.doc[at].view(np.uint64), (x.line[at] * 4 + side).astype(np.uint64)), key)
-            # the speaker of a shared half is settled too, by a row of its own
-            twice = np.flatnonzero(new_key & several)
-            pick = np.r_[np.flatnonzero(goes), twice]
-            known = np.r_[known[goes], np.ones(len(twice), dtype=bool)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(key[pick].view(np.int64)), pa.array(span[pick].view(np.int64)), pa.array(x.doc[at[pick]]),
-                    pa.array(x.line[at[pick]].astype(np.int32)), pa.array(side[pick].astype(np.int32)), pa.array(known),
-                ],
-                ["key", "span", "doc_id", "lo", "n", "known"],
-            )
+            # one row speaks for the chunk; a shared half is settled for all its lines, by rows of their own
+            told = np.flatnonzero(new_line & several)
+            spread = name(x.doc[at[told]].view(np.uint64), (x.line[at[told]] * 4 + side[told]).astype(np.uint64))
+            for pick, keys, state in ((np.flatnonzero(new_key), key[new_key], PLAIN), (told, spread, SETTLED)):
+                yield record(keys, span[pick], x.doc[at[pick]], x.line[at[pick]], side[pick], np.full(len(pick), state))
 
     return docs.mapInArrow(run, ROW)
 
@@ -151,14 +145,9 @@ def shared_halves(rows: DataFrame, parts: int) -> DataFrame:
         def out(doc, lo, n) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(lo), pa.array(n)], ["doc_id", "lo", "n"])
 
-        held = []
-        for batch in batches:
-            key, span, doc, lo, n, known = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            if known.any():
-                yield out(doc[known], lo[known], n[known])
-            held.append((key[~known], span[~known], doc[~known], lo[~known], n[~known]))
-        if held:
-            key, span, doc, lo, n = (np.concatenate(x) for x in zip(*held))
+        held = yield from gathered(batches, lambda key, span, doc, lo, n: out(doc, lo, n))
+        if held is not None:
+            key, span, doc, lo, n, _ = held
             order = np.lexsort((span, key))
             key, span = key[order], span[order]
             new_key = np.r_[True, key[1:] != key[:-1]][: len(key)]
@@ -189,19 +178,20 @@ def earlier_alike(key, span, doc, lo, kind) -> np.ndarray:
 
 
 def variant_rows(opened: DataFrame, min_words: int) -> DataFrame:
-    """Variants of the lines in ``ranges`` (lo: line, n: side); columns doc_id, text, ranges. ``known`` rows have
-    an alike line earlier in their chunk."""
+    """Variants of the lines in ``ranges`` (lo: line, n: side); columns doc_id, text, ranges. settled rows
+    have an alike line earlier in their chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in chunks(batches):
-            sides = [{r["lo"]: 0 for r in rs} for rs in rows.column(2).to_pylist()]
-            for found, rs in zip(sides, rows.column(2).to_pylist()):
-                for r in rs:
-                    found[r["lo"]] |= 1 << r["n"]
+            sides: list[dict[int, int]] = []
+            for ranges in rows.column(2).to_pylist():
+                sides.append({})
+                for r in ranges:
+                    sides[-1][r["lo"]] = sides[-1].get(r["lo"], 0) | 1 << r["n"]
             x = Lines(rows.column(0).to_pylist(), rows.column(1).to_pylist(), [sorted(found) for found in sides])
-            flags = np.array([found[i] for found in sides for i in sorted(found)], dtype=np.int64)
-            if len(flags) != len(x.size) or not len(flags):
-                raise ValueError("a line that was compared is gone: the input changed while it was read")
+            flags = np.array([sides[k][i] for k, i in zip(x.row.tolist(), x.line.tolist())], dtype=np.int64)
+            if not len(flags):
+                continue
             made = []
             for kind, (front, back), less in ((SUBSTITUTED, (1, 2), 0), (SHORTENED, (4, 8), 1)):
                 half = (x.size - less) // 2
@@ -234,16 +224,8 @@ def variant_rows(opened: DataFrame, min_words: int) -> DataFrame:
             goes |= (kind != SUBSTITUTED) & ~gone[which]
             told = np.flatnonzero(gone)
             spread = name(x.doc[told].view(np.uint64), x.line[told].astype(np.uint64))
-            sent_ = np.flatnonzero(goes)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.r_[key[sent_], spread].view(np.int64)), pa.array(np.r_[span[sent_], spread].view(np.int64)),
-                    pa.array(np.r_[doc[sent_], x.doc[told]]), pa.array(np.r_[lo[sent_], x.line[told]].astype(np.int32)),
-                    pa.array(np.r_[kind[sent_], np.zeros(len(told), np.int64)].astype(np.int32)),
-                    pa.array(np.r_[np.zeros(len(sent_), bool), np.ones(len(told), bool)]),
-                ],
-                ["key", "span", "doc_id", "lo", "n", "known"],
-            )
+            yield record(key[goes], span[goes], doc[goes], lo[goes], kind[goes], np.full(int(goes.sum()), PLAIN))
+            yield record(spread, spread, x.doc[told], x.line[told], np.zeros(len(told)), np.full(len(told), SETTLED))
 
     return opened.mapInArrow(run, ROW)
 
@@ -251,24 +233,22 @@ def variant_rows(opened: DataFrame, min_words: int) -> DataFrame:
 def near_repeats(rows: DataFrame, parts: int) -> DataFrame:
     """(doc_id, lo): lines with an alike line earlier."""
 
+    def out(doc, lo) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(lo)], ["doc_id", "lo"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
-        for batch in batches:
-            key, span, doc, lo, n, known = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            if known.any():
-                yield pa.RecordBatch.from_arrays([pa.array(doc[known]), pa.array(lo[known])], ["doc_id", "lo"])
-            held.append((key[~known], span[~known], doc[~known], lo[~known], n[~known]))
-        if held:
-            key, span, doc, lo, n = (np.concatenate(x) for x in zip(*held))
+        held = yield from gathered(batches, lambda key, span, doc, lo, n: out(doc, lo))
+        if held is not None:
+            key, span, doc, lo, n, _ = held
             goes = earlier_alike(key, span, doc, lo, n)
-            yield pa.RecordBatch.from_arrays([pa.array(doc[goes]), pa.array(lo[goes])], ["doc_id", "lo"])
+            yield out(doc[goes], lo[goes])
 
     return rows.repartition(parts, "key").mapInArrow(run, "doc_id bigint, lo int").distinct()
 
 
 def repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, lo, near): lines that go; ``near`` if no equal line stands earlier. NULL ids as ``NO_ID``."""
-    rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    """(doc_id, lo, near): lines that go; ``near`` if no equal line stands earlier; doc_id is ``document_id``."""
+    rows = docs.select(document_id(id, text).alias("doc_id"), F.col(text).cast("string").alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_CHARS))
     equal = settled(repeats(equal_rows(rows), parts).filter("not open").select("doc_id", "lo"), "equal-lines")
@@ -285,7 +265,7 @@ def remove_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text
     gone = repeated_lines(docs, id, text, min_words).groupBy(F.col("doc_id").alias("_id"))
     gone = gone.agg(F.collect_list("lo").alias("_gone"), F.sum((~F.col("near")).cast("long")).alias("_equal"))
     plain = docs.drop("n_lines", "n_equal", "n_near", "kept_text")
-    joined = plain.join(gone, F.coalesce(F.col(id).cast("long"), F.lit(NO_ID)) == F.col("_id"), "left").drop("_id")
+    joined = plain.join(gone, document_id(id, text) == F.col("_id"), "left").drop("_id")
     names = plain.columns
     schema = plain.schema.add("n_lines", "long").add("n_equal", "long").add("n_near", "long").add("kept_text", "string")
 

@@ -18,11 +18,14 @@ symbols. Neighbouring windows under one boundary travel as one row with a name f
 2. The windows of the open rows meet by their own 128-bit names.
 
 Within a chunk of text equal rows are settled before the shuffle, so a passage in very many documents
-sends one row per chunk. Documents are joined to their repeated ranges last.
+sends one row per chunk. A boundary with ``WIDE`` or more classes in a chunk (a short common phrase) is
+open anyway: its rows are dealt by class, and one marker tells the rows of other chunks. Documents are
+joined to their repeated ranges last.
 
 Defined cases: NULL text has no words; fewer words than a window are kept; windows are judged on the
-input; a NULL id comes before all others; rows that share an id are one document (equal rows get equal
-answers, and ranges found in one of several texts under an id are taken from each).
+input; rows without an id come before all others, by a hash of their text; rows that share an id are
+one document (equal rows get equal answers, and ranges found in one of several texts under an id are
+taken from each).
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edaphon.llm.base import settled
@@ -43,7 +46,10 @@ CHUNK_BYTES = 4_000_000
 #: Characters of text per shuffle partition, whose rows a task holds at once (about 30 MB).
 PART_CHARS = 40_000_000
 NO_ID = -(2**63)
-ROW = "key bigint, span bigint, doc_id bigint, lo int, n int, known boolean"
+WIDE = 8
+#: What a row is: to be decided; settled within its chunk; open anyway; a marker that its boundary is open.
+PLAIN, SETTLED, OPEN, MARKER = 0, 1, 2, 3
+ROW = "key bigint, span bigint, doc_id bigint, lo int, n int, state int"
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -177,20 +183,39 @@ def first_of(order_by: tuple[np.ndarray, ...], doc: np.ndarray, lo: np.ndarray)
     return order, opens, later
 
 
+def document_id(id: str, text: str) -> Column:
+    """The id, or for rows without one a number below all ids, by a hash of the text."""
+    own = F.lit(NO_ID) + F.pmod(F.xxhash64(F.col(text).cast("string")), F.lit(1 << 40))
+    return F.coalesce(F.col(id).cast("long"), own)
+
+
+def record(key, span, doc, lo, n, state) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(key.astype(np.uint64, copy=False).view(np.int64)), pa.array(span.astype(np.uint64, copy=False).view(np.int64)),
+            pa.array(doc), pa.array(lo.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(state.astype(np.int32)),
+        ],
+        ["key", "span", "doc_id", "lo", "n", "state"],
+    )
+
+
 def sent(key, span, doc, lo, n) -> Iterator[pa.RecordBatch]:
-    """Rows of a chunk: the first of each class under its key, repeats as known ones under any key."""
-    if len(key):
-        order, opens, later = first_of((key, span, n), doc, lo)
-        rows = order[opens | later]
-        known = later[opens | later]
-        key = np.where(known, name(doc[rows].view(np.uint64), lo[rows].astype(np.uint64)), key[rows])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(key.view(np.int64)), pa.array(span[rows].view(np.int64)), pa.array(doc[rows]),
-                pa.array(lo[rows].astype(np.int32)), pa.array(n[rows].astype(np.int32)), pa.array(known),
-            ],
-            ["key", "span", "doc_id", "lo", "n", "known"],
-        )
+    """Rows of a chunk: the first of each class under its key, repeats as settled ones under any key."""
+    if not len(key):
+        return
+    order, opens, later = first_of((key, span, n), doc, lo)
+    pick = opens | later
+    rows, later, opens = order[pick], later[pick], opens[pick]
+    key, span, doc, lo, n = (x[rows] for x in (key, span, doc, lo, n))
+    new_key = np.r_[True, key[1:] != key[:-1]]
+    group = np.cumsum(new_key) - 1
+    wide = np.bincount(group, opens)[group] >= WIDE
+    state = np.where(later, SETTLED, np.where(wide, OPEN, PLAIN))
+    mark = np.flatnonzero(new_key & wide)
+    if len(mark):
+        yield record(key[mark], np.zeros(len(mark)), doc[mark], lo[mark], np.full(len(mark), -1), np.full(len(mark), MARKER))
+    key = np.where(later, name(doc.view(np.uint64), lo.astype(np.uint64)), np.where(wide, name(key, span, 5), key))
+    yield record(key, span, doc, lo, n, state)
 
 
 def boundary_rows(docs: DataFrame, window: int) -> DataFrame:
@@ -213,7 +238,7 @@ def boundary_rows(docs: DataFrame, window: int) -> DataFrame:
             n = np.diff(np.r_[opens, len(starts)])
             # the first and the last window cover all words of the run
             span = name(name(whole[starts[opens]], whole[starts[opens] + n - 1]), n.astype(np.uint64), 4)
-            doc = np.array([NO_ID if i is None else i for i in ids], dtype=np.int64)
+            doc = np.array(ids, dtype=np.int64)
             yield from sent(key[opens], span, doc[which[opens]], starts[opens] - begin[which[opens]], n)
 
     return docs.mapInArrow(run, ROW)
@@ -235,7 +260,7 @@ def window_rows(opened: DataFrame, window: int) -> DataFrame:
             fits = place + window <= sizes[which]
             which, place = which[fits], place[fits]
             at = begin[which] + place
-            doc = np.array([NO_ID if i is None else i for i in ids], dtype=np.int64)
+            doc = np.array(ids, dtype=np.int64)
             yield from sent(
                 window_names(names, window, 0)[at], window_names(names, window, 7)[at], doc[which], place, np.ones(len(at), np.int64)
             )
@@ -243,37 +268,42 @@ def window_rows(opened: DataFrame, window: int) -> DataFrame:
     return opened.mapInArrow(run, ROW)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], settled_rows) -> Iterator:
+    """Passes rows that are settled on to ``settled_rows`` and returns the others as arrays, or None."""
+    held = []
+    for batch in batches:
+        *columns, state = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        known = state == SETTLED
+        if known.any():
+            yield settled_rows(*(x[known] for x in columns))
+        held.append([x[~known] for x in (*columns, state)])
+    return [np.concatenate(x) for x in zip(*held)] if held else None
+
+
 def repeats(rows: DataFrame, parts: int) -> DataFrame:
     """(doc_id, lo, n, open): repeated ranges of windows, and first ranges of boundaries with several classes."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(doc, lo, n, is_open) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(doc), pa.array(lo), pa.array(n), pa.array(np.full(len(doc), is_open))], ["doc_id", "lo", "n", "open"]
-            )
+    def out(doc, lo, n, is_open) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(lo), pa.array(n), pa.array(np.full(len(doc), is_open))], ["doc_id", "lo", "n", "open"])
 
-        held = []
-        for batch in batches:
-            key, span, doc, lo, n, known = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            if known.any():
-                yield out(doc[known], lo[known], n[known], False)
-            held.append((key[~known], span[~known], doc[~known], lo[~known], n[~known]))
-        if not held:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = yield from gathered(batches, lambda key, span, doc, lo, n: out(doc, lo, n, False))
+        if held is None:
             return
-        key, span, doc, lo, n = (np.concatenate(x) for x in zip(*held))
-        del held
+        key = held[0]
         # names that stand alone need no order
         order = np.argsort(key, kind="stable")
-        alone = np.r_[True, np.diff(key[order]) != 0, True][: len(order) + 1]
-        some = order[~(alone[:-1] & alone[1:])] if len(order) else order
-        key, span, doc, lo, n = (x[some] for x in (key, span, doc, lo, n))
+        edge = np.r_[True, key[order][1:] != key[order][:-1], True] if len(key) else np.zeros(1, dtype=bool)
+        some = order[~(edge[:-1] & edge[1:]) | (held[5][order] == OPEN)]
+        key, span, doc, lo, n, state = (x[some] for x in held)
         if not len(key):
             return
         order, opens, later = first_of((key, span, n), doc, lo)
+        later &= state[order] != MARKER
         yield out(doc[order][later], lo[order][later], n[order][later], False)
         first = order[opens]
         edge = np.r_[True, key[first][1:] != key[first][:-1], True]
-        several = first[~(edge[:-1] & edge[1:])]
+        several = first[(~(edge[:-1] & edge[1:]) & (state[first] != MARKER)) | (state[first] == OPEN)]
         if len(several):
             yield out(doc[several], lo[several], n[several], True)
 
@@ -285,8 +315,8 @@ def by_document(ranges: DataFrame) -> DataFrame:
 
 
 def repeated_ranges(docs: DataFrame, id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(doc_id, lo, n): runs of windows that also start earlier; NULL ids as ``NO_ID``."""
-    rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    """(doc_id, lo, n): runs of windows that also start earlier; doc_id is ``document_id``."""
+    rows = docs.select(document_id(id, text).alias("doc_id"), F.col(text).cast("string").alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_CHARS))
     found = settled(repeats(boundary_rows(rows, window), parts), "repeats")
@@ -299,7 +329,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
     """``docs`` with ``n_words``, ``n_removed`` and ``kept_text`` (kept words joined by one space)."""
     ranges = by_document(repeated_ranges(docs, id, text, window))
     plain = docs.drop("n_words", "n_removed", "kept_text")
-    joined = plain.join(ranges, F.coalesce(F.col(id).cast("long"), F.lit(NO_ID)) == F.col("_id"), "left").drop("_id")
+    joined = plain.join(ranges, document_id(id, text) == F.col("_id"), "left").drop("_id")
     names = plain.columns
     schema = plain.schema.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
 
