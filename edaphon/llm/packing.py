@@ -30,9 +30,11 @@ from edaphon.llm.base import materialise
 
 CAPACITY = 2048
 END = 0
-#: Multiplicative weights: the part of its scarcest length that one step serves, and the steps.
-STEP = 0.25
-STEPS = 300
+#: Multiplicative weights: the part of its scarcest length that one step serves, the steps, and how fast
+#: weights fall with the share that was served.
+STEP = 0.1
+STEPS = 600
+RATE = 3.0
 #: Ranks of a length are counted in parts of about so many rows.
 PART_ROWS = 1_000_000
 CACHE = 600_000
@@ -159,22 +161,24 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[int,
     return found
 
 
-def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int, steps: int = STEPS, step: float = STEP) -> dict[tuple, float]:
+def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int, steps: int = STEPS, step: float = STEP, rate: float = RATE) -> dict[tuple, float]:
     """Fractional uses of configurations (tuples of (index, times)) that serve all or most of ``counts``."""
-    left, weights, uses = counts.astype(float), np.ones(len(sizes)), {}
+    left, served, uses = counts.astype(float), np.zeros(len(sizes)), {}
+    # no less than leads through all sequences in the given steps
+    least = max(1.0, float(sizes @ counts) / capacity / steps)
     for _ in range(steps):
-        open_ = left > 1e-9
-        if not open_.any():
+        at = np.flatnonzero(left > 1e-9)
+        if not len(at):
             break
-        at = np.flatnonzero(open_)
-        found = {int(at[k]): n for k, n in knapsack(sizes[at] * weights[at], sizes[at], capacity).items()}
-        often = min(max(1.0, step * counts[k] / n) for k, n in found.items())
+        worth = sizes[at] * np.exp(-rate * (served[at] - served[at].min()))
+        found = {int(at[k]): n for k, n in knapsack(worth, sizes[at], capacity).items()}
+        often = max(least, min(step * counts[k] / n for k, n in found.items()))
         often = min(often, *(left[k] / n for k, n in found.items()))
         key = tuple(sorted(found.items()))
         uses[key] = uses.get(key, 0.0) + often
         for k, n in found.items():
             left[k] -= often * n
-            weights[k] *= (1 - step) ** (often * n / counts[k])
+            served[k] += often * n / counts[k]
     return uses
 
 
@@ -233,6 +237,8 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[str
     if lengths:
         plan, left = rounded(configurations(sizes, counts, capacity), counts)
         plan += best_fit(sizes, left, capacity)
+        # on few or awkward lengths rounding can cost more than the program gains
+        plan = min(plan, best_fit(sizes, counts, capacity), key=lambda groups: sum(often for _, often in groups))
     places, used, sequences = [], dict.fromkeys(range(len(sizes)), 0), 0
     for key, often in plan:
         offset = 0
