@@ -37,11 +37,11 @@ def lengthen(df: DataFrame, keys: list[str], column: str = "spectrum") -> DataFr
 
 
 def complete(spectrum: Column, points: int) -> Column:
-    """All ``points`` values present, none of them NULL or NaN."""
+    """Exactly ``points`` values, none of them NULL or NaN."""
     if points == 0:
         return F.lit(True)
     return (
         spectrum.isNotNull()
-        & (F.size(spectrum) >= points)
+        & (F.size(spectrum) == points)
         & ~F.exists(spectrum, lambda x: x.isNull() | F.isnan(x))
     )

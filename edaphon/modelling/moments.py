@@ -27,7 +27,6 @@ from edaphon.modelling.split import TEST
 BLOCK = 256  # side of the blocks a Gram matrix travels in: 512 KB of doubles
 HELD_BYTES = 1 << 29  # partial sums a task may hold
 LARGE_BYTES = 1 << 24  # partial sums worth saving a shuffle of
-GROUPS_PER_TARGET = 6  # five folds and the test rows
 GROUP_TASKS = 128  # most tasks for groups that are few and small but cost time
 MAX_PCA, MAX_KBEST = 80, 300
 
@@ -56,13 +55,13 @@ def target_shift(samples: DataFrame) -> dict[str, float]:
     return {r[0]: r[1] for r in samples.groupBy("target").agg(F.avg("y")).collect()}
 
 
-def gram_blocks(samples: DataFrame, points: int, shift_x: np.ndarray, shift_y: dict[str, float]) -> DataFrame:
+def gram_blocks(samples: DataFrame, points: int, shift_x: np.ndarray, shift_y: dict[str, float], folds: int = 5) -> DataFrame:
     """``(target, fold, block_row, block_col, part)``: upper blocks of the sums of each group.
 
     ``samples`` is ``(target, fold, y, spectrum)``. Tasks add up their rows with matrix products;
     Spark adds up the tasks' blocks, elementwise and before the shuffle where it can.
     """
-    side = points + 2
+    side, groups = points + 2, folds + 1  # the folds and the test rows
     edges = [(b, min(b + BLOCK, side)) for b in range(0, side, BLOCK)]
     pairs = [(i, j) for i in range(len(edges)) for j in range(i, len(edges))]
     held = max(1, HELD_BYTES // (8 * side * side))
@@ -112,11 +111,11 @@ def gram_blocks(samples: DataFrame, points: int, shift_x: np.ndarray, shift_y: d
         yield from emit(sums)
 
     narrow = samples.select("target", F.col("fold").cast("int").alias("fold"), "y", "spectrum")
-    if GROUPS_PER_TARGET * 8 * side * side > LARGE_BYTES:
+    if groups * 8 * side * side > LARGE_BYTES:
         # A task passes on one Gram matrix per group, however few rows it saw: with wide spectra,
         # let a task stream through several input splits rather than shuffle more than was read.
         narrow = narrow.coalesce(stream_tasks(narrow))
-    if len(shift_y) * GROUPS_PER_TARGET > held:
+    if len(shift_y) * groups > held:
         # A scan per target, so that a task holds the sums of one target only; a table partitioned
         # by target is still read once.
         narrow = reduce(DataFrame.unionByName, [narrow.filter(F.col("target") == t) for t in sorted(shift_y)])
@@ -307,7 +306,7 @@ class Study:
 def study(samples: DataFrame, points: int, folds: int = 5) -> Study:
     """One pass over ``(target, ssn, fold, y, spectrum)``, lazily."""
     shift_x, shift_y = pilot(samples), target_shift(samples)
-    blocks = gram_blocks(samples, points, shift_x, shift_y)
+    blocks = gram_blocks(samples, points, shift_x, shift_y, folds)
     return Study(samples, points, shift_x, shift_y, holdout_moments(blocks, folds))
 
 

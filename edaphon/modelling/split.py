@@ -55,8 +55,8 @@ def with_position(keys: DataFrame, digest: str, by: list[str] = ()) -> DataFrame
     tie = [c for c in keys.columns if c != digest]
     rank = F.row_number().over(Window.partitionBy(*by, "_bin").orderBy(digest, *tie))
     ranked = binned.withColumn("_rank", rank)
-    # few groups, e.g. five targets: the starts are a small table
-    placed = ranked.join(F.broadcast(starts), [*by, "_bin"])
+    # the ranks are dealt by group and bin already, and Spark broadcasts the starts if they are few
+    placed = ranked.join(starts, [*by, "_bin"])
     return placed.withColumn("position", F.col("_start") + F.col("_rank") - 1).drop("_bin", "_start", "_rank")
 
 

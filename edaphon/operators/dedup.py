@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,11 +24,13 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 def without_repeats(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """The same rows for a written table with large rows, ``name`` naming each row and deciding.
 
-    Ranking would sort the large rows before the shuffle. Here keys and names alone are ranked, the
-    names that lose are written, and an anti join takes them out. They are few as a rule, so Spark
-    broadcasts them and the large rows stay where they are; if they are many it shuffles.
+    Ranking would sort the large rows before the shuffle. Here each key's first name and number of
+    rows are added up before the shuffle, keys that repeat are few as a rule, and the names that lose
+    are written and taken out by an anti join. If they are few Spark broadcasts them and the large
+    rows stay where they are; if they are many it shuffles, and splits a key that holds much.
     """
-    window = Window.partitionBy(*keys).orderBy(F.col(name).asc_nulls_last())
-    ranked = df.select(*keys, name).withColumn("_rank", F.row_number().over(window))
-    losing = materialise(ranked.filter("_rank > 1").select(name), "repeats")
+    first = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(name).alias("_first"), F.count("*").alias("_rows"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    named = df.select(*keys, name).join(first.filter("_rows > 1"), same)
+    losing = materialise(named.filter(F.col(name) != F.col("_first")).select(name), "repeats")
     return df.join(losing, name, "left_anti").select(*df.columns)

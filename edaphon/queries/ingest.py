@@ -157,12 +157,12 @@ def raw_files(spark: SparkSession, sf: str) -> DataFrame:
     select concat('icr', sample_id) as ssn, sample_id, concat('icr', sample_id, '.0') as file_name,
         concat('lake/', case when label = 3 then 'again' else 'first' end, '/Bruker_Alpha_KBr/icr', sample_id, '.0')
         as source, """
-    + ", ".join(f"cast(embedding[{i + 1}] as double) as wn_{i}" for i in (0, 1, POINTS - 1))
+    + ", ".join(f"cast(embedding[{i + 1}] as double) as wn_{i}" for i in range(POINTS))
     + ", len(embedding) as points from rows",
 )
 def spectra_base_query(spark: SparkSession, sf: str) -> DataFrame:
     base = spectra_base(decode(raw_files(spark, sf)))
-    ends = [F.get("spectrum", F.lit(i)).alias(f"wn_{i}") for i in (0, 1, POINTS - 1)]
+    ends = [F.get("spectrum", F.lit(i)).alias(f"wn_{i}") for i in range(POINTS)]
     points = F.size("spectrum").cast("bigint").alias("points")
     return base.select(F.col("SSN").alias("ssn"), "sample_id", "file_name", "source", *ends, points)
 
@@ -229,17 +229,3 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         header="true", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
     ).csv(path)
     return read_lab_csv(spark, path, "cropnuts").toDF("ssn", "pct_c", "olsen", "exbas")
-
-
-@query(
-    "audit_csv_roundtrip",
-    f"""with {SILVER_SQL} select 'qtd_linhas_silver_final' as metric_name, cast(count(*) as varchar) as metric_value
-    from silver union all select 'qtd_preenchido_ph', cast(count(ph) as varchar) from silver""",
-)
-def audit_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    counts = silver(spark, sf).agg(
-        F.count("*").alias("qtd_linhas_silver_final"), F.count("ph").alias("qtd_preenchido_ph")
-    )
-    report = Q.as_rows(counts).select("metric_name", "metric_value")
-    path = write_report(report, fresh_path(spark, "validations"), "2024-01-01-00-00")
-    return read_report(spark, path, "metric_name string, metric_value string")

@@ -23,8 +23,8 @@ from edaphon.queries.views import (
     spectra,
     table,
 )
-from edaphon.session import materialise
-from edaphon.sinks.lake import write_silver
+from edaphon.session import fresh_path, materialise
+from edaphon.sinks.lake import read_report, write_report, write_silver
 
 TARGET_LIST = ", ".join(TARGETS)
 
@@ -105,13 +105,14 @@ def dedup_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "silver_drop_lineage",
-    f"with {SPECTRA_SQL} select ssn, spectrum[1] as wn_0, spectrum[{POINTS}] as wn_{POINTS - 1} from spectra",
+    f"with {SILVER_SQL} select ssn, {TARGET_LIST}, {WIDE_SQL} from silver",
 )
 def silver_drop_lineage(spark: SparkSession, sf: str) -> DataFrame:
-    rows = spectra(spark, sf).withColumn("n_points", F.size("spectrum")).withColumn("file_name", F.col("source"))
-    clean = rows.drop(*LINEAGE_COLUMNS)
-    ends = [F.get("spectrum", F.lit(i)).alias(f"wn_{i}") for i in (0, POINTS - 1)]
-    return clean.select(*[F.col(c).alias("ssn") for c in clean.columns if c != "spectrum"], *ends)
+    """Silver with all columns of the measurement files, without them again."""
+    rows = silver(spark, sf)
+    for name in LINEAGE_COLUMNS:
+        rows = rows.withColumn(name, F.concat(F.lit(f"{name} of "), F.col(rows.columns[0])))
+    return widen(rows.drop(*LINEAGE_COLUMNS), POINTS)
 
 
 @query(
@@ -348,6 +349,15 @@ def silver_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return Q.silver_metrics(_key_tables(spark, sf), master)
 
 
+@query("audit_csv_roundtrip", f"select metric_name, numeric_value as metric_value from ({_metric_sql()})")
+def audit_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """All 47 metrics of Silver through the report; what comes back is text, compared as numbers."""
+    report = silver_metrics(spark, sf).select("metric_name", "metric_value")
+    path = write_report(report, fresh_path(spark, "validations"), "2024-01-01-00-00")
+    back = read_report(spark, path, "metric_name string, metric_value string")
+    return back.select("metric_name", F.col("metric_value").cast("double").alias("metric_value"))
+
+
 @query("preview_keys", f"with {SPECTRA_SQL} select ssn, concat(ssn, '.0') as file_name from spectra order by ssn limit 10")
 def preview_keys(spark: SparkSession, sf: str) -> DataFrame:
     named = spectra(spark, sf).select(F.col("SSN").alias("ssn"), F.substring_index("source", "/", -1).alias("file_name"))

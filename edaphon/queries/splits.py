@@ -10,7 +10,7 @@ from edaphon.functions.spectrum import lengthen
 from edaphon.modelling import moments as G
 from edaphon.modelling.split import TEST, exact_folds, exact_split, is_test
 from edaphon.queries.registry import query
-from edaphon.queries.views import PLANTED_SQL, POINTS, SPECTRA_SQL, planted, ssn, table
+from edaphon.queries.views import PLANTED_SQL, POINTS, SPECTRA_SQL, planted, spectrum_key, table
 
 
 def rounded(value: Column, digits: int = 6) -> Column:
@@ -19,7 +19,7 @@ def rounded(value: Column, digits: int = 6) -> Column:
 
 
 def keys(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "embeddings").select(ssn(F.col("vec_id")).alias("ssn"))
+    return table(spark, sf, "embeddings").select(spectrum_key().alias("ssn"))
 
 
 @query(

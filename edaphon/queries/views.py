@@ -1,7 +1,7 @@
 """The soil tables as views over the given tables, in Spark and in SQL.
 
 Three laboratories with overlapping keys (rres ← part, icraf ← customer, cropnuts ← orders, the
-last with replicates and blank keys), spectra ← embeddings, objects ← pages, trial logs ← events.
+last with replicates and blank keys, the second with replicates, the first with blank keys), spectra ← embeddings, objects ← pages, trial logs ← events.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from edaphon.operators.gold import gold_tidy
 from edaphon.operators.reconcile import silver_master
 
 POINTS = 64  # length of the embeddings, the stand-in spectra
+UNMEASURED = 900_000_000
 TARGETS = ["ph", "pct_c", "olsen_p_mg_kg", "ecec_cmolc__kg_soil", "exbas"]
 PREFIXES = ["de/", "en/", "es/", "fr/", "zz/none/"]
 
@@ -31,13 +32,13 @@ def raw_labs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """The laboratories in priority order, blank keys still in."""
     part, customer, orders = (table(spark, sf, t) for t in ("part", "customer", "orders"))
     rres = part.select(
-        ssn(F.col("p_partkey") * 3).alias("SSN"),
+        F.when(F.col("p_partkey") % 89 == 0, F.lit(" ")).otherwise(ssn(F.col("p_partkey") * 3)).alias("SSN"),
         (F.col("p_size") / 4).alias("pH"),
         (F.col("p_retailprice") / 1000).alias("%C"),
         (F.col("p_size") * F.lit(1.5)).alias("ECEC cmolc/ kg soil"),
     )
     icraf = customer.select(
-        ssn(F.col("c_custkey") * 2).alias("SSN"),
+        ssn((F.col("c_custkey") - F.col("c_custkey") % 2) * 2).alias("SSN"),
         F.when(F.col("c_nationkey") >= 5, F.col("c_nationkey") / F.lit(1.6)).alias("pH"),
         (F.col("c_acctbal") / 1000).alias("%C"),
         (F.abs("c_acctbal") / 100).alias("ExBas"),
@@ -57,10 +58,11 @@ def labs(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 LABS_SQL = """
-raw_rres as (select concat('icr', lpad(cast(p_partkey*3 as varchar), 12, '0')) as ssn, p_size/4e0 as ph,
+raw_rres as (select case when p_partkey % 89 = 0 then ' '
+    else concat('icr', lpad(cast(p_partkey*3 as varchar), 12, '0')) end as ssn, p_size/4e0 as ph,
     p_retailprice/1000e0 as pct_c, cast(null as double) as olsen, p_size*1.5e0 as ecec,
     cast(null as double) as exbas from part),
-raw_icraf as (select concat('icr', lpad(cast(c_custkey*2 as varchar), 12, '0')) as ssn,
+raw_icraf as (select concat('icr', lpad(cast((c_custkey - c_custkey % 2) * 2 as varchar), 12, '0')) as ssn,
     case when c_nationkey < 5 then null else c_nationkey/1.6e0 end as ph, c_acctbal/1000e0 as pct_c,
     cast(null as double) as olsen, cast(null as double) as ecec, abs(c_acctbal)/100e0 as exbas from customer),
 raw_cropnuts as (select case when o_orderkey % 97 = 0 then '  '
@@ -72,9 +74,14 @@ icraf as (select * replace (case when trim(ssn) = '' then null else ssn end as s
 cropnuts as (select * replace (case when trim(ssn) = '' then null else ssn end as ssn) from raw_cropnuts)"""
 
 
+def spectrum_key() -> Column:
+    """Some samples were scanned that no laboratory measured."""
+    return ssn(F.col("vec_id") + F.when(F.col("vec_id") % 50 == 7, UNMEASURED).otherwise(0))
+
+
 def spectra(spark: SparkSession, sf: str) -> DataFrame:
     """``(SSN, source, spectrum)``, one row per sample."""
-    key = ssn(F.col("vec_id"))
+    key = spectrum_key()
     return table(spark, sf, "embeddings").select(
         key.alias("SSN"),
         F.concat(F.lit("Bruker_Alpha_KBr/"), key, F.lit(".0")).alias("source"),
@@ -83,7 +90,8 @@ def spectra(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SPECTRA_SQL = """
-spectra as (select concat('icr', lpad(cast(vec_id as varchar), 12, '0')) as ssn, vec_id, label,
+spectra as (select concat('icr', lpad(cast(vec_id + case when vec_id % 50 = 7 then 900000000 else 0 end
+    as varchar), 12, '0')) as ssn, vec_id, label,
     cast(embedding as double[]) as spectrum from embeddings)"""
 
 
@@ -91,13 +99,18 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
     return silver_master(spectra(spark, sf), labs(spark, sf))
 
 
-# joins first, one row of each key's combinations last
-SILVER_SQL = f"""{LABS_SQL}, {SPECTRA_SQL},
+# each laboratory's lowest row of a key, then priority; of rows without a key the lowest
+_LOWEST = ", ".join(
+    f"low_{lab} as (select * from {lab} qualify row_number() over (partition by ssn order by ph nulls last, "
+    "pct_c nulls last, olsen nulls last, ecec nulls last, exbas nulls last) = 1)"
+    for lab in ("rres", "icraf", "cropnuts")
+)
+SILVER_SQL = f"""{LABS_SQL}, {SPECTRA_SQL}, {_LOWEST},
 two as (select coalesce(r.ssn, i.ssn) as ssn, r.ph as rph, i.ph as iph, r.pct_c as rc, i.pct_c as ic,
-    r.ecec as re, i.exbas as ix from rres r full outer join icraf i on r.ssn = i.ssn),
+    r.ecec as re, i.exbas as ix from low_rres r full outer join low_icraf i on r.ssn = i.ssn),
 combined as (select coalesce(two.ssn, c.ssn) as ssn, coalesce(rph, iph) as ph, coalesce(rc, ic, c.pct_c) as pct_c,
     c.olsen as olsen_p_mg_kg, re as ecec_cmolc__kg_soil, coalesce(ix, c.exbas) as exbas
-    from two full outer join cropnuts c on two.ssn = c.ssn),
+    from two full outer join low_cropnuts c on two.ssn = c.ssn),
 numbered as (select *, row_number() over (partition by ssn order by ph nulls last, pct_c nulls last,
     olsen_p_mg_kg nulls last, ecec_cmolc__kg_soil nulls last, exbas nulls last) as rn from combined),
 silver as (select n.ssn, n.ph, n.pct_c, n.olsen_p_mg_kg, n.ecec_cmolc__kg_soil, n.exbas, s.spectrum
@@ -132,7 +145,7 @@ def planted_labelled(spark: SparkSession, sf: str) -> DataFrame:
     """``(target, ssn, fold, y, spectrum, label)`` with a target the spectra do explain."""
     base = table(spark, sf, "embeddings").select(
         F.lit("planted").alias("target"),
-        ssn(F.col("vec_id")).alias("ssn"),
+        spectrum_key().alias("ssn"),
         F.col("embedding").cast("array<double>").alias("spectrum"),
         "label",
     )
