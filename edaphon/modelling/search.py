@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edaphon.functions.hashing import hex_uniform
 from edaphon.modelling.gram import elastic_dense, elastic_diagonal, pls_weights, ridge_diagonal
@@ -181,17 +182,36 @@ def linear_models(best: DataFrame, reduced: DataFrame, points: int) -> DataFrame
 
 
 def prune(scores: DataFrame, study: list[str], startup: int = STARTUP_TRIALS, warmup: int = WARMUP_STEPS) -> DataFrame:
-    """Adds the running mean of a trial, the median of the earlier trials at the same step, and
-    whether the trial stops there. A study is at most a few hundred trials, so each is dealt to one
-    task and both windows, and what follows by study, need no further shuffle."""
-    scores = scores.repartition(*study)
-    by_step = Window.partitionBy(*study, "trial").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = Window.partitionBy(*study, "step").orderBy("trial").rowsBetween(Window.unboundedPreceding, -1)
-    running = scores.withColumn("running_mean", F.avg("score").over(by_step))
-    judged = running.withColumn("earlier_median", F.percentile("running_mean", F.lit(0.5)).over(earlier))
-    exempt = (F.col("trial") < startup) | (F.col("step") < warmup)
-    below = F.col("running_mean") < F.col("earlier_median")
-    return judged.withColumn("pruned", ~exempt & F.coalesce(below, F.lit(False)))
+    """Adds the running mean of a trial, the best of its running means so far, the median of the running
+    means that completed earlier trials had at the step, and whether the trial stops there.
+
+    A trial is judged once ``startup`` earlier ones have completed; one that stops completes nothing. So trials
+    are walked in order, study by study: a study is at most a few hundred trials."""
+
+    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["trial", "step"], kind="stable")
+        done: dict[int, list[float]] = {}
+        completed, medians, stops = 0, [], []
+        for _, rows in pdf.groupby("trial", sort=True):
+            found = [float(np.median(done[s])) if s in done else None for s in rows["step"]]
+            stop = [
+                m is not None and completed >= startup and s >= warmup and b < m
+                for m, s, b in zip(found, rows["step"], rows["best_so_far"])
+            ]
+            medians += found
+            stops += stop
+            if not any(stop):
+                completed += 1
+                for s, value in zip(rows["step"], rows["running_mean"]):
+                    done.setdefault(int(s), []).append(value)
+        return pdf.assign(earlier_median=pd.Series(medians, index=pdf.index, dtype="float64"), pruned=stops)
+
+    so_far = Window.partitionBy(*study, "trial").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    running = scores.repartition(*study).withColumn("running_mean", F.avg("score").over(so_far))
+    running = running.withColumn("best_so_far", F.max("running_mean").over(so_far))
+    schema = T.StructType([*running.schema, T.StructField("earlier_median", T.DoubleType()), T.StructField("pruned", T.BooleanType())])
+    judged = running.groupBy(*study).applyInPandas(walk, schema)
+    return judged.withColumn("earlier_median", F.when(~F.isnan("earlier_median"), F.col("earlier_median")))
 
 
 def best_trials(scores: DataFrame, study: list[str], startup: int = STARTUP_TRIALS) -> DataFrame:

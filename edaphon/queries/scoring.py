@@ -93,12 +93,25 @@ def log_guard(spark: SparkSession, sf: str) -> DataFrame:
     return R.log_guard(gold(spark, sf), ["target"])
 
 
-PRUNED_SQL = f"""{TRIAL_LOG_SQL},
-running as (select *, avg(score) over (partition by study, trial order by step rows unbounded preceding) as running_mean
+# trials in order; only those that did not stop count for the next
+PRUNED_SQL = f"""recursive {TRIAL_LOG_SQL},
+means as (select *, avg(score) over (partition by study, trial order by step rows unbounded preceding) as running_mean
     from trial_log),
-judged as (select *, median(running_mean) over (partition by study, step order by trial rows between unbounded
-    preceding and 1 preceding) as earlier_median from running),
-pruned as (select *, trial >= 20 and step >= 1 and coalesce(running_mean < earlier_median, false) as pruned from judged)"""
+running as (select *, max(running_mean) over (partition by study, trial order by step rows unbounded preceding) as best_so_far,
+    dense_rank() over (partition by study order by trial) as k from means),
+trials as (select study, k, list({{'step': step, 'value': running_mean, 'best': best_so_far}} order by step) as points
+    from running group by study, k),
+walk as (
+    select study, 0 as k, 0 as n, [points[1]][:0] as done from trials where k = 1
+    union all
+    select study, k, n + case when stops then 0 else 1 end, case when stops then done else list_concat(done, points) end
+    from (select t.study, cast(t.k as integer) as k, w.n, w.done, t.points, w.n >= 20 and len(list_filter(t.points, lambda p: p.step >= 1
+        and coalesce(p.best < list_median(list_transform(list_filter(w.done, lambda d: d.step = p.step), lambda d: d.value)),
+        false))) > 0 as stops from walk w join trials t on t.study = w.study and t.k = w.k + 1)),
+judged as (select r.*, w.n,
+    list_median(list_transform(list_filter(w.done, lambda d: d.step = r.step), lambda d: d.value)) as earlier_median
+    from running r join walk w on w.study = r.study and w.k = r.k - 1),
+pruned as (select *, n >= 20 and step >= 1 and coalesce(best_so_far < earlier_median, false) as pruned from judged)"""
 
 
 @query(

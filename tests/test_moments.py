@@ -230,13 +230,34 @@ def test_search(spark):
 
 
 def test_pruning(spark):
-    scores = [("s", t, f, 0.1 * (t % 7) - 0.01 * f) for t in range(40) for f in range(5) if (t, f) != (30, 4)]
+    """Only trials that did not stop count, for the start-up and for the medians; a trial's best is compared."""
+    scores = [("s", t, f, 0.1 * (t * 5 % 7) - 0.01 * f * (t % 3)) for t in range(60) for f in range(5) if (t, f) != (30, 4)]
     judged = S.prune(spark.createDataFrame(scores, "study string, trial int, step int, score double"), ["study"])
-    running: dict = {}
-    for r in sorted(judged.collect(), key=lambda r: (r["trial"], r["step"])):
-        own = [s for _, t, f, s in scores if t == r["trial"] and f <= r["step"]]
-        running[r["trial"], r["step"]] = np.mean(own)
-        assert np.isclose(r["running_mean"], np.mean(own))
-        earlier = [v for (t, f), v in running.items() if f == r["step"] and t < r["trial"]]
-        stop = r["trial"] >= 20 and r["step"] >= 1 and bool(earlier) and np.mean(own) < np.median(earlier) - 1e-12
-        assert r["pruned"] == stop
+    got = {(r["trial"], r["step"]): r for r in judged.collect()}
+    done: list[dict[int, float]] = []
+    stopped = 0
+    for t in range(60):
+        means, stop = {}, False
+        for f in range(5 - (t == 30)):
+            own = [s for _, u, g, s in scores if u == t and g <= f]
+            means[f] = np.mean(own)
+            others = [d[f] for d in done if f in d]
+            behind = len(done) >= 20 and f >= 1 and bool(others) and max(means.values()) < np.median(others) - 1e-12
+            assert got[t, f]["pruned"] == behind and np.isclose(got[t, f]["running_mean"], means[f])
+            stop |= behind
+        stopped += stop
+        if not stop:
+            done.append(means)
+    assert 0 < stopped < 40
+
+
+def test_pruning_by_hand(spark):
+    """One start-up trial: 1 stops behind 0, so 2 is compared with 0 alone and goes on."""
+    rows = [("s", 0, 0, 0.5), ("s", 0, 1, 0.5), ("s", 1, 0, 0.1), ("s", 1, 1, 0.1), ("s", 2, 0, 0.9), ("s", 2, 1, 0.1),
+            ("s", 3, 0, 0.45), ("s", 3, 1, 0.45)]
+    judged = S.prune(spark.createDataFrame(rows, "study string, trial int, step int, score double"), ["study"], startup=1)
+    got = {(r["trial"], r["step"]): (r["earlier_median"], r["pruned"]) for r in judged.collect()}
+    assert got == {
+        (0, 0): (None, False), (0, 1): (None, False), (1, 0): (0.5, False), (1, 1): (0.5, True),
+        (2, 0): (0.5, False), (2, 1): (0.5, False), (3, 0): (0.7, False), (3, 1): (0.5, True),
+    }
