@@ -125,3 +125,42 @@ def kept_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     moving the test below the figures it is made of, which would write them out once for each use."""
     out = apply_rules(docs, text, **options).withColumn("_row", F.monotonically_increasing_id())
     return out.filter(F.col("kept") & (F.col("_row") >= 0)).drop("_row")
+
+
+def rules_sql() -> str:
+    """The figures and verdicts of ``apply_rules`` over ``documents`` in DuckDB's SQL."""
+    gap = "'[ \\t-\\r]+'"
+    fails = f"""(length(line) - length(translate(line, '{SYMBOLS}', '')) > {SYMBOL_SHARE!r}::double * length(line)
+      or (shouts >= 3 and shouts * 4 >= n) or (marks >= 2 and marks * 8 >= n)
+      or (n >= {UNPUNCTUATED_WORDS} and not regexp_matches(line, '[.,;:!?…。、！？]'))
+      or (n <= {BOILERPLATE_WORDS} and regexp_matches(line, '{BOILERPLATE}')))"""
+    return f"""
+with texts as (select doc_id, coalesce(text, '') t from documents),
+spoken as (select doc_id, t, list_filter(regexp_split_to_array(t, {gap}), lambda w: w <> '') ws from texts),
+windows as (
+  select doc_id, i, count(*) over (partition by doc_id, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) times
+  from (select doc_id, ws, unnest(range(1, len(ws) - 1)) i from spoken)
+),
+repeated as (
+  select doc_id, count(distinct j) n_repeat_words
+  from (select doc_id, unnest([i, i + 1, i + 2]) j from windows where times > 1) group by doc_id
+),
+lines as (
+  select doc_id, line, len(list_filter(regexp_split_to_array(line, {gap}), lambda w: w <> '')) n,
+    (length(line) - length(replace(line, '!!', ''))) / 2 shouts,
+    length(line) - length(translate(line, '{SEPARATORS}', '')) marks
+  from (select doc_id, unnest(string_split(t, chr(10))) line from texts)
+),
+judged as (
+  select doc_id, count(*) - count(distinct line) n_dup_lines, coalesce(sum(n) filter (not {fails}), 0)::bigint kept_words
+  from lines where n > 0 group by doc_id
+),
+figures as (
+  select s.doc_id, len(ws) n_words, length(regexp_replace(t, {gap}, '', 'g')) word_chars,
+    length(t) - length(translate(t, '{SYMBOLS}', '')) n_symbols, coalesce(n_dup_lines, 0) n_dup_lines,
+    coalesce(n_repeat_words, 0) n_repeat_words, coalesce(kept_words, 0) kept_words
+  from spoken s left join judged j on s.doc_id = j.doc_id left join repeated r on s.doc_id = r.doc_id
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed as base_failed,
+  not failed and kept_words > 0 and kept_words >= {MIN_KEPT_SHARE!r}::double * n_words as kept, kept_words
+from (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words as failed from figures)"""

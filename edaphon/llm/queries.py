@@ -14,9 +14,9 @@ from edaphon.llm.mixing import copies, mixing_plan, short_first
 from edaphon.llm.ngram_lm import held_out, score, train
 from edaphon.llm.packing import pack_documents
 from edaphon.llm.personal_data import KINDS, find_personal_data, spans_text
-from edaphon.llm.quality_rules import apply_rules
+from edaphon.llm.quality_rules import apply_rules, rules_sql
 from edaphon.llm.simhash import near_duplicates
-from edaphon.llm.substring_dedup import remove_repeats
+from edaphon.llm.substring_dedup import removal_sql, remove_repeats
 from edaphon.llm.topk import QUERY_STEP, integer_vectors, top_k
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,8 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
 }
 SQL: dict[str, str] = {
+    "op1_substring_dedup": removal_sql(),
     "op4_exact_top_k": OP4_SQL,
     "op9_license_scan": scan_sql(),
+    "op10_quality_rules": rules_sql(),
 }

@@ -359,3 +359,23 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", wind
 
     return joined.mapInArrow(run, schema)
 
+
+
+def removal_sql(window: int = WINDOW) -> str:
+    """``remove_repeats`` over ``documents`` in DuckDB's SQL, with the digest of the kept text."""
+    return f"""
+with spoken as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t-\\r]+'), lambda w: w <> '') ws from documents
+),
+windows as (
+  select doc_id, i, array_to_string(ws[i:i + {window - 1}], ' ') words
+  from (select doc_id, ws, unnest(range(1, len(ws) - {window - 2})) i from spoken)
+),
+later as (select doc_id, i from windows qualify row_number() over (partition by words order by doc_id, i) > 1),
+gone as (select doc_id, list(distinct j) js from (select doc_id, unnest(range(i, i + {window})) j from later) group by doc_id),
+kept as (
+  select s.doc_id, len(ws) n_words, coalesce(len(js), 0) n_removed,
+    case when js is null then ws else list_filter(ws, lambda w, j: not list_contains(js, j)) end kept
+  from spoken s left join gone g on s.doc_id = g.doc_id
+)
+select doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) kept_sha256 from kept"""
