@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from conftest import SCHEMA, odd_rows, write
+from odd_tables import SCHEMA, odd_rows, write
 from pyspark.sql import functions as F
 
 import corpus_pipeline
