@@ -4,8 +4,8 @@ A document's expected copies are ``min(cap, level * preference)`` with one level
 so that the source's expected words meet its target. The whole part is taken for certain; the rest
 is the inclusion probability of one more copy. Documents are ranked by their random odds divided by
 their inclusion odds, and the front of that order is taken as long as its words fit what the target
-has left. The next ``FILL`` documents of the order then fill the gap greedily, so whole documents
-come as near to the target as they can.
+has left. The next ``FILL`` documents of the order then fill the gap greedily, and one document larger than what is left of it is
+added where that comes nearer, so whole documents come as near to the target as they can.
 
 The order is never sorted as a whole: two rounds of 4,096 buckets of the rank find, per source, the
 bucket in which the words run out, and only that bucket's rows are put in order. What is decided is
@@ -31,6 +31,8 @@ MAX_COPIES = 3
 BUCKETS = 4096
 ROUNDS = 2
 FILL = 64
+#: A document's place in the order of its source.
+KEY = "struct<rank:double,id:bigint,size:bigint>"
 #: The level is sought on a grid of powers of two to the half, and interpolated between.
 LEVELS = tuple(2 ** (k / 2) for k in range(17))
 
@@ -162,14 +164,28 @@ def fills(ranked: DataFrame, per: DataFrame) -> DataFrame:
     order = units.groupBy("source", "left").agg(F.sort_array(F.collect_list(F.struct("key", "words"))).alias("_units"))
     chosen = F.aggregate(
         "_units",
-        F.struct(F.col("left").alias("left"), F.array().cast("array<struct<rank:double,id:bigint,size:bigint>>").alias("keys")),
+        F.struct(F.col("left").alias("left"), F.array().cast(f"array<{KEY}>").alias("keys")),
         lambda a, x: F.when(
             x["words"] <= a["left"],
             F.struct((a["left"] - x["words"]).alias("left"), F.concat(a["keys"], F.array(x["key"])).alias("keys")),
         ).otherwise(a),
-        lambda a: a["keys"],
     )
-    return with_plan(per.drop("width", "left"), order.select("source", chosen.alias("fill")))
+    found = with_plan(per.drop("width"), order.select("source", chosen.alias("_chosen")))
+    found = found.withColumn("left", F.coalesce("_chosen.left", "left")).withColumn("fill", F.coalesce("_chosen.keys", F.array().cast(f"array<{KEY}>")))
+    return found.drop("_chosen")
+
+
+def overshoot(ranked: DataFrame, per: DataFrame) -> DataFrame:
+    """Where one more document, the smallest that is larger than the gap, comes nearer than the gap, adds it to ``fill``."""
+    key = F.struct("rank", "id", "size")
+    rows = with_plan(ranked.filter("room"), per.select("source", "lo", "cut", "left", "fill"))
+    rows = rows.filter(~in_front(key) & (F.col("size") > F.col("left")) & (F.col("size") < 2 * F.col("left")) & ~F.array_contains("fill", key))
+    pick = materialise(rows.groupBy("source").agg(F.min(F.struct("size", "rank", "id")).alias("_pick")), "mix-over")
+    picked = F.struct(F.col("_pick.rank").alias("rank"), F.col("_pick.id").alias("id"), F.col("_pick.size").alias("size"))
+    words = with_plan(rows, pick).filter(key == picked).groupBy("source").agg(F.sum("size").alias("_words"), F.first(picked).alias("_key"))
+    nearer = F.col("_words") < 2 * F.col("left")
+    out = with_plan(per, words)
+    return out.withColumn("fill", F.when(nearer, F.concat("fill", F.array("_key"))).otherwise(F.col("fill"))).drop("left", "_words", "_key")
 
 
 def sizes_of(docs: DataFrame, id: str, source: str, size: Column, preference: Column | None) -> DataFrame:
@@ -187,7 +203,8 @@ def mixing_plan(
     targets = materialise(source_targets(sizes, weights, cap), "mix-targets")
     plan = materialise(levels(sizes, targets, cap), "mix-plan")
     ranked = with_rank(with_plan(sizes, plan.select("source", "level")), cap, seed)
-    return materialise(fills(ranked, cuts(ranked, plan)), "mix-fill"), sizes
+    filled = materialise(fills(ranked, cuts(ranked, plan)), "mix-fill")
+    return materialise(overshoot(ranked, filled), "mix-done"), sizes
 
 
 def copies(rows: DataFrame, plan: DataFrame, cap: int = MAX_COPIES, seed: int = 1) -> DataFrame:
