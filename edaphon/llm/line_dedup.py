@@ -129,10 +129,13 @@ def half_rows(docs: DataFrame, min_words: int) -> DataFrame:
             new_line = new_key | np.r_[True, span[1:] != span[:-1]]
             group = np.cumsum(new_key) - 1
             several = np.bincount(group, new_line)[group] > 1
-            # one row speaks for the chunk; a shared half is settled for all its lines, by rows of their own
+            # two different lines speak for the chunk, so that others learn that the half is shared; for the
+            # lines of the chunk that is settled, by rows of their own
+            nth = np.cumsum(new_line)
+            speaks = np.flatnonzero(new_line & (nth - nth[np.flatnonzero(new_key)][group] < 2))
             told = np.flatnonzero(new_line & several)
             spread = name(x.doc[at[told]].view(np.uint64), (x.line[at[told]] * 4 + side[told]).astype(np.uint64))
-            for pick, keys, state in ((np.flatnonzero(new_key), key[new_key], PLAIN), (told, spread, SETTLED)):
+            for pick, keys, state in ((speaks, key[speaks], PLAIN), (told, spread, SETTLED)):
                 yield record(keys, span[pick], x.doc[at[pick]], x.line[at[pick]], side[pick], np.full(len(pick), state))
 
     return docs.mapInArrow(run, ROW)
