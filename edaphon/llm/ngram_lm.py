@@ -196,12 +196,11 @@ class Model:
 
 
 def discounts(n: list[int]) -> tuple[float, float, float]:
-    """D for counts 1, 2, 3 or more from the numbers of items that occur 1 to 4 times."""
-    if not n[0] or not n[1]:
-        return 0.5, 0.5, 0.5
-    y = n[0] / (n[0] + 2 * n[1])
-    found = [k + 1 - (k + 2) * y * n[k + 1] / n[k] if n[k] else k + 1 - y for k in range(3)]
-    return tuple(min(max(d, 0.0), k + 1.0) for k, d in enumerate(found))  # type: ignore[return-value]
+    """D for counts 1, 2, 3 or more from the numbers of items that occur 1 to 4 times; half the count where
+    these are too few to give one between nothing and the count."""
+    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.0
+    found = [k + 1 - (k + 2) * y * n[k + 1] / n[k] if n[k] else 0.0 for k in range(3)]
+    return tuple(d if 0 < d < k + 1 else (k + 1) / 2 for k, d in enumerate(found))  # type: ignore[return-value]
 
 
 def discounted(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:

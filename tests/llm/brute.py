@@ -161,10 +161,9 @@ def kneser_ney(docs: dict) -> tuple[dict, int]:
 
     def discounts(values) -> list[float]:
         m = Counter(values)
-        if not m[1] or not m[2]:
-            return [0.0, 0.5, 0.5, 0.5]
-        y = m[1] / (m[1] + 2 * m[2])
-        return [0.0, *(min(max(k - (k + 1) * y * m[k + 1] / m[k] if m[k] else k - y, 0.0), k) for k in (1, 2, 3))]
+        y = m[1] / (m[1] + 2 * m[2]) if m[1] else 0.0
+        found = [k - (k + 1) * y * m[k + 1] / m[k] if m[k] else 0.0 for k in (1, 2, 3)]
+        return [0.0, *(d if 0 < d < k else k / 2 for k, d in zip((1, 2, 3), found))]
 
     d1, d2 = discounts(contexts.values()), discounts(pairs.values())
     total, mass = Counter(), Counter()
