@@ -47,7 +47,8 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     """``materialise``, then lets Spark drop the shuffle files that nothing refers to any more."""
     out = materialise(df, label)
     del df
-    gc.collect()
-    time.sleep(0.5)  # the references to the JVM's objects are dropped by a thread of their own
-    out.sparkSession._jvm.System.gc()
+    for _ in range(2):  # references are dropped by threads of their own, so what one round finds the next one frees
+        gc.collect()
+        out.sparkSession._jvm.System.gc()
+        time.sleep(1)
     return out
