@@ -33,13 +33,14 @@ from pyspark.sql import functions as F
 
 from edaphon.llm.base import settled
 from edaphon.llm.substring_dedup import (
-    PART_CHARS, PLAIN, ROW, SETTLED, document_id, first_of, gathered, name, record, repeats, sent, word_names,
+    PART_CHARS, PLAIN, ROW, SETTLED, document_id, first_of, gathered, name, record, sent, word_names,
 )
 
 MIN_WORDS = 8
 CHUNK_BYTES = 4_000_000
 #: What shares a half: lines of this many words or one less; first or last half.
 SIDES = ((0, False), (0, True), (1, False), (1, True))
+EQUAL = len(SIDES)
 SUBSTITUTED, SHORTENED, WHOLE = 0, 1, 2
 BASES = (np.uint64(0x2545F4914F6CDD1D), np.uint64(0xD1342543DE82EF95))
 
@@ -93,26 +94,16 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 start, size = i + 1, 0
 
 
-def equal_rows(docs: DataFrame) -> DataFrame:
-    """A row per line under the name of its words."""
+def line_rows(docs: DataFrame, min_words: int) -> DataFrame:
+    """A row per line under the name of its words (``n``: ``EQUAL``), and one per half under the half's name (``n``:
+    place in ``SIDES``). Settled rows have an equal line before them, or another line with the same half, in
+    the chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in chunks(batches):
             x = Lines(rows.column(0).to_pylist(), rows.column(1).to_pylist())
-            key, span = (name(x.run(w, x.begin, x.end), x.size.astype(np.uint64), w) for w in range(2))
-            yield from sent(key, span, x.doc, x.line, np.ones(len(key), np.int64))
-
-    return docs.mapInArrow(run, ROW)
-
-
-def half_rows(docs: DataFrame, min_words: int) -> DataFrame:
-    """A row per line and half under the half's name; ``n`` is the place in ``SIDES``; settled rows
-    share theirs with another line of the chunk."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in chunks(batches):
-            x = Lines(rows.column(0).to_pylist(), rows.column(1).to_pylist())
-            whole = name(x.run(0, x.begin, x.end), x.size.astype(np.uint64))
+            whole, span = (name(x.run(w, x.begin, x.end), x.size.astype(np.uint64), w) for w in range(2))
+            yield from sent(whole, span, x.doc, x.line, np.full(len(whole), EQUAL))
             parts = []
             for side, (less, last) in enumerate(SIDES):
                 base = x.size - less
@@ -141,8 +132,8 @@ def half_rows(docs: DataFrame, min_words: int) -> DataFrame:
     return docs.mapInArrow(run, ROW)
 
 
-def shared_halves(rows: DataFrame, parts: int) -> DataFrame:
-    """(doc_id, lo, n): lines whose half is that of another line too."""
+def met_lines(rows: DataFrame, parts: int) -> DataFrame:
+    """(doc_id, lo, n): lines with an equal one earlier (``EQUAL``), and lines whose half is that of another line too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(doc, lo, n) -> pa.RecordBatch:
@@ -150,7 +141,11 @@ def shared_halves(rows: DataFrame, parts: int) -> DataFrame:
 
         held = yield from gathered(batches, lambda key, span, doc, lo, n: out(doc, lo, n))
         if held is not None:
-            key, span, doc, lo, n, _ = held
+            equal = held[4] == EQUAL
+            key, span, doc, lo, n = (x[equal] for x in held[:5])
+            order, _, later = first_of((key, span), doc, lo)
+            yield out(doc[order][later], lo[order][later], n[order][later])
+            key, span, doc, lo, n = (x[~equal] for x in held[:5])
             order = np.lexsort((span, key))
             key, span = key[order], span[order]
             new_key = np.r_[True, key[1:] != key[:-1]][: len(key)]
@@ -254,8 +249,8 @@ def repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text", min_
     rows = docs.select(document_id(id, text).alias("doc_id"), F.col(text).cast("string").alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_CHARS))
-    equal = settled(repeats(equal_rows(rows), parts).filter("not open").select("doc_id", "lo"), "equal-lines")
-    halves = settled(shared_halves(half_rows(rows, min_words), parts), "half-lines")
+    met = settled(met_lines(line_rows(rows, min_words), parts), "met-lines")
+    equal, halves = met.filter(F.col("n") == EQUAL).select("doc_id", "lo"), met.filter(F.col("n") != EQUAL)
     sides = halves.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("lo", "n")).alias("ranges"))
     opened = rows.join(sides, F.col("doc_id") == F.col("_id")).select("doc_id", "text", "ranges")
     near = settled(near_repeats(variant_rows(opened, min_words), parts), "near-lines")
