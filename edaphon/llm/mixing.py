@@ -3,13 +3,15 @@
 A document's expected copies are ``min(cap, level * preference)`` with one level per source, chosen
 so that the source's expected words meet its target. The whole part is taken for certain; the rest
 is the inclusion probability of one more copy. Documents are ranked by their random odds divided by
-their inclusion odds, and the front of that order is taken as long as its words fit what the target
-has left. The next ``FILL`` documents of the order then fill the gap greedily, and one document larger than what is left of it is
-added where that comes nearer, so whole documents come as near to the target as they can.
+their inclusion odds; along that order every document is taken whose words fit what the target has
+left, and those that do not are stepped over, to the end of the order. One document larger than what is left is
+added where that comes nearer, so the words miss the target by at most half the smallest document not taken.
 
 The order is never sorted as a whole: two rounds of 4,096 buckets of the rank find, per source, the
-bucket in which the words run out, and only that bucket's rows are put in order. What is decided is
-one row per source (the cut and the fill), so the decision reaches documents by a join on a small
+bucket in which the words run out, and only that bucket's rows are put in order. Behind the document that
+does not fit the same begins again among the documents no longer than what is left, until no more than
+``FILL`` of them remain; those are tried one by one. What is decided is
+one row per source (the steps and the fill), so the decision reaches documents by a join on a small
 table and texts are not shuffled.
 
 Defined cases: NULL text has no words, target 0 and nothing taken if its source has no words; a
@@ -33,6 +35,10 @@ ROUNDS = 2
 FILL = 64
 #: A document's place in the order of its source.
 KEY = "struct<rank:double,id:bigint,size:bigint>"
+#: A piece of the order that is taken, without its ends.
+STEP = f"struct<limit:double,start:{KEY},end:{KEY}>"
+#: A place behind every document, whose rank is at most 1.
+BEHIND = "named_struct('rank', 2D, 'id', 0L, 'size', 0L)"
 #: The level is sought on a grid of powers of two to the half, and interpolated between.
 LEVELS = tuple(2 ** (k / 2) for k in range(17))
 
@@ -112,55 +118,89 @@ def levels(sizes: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
     return per.withColumn("_at", at).withColumn("level", F.col("_first") * step).drop("_pull", "_first", "_sums", "_at")
 
 
-def cuts(ranked: DataFrame, plan: DataFrame) -> DataFrame:
-    """One row per source: ``lo`` and ``cut`` (the front of the order ends there) and ``left`` words."""
+def later(ranked: DataFrame, per: DataFrame) -> DataFrame:
+    """The rest of every source's order that still fits: ``source``, the key's columns, ``left`` and ``key``."""
+    rows = with_plan(ranked.filter("room").filter("size > 0").select("source", "rank", "id", "size"), per.select("source", "left", "start"))
+    rows = rows.withColumn("key", F.struct("rank", "id", "size")).filter("size <= left")
+    return rows.filter(F.col("start").isNull() | (F.col("key") > F.col("start"))).drop("start")
+
+
+def walk(ranked: DataFrame, plan: DataFrame) -> DataFrame:
+    """One row per source: the ``steps`` by which the order is taken, the words ``left`` after them, and
+    ``start``, the last document stepped over. Steps are made until at most ``FILL`` rows still fit.
+
+    A step takes the documents of up to ``limit`` words from ``start`` to the first that does not fit
+    (``end``); the next goes on behind that one, so each is shorter than the one before."""
     certain = ranked.groupBy("source").agg(F.sum(F.col("certain") * F.col("size")).alias("_certain"))
-    per = with_plan(plan, certain).withColumn("left", F.greatest(F.lit(0.0), F.col("target") - F.coalesce("_certain", F.lit(0))))
-    per = materialise(per.drop("_certain").withColumn("lo", F.lit(0.0)).withColumn("width", F.lit(1.0)), "mix-left")
-    rows = ranked.filter("room").select("source", "rank", "id", "size")
+    left = F.greatest(F.lit(0.0), F.col("target") - F.coalesce("_certain", F.lit(0)))
+    per = with_plan(plan, certain).withColumn("left", left).drop("_certain")
+    per = per.withColumn("start", F.lit(None).cast(KEY)).withColumn("steps", F.array().cast(f"array<{STEP}>"))
+    per = materialise(per, "mix-left")
+    while True:
+        count = later(ranked, per).groupBy("source").agg(F.count("*").alias("_n"))
+        per = materialise(with_plan(per, count).withColumn("_on", F.coalesce(F.col("_n") > FILL, F.lit(False))).drop("_n"), "mix-rest")
+        if per.filter("_on").isEmpty():
+            return per.drop("_on")
+        per = step(ranked, per)
+
+
+def step(ranked: DataFrame, per: DataFrame) -> DataFrame:
+    """``per`` after one more step of the sources marked ``_on``."""
+    rows = later(ranked, per.filter("_on"))
+    at = per.filter("_on").select("source", "left", F.lit(0.0).alias("lo"), F.lit(1.0).alias("width"))
     for _ in range(ROUNDS):
         bucket = F.least(F.lit(BUCKETS - 1), F.floor((F.col("rank") - F.col("lo")) / F.col("width") * BUCKETS))
-        inside = with_plan(rows, per.select("source", "lo", "width")).filter(
-            (F.col("rank") >= F.col("lo")) & ((F.col("rank") < F.col("lo") + F.col("width")) | (F.col("lo") + F.col("width") >= 1))
-        )
-        sums = inside.groupBy("source", bucket.alias("_b")).agg(F.sum("size").alias("_s"))
-        sums = with_plan(sums, per.select("source", "left"))
+        sums = inside(rows, at).groupBy("source", bucket.alias("_b")).agg(F.sum("size").alias("_s"))
+        sums = with_plan(sums, at.select("source", "left"))
         total = F.sum("_s").over(W.partitionBy("source").orderBy("_b"))
         found = sums.withColumn("_total", total).groupBy("source").agg(
             F.min(F.when(F.col("_total") > F.col("left"), F.col("_b"))).alias("_b"),
             F.max(F.when(F.col("_total") <= F.col("left"), F.col("_total"))).alias("_gained"),
         )
-        per = (
-            with_plan(per, found)
+        at = (
+            with_plan(at, found)
             .withColumn("width", F.col("width") / BUCKETS)
             .withColumn("lo", F.coalesce(F.col("lo") + F.col("_b") * F.col("width"), F.lit(2.0)))
             .withColumn("left", F.col("left") - F.coalesce("_gained", F.lit(0)))
             .drop("_b", "_gained")
         )
-        per = materialise(per, "mix-cut")
-    key = F.struct("rank", "id", "size")
-    last = with_plan(rows, per.select("source", "lo", "width", "left")).filter(
-        (F.col("rank") >= F.col("lo")) & ((F.col("rank") < F.col("lo") + F.col("width")) | (F.col("lo") + F.col("width") >= 1))
+        at = materialise(at, "mix-cut")
+    units = inside(rows, at).groupBy("source", "key").agg(F.sum("size").alias("words"))
+    units = with_plan(units, at.select("source", "left"))
+    ends = units.withColumn("_total", F.sum("words").over(W.partitionBy("source").orderBy("key"))).groupBy("source").agg(
+        F.min(F.when(F.col("_total") > F.col("left"), F.col("key"))).alias("_end"),
+        F.max(F.when(F.col("_total") <= F.col("left"), F.col("_total"))).alias("_gained"),
     )
-    fits = last.withColumn("_total", F.sum("size").over(W.partitionBy("source").orderBy("rank", "id", "size")))
-    end = fits.filter("_total <= left").groupBy("source").agg(F.max(key).alias("cut"), F.max("_total").alias("_gained"))
-    per = with_plan(per, end)
-    return materialise(per.withColumn("left", F.col("left") - F.coalesce("_gained", F.lit(0))).drop("_gained"), "mix-end")
+    after = with_plan(at.select("source", F.col("left").alias("_left")), ends)
+    after = after.withColumn("_left", F.col("_left") - F.coalesce("_gained", F.lit(0))).drop("_gained")
+    out = with_plan(per, after)
+    made = F.array(F.struct(F.col("left").alias("limit"), "start", F.col("_end").alias("end")).cast(STEP))
+    out = out.withColumn("steps", F.when(F.col("_on"), F.concat("steps", made)).otherwise(F.col("steps")))
+    # with no end all the rest was taken: nothing is left to fit
+    start = F.when(F.col("_on"), F.coalesce("_end", F.expr(BEHIND))).otherwise(F.col("start"))
+    out = out.withColumn("left", F.coalesce("_left", "left")).withColumn("start", start)
+    return materialise(out.drop("_left", "_end", "_on"), "mix-step")
+
+
+def inside(rows: DataFrame, at: DataFrame) -> DataFrame:
+    """``rows`` in the bucket of their source, with its ``lo`` and ``width``."""
+    end = F.col("lo") + F.col("width")
+    rows = with_plan(rows.drop("left"), at.select("source", "lo", "width"))
+    return rows.filter((F.col("rank") >= F.col("lo")) & ((F.col("rank") < end) | ((end >= 1) & (F.col("lo") < 1))))
 
 
 def in_front(key: Column) -> Column:
-    """Whether a ranked document lies before its source's cut."""
-    return F.col("room") & ((F.col("rank") < F.col("lo")) | F.coalesce(key <= F.col("cut"), F.lit(False)))
+    """Whether a ranked document is taken by one of its source's steps."""
+    taken = F.exists(
+        "steps",
+        lambda s: (F.col("size") <= s["limit"]) & (s["start"].isNull() | (key > s["start"])) & (s["end"].isNull() | (key < s["end"])),
+    )
+    return F.col("room") & F.coalesce(taken, F.lit(False))
 
 
 def fills(ranked: DataFrame, per: DataFrame) -> DataFrame:
-    """Adds ``fill`` per source: keys of later documents that still fit, in order."""
-    key = F.struct("rank", "id", "size")
-    rows = with_plan(ranked.filter("room"), per.select("source", "lo", "cut", "left")).filter(~in_front(key))
-    rows = rows.filter((F.col("size") > 0) & (F.col("size") <= F.col("left")))
-    place = F.row_number().over(W.partitionBy("source").orderBy("rank", "id", "size"))
-    near = rows.withColumn("_n", place).filter(F.col("_n") <= FILL)
-    units = near.groupBy("source", "left", key.alias("key")).agg(F.sum("size").alias("words"))
+    """Adds ``fill`` per source: of the at most ``FILL`` rows behind the steps those that still fit, in order."""
+    units = later(ranked, per).groupBy("source", "left", "key").agg(F.sum("size").alias("words"))
     order = units.groupBy("source", "left").agg(F.sort_array(F.collect_list(F.struct("key", "words"))).alias("_units"))
     chosen = F.aggregate(
         "_units",
@@ -170,22 +210,21 @@ def fills(ranked: DataFrame, per: DataFrame) -> DataFrame:
             F.struct((a["left"] - x["words"]).alias("left"), F.concat(a["keys"], F.array(x["key"])).alias("keys")),
         ).otherwise(a),
     )
-    found = with_plan(per.drop("width"), order.select("source", chosen.alias("_chosen")))
-    found = found.withColumn("left", F.coalesce("_chosen.left", "left")).withColumn("fill", F.coalesce("_chosen.keys", F.array().cast(f"array<{KEY}>")))
-    return found.drop("_chosen")
+    found = with_plan(per.drop("start"), order.select("source", chosen.alias("_chosen")))
+    found = found.withColumn("fill", F.coalesce("_chosen.keys", F.array().cast(f"array<{KEY}>")))
+    return found.withColumn("left", F.coalesce("_chosen.left", "left")).drop("_chosen")
 
 
 def overshoot(ranked: DataFrame, per: DataFrame) -> DataFrame:
     """Where one more document, the smallest that is larger than the gap, comes nearer than the gap, adds it to ``fill``."""
     key = F.struct("rank", "id", "size")
-    rows = with_plan(ranked.filter("room"), per.select("source", "lo", "cut", "left", "fill"))
-    rows = rows.filter(~in_front(key) & (F.col("size") > F.col("left")) & (F.col("size") < 2 * F.col("left")) & ~F.array_contains("fill", key))
-    pick = materialise(rows.groupBy("source").agg(F.min(F.struct("size", "rank", "id")).alias("_pick")), "mix-over")
-    picked = F.struct(F.col("_pick.rank").alias("rank"), F.col("_pick.id").alias("id"), F.col("_pick.size").alias("size"))
-    words = with_plan(rows, pick).filter(key == picked).groupBy("source").agg(F.sum("size").alias("_words"), F.first(picked).alias("_key"))
-    nearer = F.col("_words") < 2 * F.col("left")
-    out = with_plan(per, words)
-    return out.withColumn("fill", F.when(nearer, F.concat("fill", F.array("_key"))).otherwise(F.col("fill"))).drop("left", "_words", "_key")
+    rows = with_plan(ranked.filter("room"), per.select("source", "left", "steps", "fill")).withColumn("key", key)
+    rows = rows.filter((F.col("size") > 0) & (F.col("size") < 2 * F.col("left")) & ~in_front(F.col("key")) & ~F.array_contains("fill", F.col("key")))
+    units = rows.groupBy("source", "left", "key").agg(F.sum("size").alias("words"))
+    units = units.filter((F.col("words") > F.col("left")) & (F.col("words") < 2 * F.col("left")))
+    out = with_plan(per, units.groupBy("source").agg(F.min(F.struct("words", "key")).alias("_pick")))
+    added = F.concat("fill", F.array(F.col("_pick.key")))
+    return out.withColumn("fill", F.when(F.col("_pick").isNotNull(), added).otherwise(F.col("fill"))).drop("left", "_pick")
 
 
 def sizes_of(docs: DataFrame, id: str, source: str, size: Column, preference: Column | None) -> DataFrame:
@@ -203,7 +242,7 @@ def mixing_plan(
     targets = materialise(source_targets(sizes, weights, cap), "mix-targets")
     plan = materialise(levels(sizes, targets, cap), "mix-plan")
     ranked = with_rank(with_plan(sizes, plan.select("source", "level")), cap, seed)
-    filled = materialise(fills(ranked, cuts(ranked, plan)), "mix-fill")
+    filled = materialise(fills(ranked, walk(ranked, plan)), "mix-fill")
     return materialise(overshoot(ranked, filled), "mix-done"), sizes
 
 
@@ -213,7 +252,7 @@ def copies(rows: DataFrame, plan: DataFrame, cap: int = MAX_COPIES, seed: int =
     extra = in_front(key) | (F.col("room") & F.coalesce(F.array_contains("fill", key), F.lit(False)))
     out = with_rank(with_plan(rows, plan), cap, seed)
     out = out.withColumn("copies", F.col("certain") + F.when(F.col("size") > 0, extra.cast("long")).otherwise(F.lit(0)))
-    return out.drop("certain", "rank", "room", "level", "lo", "cut", "fill")
+    return out.drop("certain", "rank", "room", "level", "steps", "fill")
 
 
 def short_first(size: Column) -> Column:
