@@ -6,7 +6,9 @@ text is joined to the digests of known licences, treated alike. Units are whole
 lines (notices usually stand on a line of their own); nothing matches on a part of a unit.
 
 The scan turns texts into digests, so only digests meet the join; the known side is one row per
-licence text and Spark decides how to join it by its size.
+licence text and Spark decides how to join it by its size. Which texts are known stands in ``KNOWN`` and, for
+entire licences, in ``entire_licenses``; a licence with other words put in (a holder's name inside
+its clauses) is another text and is not found.
 
 Defined cases: NULL and empty texts, and units that are empty in canonical form, match nothing; rows
 with one id are one document; a known text listed under several names gives all of them.
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edaphon.llm.base import sha256_hex
+from edaphon.llm.entire_licenses import entire_texts
 
 # Spellings that mean the same, as they stand in canonical text.
 EQUIVALENT = (
@@ -90,6 +93,12 @@ KNOWN = (
     ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
     ("proprietary", "All content is proprietary and confidential."),
+    ("MIT", "The MIT License (MIT)\n" + _MIT),
+    ("MIT", "MIT\n" + _MIT),
+    ("MIT", "The MIT License (Expat)\n" + _MIT),
+    ("ISC", "The ISC License\n" + _ISC),
+    ("ISC", "ISC License (ISC)\n" + _ISC),
+    *entire_texts(),
 )
 
 
