@@ -132,6 +132,33 @@ def pls_two_feature(spark: SparkSession, sf: str) -> DataFrame:
     return rounded_fit(rows)
 
 
+def _fit_all_points(spark: SparkSession, sf: str, model: str, **params: float) -> DataFrame:
+    """One linear model on all points of the spectrum, through all its components."""
+    study = G.study(planted(spark, sf), POINTS)
+    return rounded_fit(fitted_rows(study, fixed_trials(study.samples, model, pca_n_components=POINTS, **params)))
+
+
+@query("ridge_all_points")
+def ridge_all_points(spark: SparkSession, sf: str) -> DataFrame:
+    return _fit_all_points(spark, sf, "Ridge", alpha=1.5)
+
+
+@query("lasso_all_points")
+def lasso_all_points(spark: SparkSession, sf: str) -> DataFrame:
+    return _fit_all_points(spark, sf, "Lasso", alpha=0.05)
+
+
+@query("elasticnet_all_points")
+def elasticnet_all_points(spark: SparkSession, sf: str) -> DataFrame:
+    return _fit_all_points(spark, sf, "ElasticNet", alpha=0.05, l1_ratio=0.4)
+
+
+@query("pls_all_points")
+def pls_all_points(spark: SparkSession, sf: str) -> DataFrame:
+    """PLS with as many components as points is least squares."""
+    return _fit_all_points(spark, sf, "PLS", n_components=POINTS)
+
+
 @query("elasticnet_kbest")
 def elasticnet_kbest(spark: SparkSession, sf: str) -> DataFrame:
     """Elastic net on the 30 features with the best F scores: the coefficients left standing."""
@@ -162,6 +189,20 @@ def cv_scores(spark: SparkSession, sf: str) -> DataFrame:
     return S.score_linear(trials, study.reduced()).select("step", rounded(F.col("score")).alias("score"))
 
 
+@query("cv_scores_all_points")
+def cv_scores_all_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Held-out R² of least squares on all points, from the folds' moments alone."""
+    study = G.study(planted(spark, sf), POINTS)
+    trials = fixed_trials(study.samples, "Ridge", pca_n_components=POINTS, alpha=0.0)
+    return S.score_linear(trials, study.reduced()).select("step", rounded(F.col("score")).alias("score"))
+
+
+def gold_all_points(spark: SparkSession, sf: str) -> DataFrame:
+    """The Gold rows with their folds, written once for the passes that follow."""
+    rows = with_folds(gold(spark, sf), "ssn")
+    return materialise(rows.select("target", "ssn", "fold", "y", "spectrum"), "gold-all-points")
+
+
 def gold_first_point(spark: SparkSession, sf: str) -> DataFrame:
     """The Gold rows with one spectral point, written once for the passes that follow."""
     rows = with_folds(gold(spark, sf).withColumn("spectrum", F.slice("spectrum", 1, 1)), "ssn")
@@ -201,6 +242,19 @@ def all_targets_baseline(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("all_targets_all_points")
+def all_targets_all_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Ridge on all points for each target, all from one pass of moments."""
+    study = G.study(gold_all_points(spark, sf), POINTS)
+    reduced = materialise(study.reduced(), "reduced")
+    trials = fixed_trials(reduced, "Ridge", pca_n_components=POINTS, alpha=1.0)
+    models = materialise(S.linear_models(trials, reduced, POINTS), "linear")
+    scores = regression_metrics(predict_linear(study, models), ["target"])
+    fits = reduced.filter(F.col("holdout") == TEST).select("target", "n_train", F.col("n_valid").alias("n_test"))
+    fits = fits.join(models.select("target", "intercept"), "target").join(scores.select("target", "test_r2"), "target")
+    return fits.select("target", "n_train", "n_test", *[rounded(F.col(c)).alias(c) for c in ("intercept", "test_r2")])
+
+
 def gold_shape(spark: SparkSession, sf: str) -> DataFrame:
     rows = with_folds(gold(spark, sf), "ssn").filter("fold >= 0")
     return rows.groupBy("target").agg(F.count("*").alias("n_train"), F.lit(POINTS).alias("points"))

@@ -9,10 +9,10 @@ from edaphon.modelling import moments as G
 from edaphon.modelling import score as R
 from edaphon.modelling import search as S
 from edaphon.plans.evaluate import predict_linear, result_table
-from edaphon.queries.estimators import TARGETS_SQL, fixed_trials, gold_first_point
+from edaphon.queries.estimators import TARGETS_SQL, fixed_trials, gold_all_points, gold_first_point
 from edaphon.queries.registry import query
 from edaphon.queries.splits import rounded
-from edaphon.queries.views import GOLD_SQL, PREDICTIONS_SQL, TRIAL_LOG_SQL, gold, predictions, table, trial_log
+from edaphon.queries.views import GOLD_SQL, POINTS, PREDICTIONS_SQL, TRIAL_LOG_SQL, gold, predictions, table, trial_log
 from edaphon.session import fresh_path, materialise
 from edaphon.sinks.lake import read_report, write_report
 
@@ -143,17 +143,17 @@ def best_trial(spark: SparkSession, sf: str) -> DataFrame:
     return best.select("study", "trial", F.round("cv_best_r2", 9).alias("cv_best_r2"))
 
 
-def _leaderboard(spark: SparkSession, sf: str) -> DataFrame:
-    """Three one-feature models for each of the five targets, scored and ranked."""
-    study = G.study(gold_first_point(spark, sf), 1)
+def _leaderboard(spark: SparkSession, sf: str, points: int = 1) -> DataFrame:
+    """Three models on the first point or all for each of the five targets, scored and ranked."""
+    study = G.study(gold_first_point(spark, sf) if points == 1 else gold_all_points(spark, sf), points)
     reduced = materialise(study.reduced(), "reduced")
-    trials = fixed_trials(reduced, "Ridge", pca_n_components=1, alpha=1.0)
-    trials = trials.unionByName(fixed_trials(reduced, "Lasso", pca_n_components=1, alpha=0.01))
-    trials = trials.unionByName(fixed_trials(reduced, "ElasticNet", pca_n_components=1, alpha=0.01, l1_ratio=0.5))
+    trials = fixed_trials(reduced, "Ridge", pca_n_components=points, alpha=1.0)
+    trials = trials.unionByName(fixed_trials(reduced, "Lasso", pca_n_components=points, alpha=0.01))
+    trials = trials.unionByName(fixed_trials(reduced, "ElasticNet", pca_n_components=points, alpha=0.01, l1_ratio=0.5))
     scores = S.score_linear(trials, reduced)
     best = S.best_trials(scores, ["target", "model"]).join(trials, ["target", "model", "trial"])
-    linear = materialise(S.linear_models(trials, reduced, 1), "linear")
-    results = result_table(predict_linear(study, linear), best, linear, reduced, 1, ())
+    linear = materialise(S.linear_models(trials, reduced, points), "linear")
+    results = result_table(predict_linear(study, linear), best, linear, reduced, points, ())
     return results.select(
         "position",
         "modelo",
@@ -199,6 +199,11 @@ def leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     return _leaderboard(spark, sf)
 
 
+@query("leaderboard_all_points")
+def leaderboard_all_points(spark: SparkSession, sf: str) -> DataFrame:
+    return _leaderboard(spark, sf, POINTS)
+
+
 @query("leaderboard_csv_roundtrip", f"with {LEADERBOARD_SQL} select * from leaderboard")
 def leaderboard_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     board = _leaderboard(spark, sf)

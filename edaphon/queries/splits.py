@@ -126,6 +126,14 @@ def pca_two_feature_variance(spark: SparkSession, sf: str) -> DataFrame:
     return spread.select("holdout", "component", rounded(F.col("value") / F.col("variance")).alias("explained"))
 
 
+@query("pca_variance_all_points")
+def pca_variance_all_points(spark: SparkSession, sf: str) -> DataFrame:
+    """Share of the variance that each component of all points holds, for every fold's training rows."""
+    reduced = G.study(planted(spark, sf), POINTS).reduced()
+    spread = reduced.select("holdout", "variance", F.posexplode("eigenvalues").alias("component", "value"))
+    return spread.select("holdout", "component", rounded(F.col("value") / F.col("variance")).alias("explained"))
+
+
 def projected(spark: SparkSession, sf: str) -> DataFrame:
     study = G.study(planted(spark, sf), POINTS)
     row = study.reduced().filter(F.col("holdout") == TEST).select("mean_x", "scale", "loadings").collect()[0]
