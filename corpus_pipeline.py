@@ -39,10 +39,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays (those without an id stay)."""
-    found = near_duplicates(docs)
-    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    """Of each group of near-duplicates one row stays: that with the smallest id, without ids or between rows of one id
+    that with the smallest hash of its text, then of the whole row."""
+    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    found = near_duplicates(rows, id="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    place = F.struct(F.col("doc_id").isNull().alias("bare"), "doc_id", F.xxhash64("text").alias("text"), whole.alias("whole"), "_row")
+    first = rows.select("_row", place.alias("_place")).join(found, "_row").groupBy("component_id").agg(F.min("_place").alias("_place"))
+    return rows.join(first.select("_place._row"), "_row", "left_semi").select(docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
