@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edaphon.llm import centroids
 from edaphon.llm.base import sha256_hex, table, word_count
+from edaphon.llm.bpe import decode_documents, encode_documents
+from edaphon.llm.centroids import centroid_clusters, clusters_sql, with_inertia
 from edaphon.llm.licenses import known_licenses, scan_licenses, scan_sql
 from edaphon.llm.line_dedup import remove_repeated_lines
 from edaphon.llm.mixing import copies, mixing_plan, short_first
@@ -83,11 +86,11 @@ def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path() -> str:
-    """Where the public byte-level vocabulary lies."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where a public vocabulary lies."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +108,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, found = centroid_clusters(centroids.integer_vectors(table(spark, sf_dir, "embeddings")))
+    return with_inertia(assigned, found)
+
+
+def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("word_bpe_49k.json")
+    coded = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    out = decode_documents(coded, path)
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        sha256_hex(F.array_join(F.col("ids").cast("array<string>"), " ")).alias("ids_sha256"),
+        sha256_hex(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -116,10 +135,13 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op13_bpe_round_trip": op13_bpe_round_trip,
 }
 SQL: dict[str, str] = {
     "op1_substring_dedup": removal_sql(),
     "op4_exact_top_k": OP4_SQL,
     "op9_license_scan": scan_sql(),
     "op10_quality_rules": rules_sql(),
+    "op11_centroid_clusters": clusters_sql(),
 }
