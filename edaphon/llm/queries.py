@@ -19,6 +19,7 @@ from edaphon.llm.packing import pack_documents
 from edaphon.llm.personal_data import KINDS, find_personal_data, spans_text
 from edaphon.llm.quality_rules import apply_rules, rules_sql
 from edaphon.llm.simhash import near_duplicates
+from edaphon.llm.spelling import spelling_variants, word_counts
 from edaphon.llm.substring_dedup import removal_sql, remove_repeats
 from edaphon.llm.topk import QUERY_STEP, integer_vectors, top_k
 
@@ -113,6 +114,11 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_inertia(assigned, found)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = spelling_variants(word_counts(table(spark, sf_dir, "documents")))
+    return out.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def op13_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("word_bpe_49k.json")
     coded = encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
@@ -136,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
     "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_bpe_round_trip": op13_bpe_round_trip,
 }
 SQL: dict[str, str] = {

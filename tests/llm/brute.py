@@ -194,3 +194,67 @@ def quality(text: str | None) -> tuple:
     n = len(found)
     failed = n < 50 or 100 * len(covered) > 50 * n
     return n, sum(map(len, found)), len(re.findall(r"[#*$%&|<>]", body)), len(spoken) - len(set(spoken)), len(covered), failed
+
+
+def spelling(rows: list[tuple]) -> dict:
+    """word -> (form, root, n, n_near, form_n) of (doc_id, text) rows."""
+    n: Counter = Counter()
+    for i, text in rows:
+        for found in re.findall("[A-Za-z\u00c0-\u00ff]+", text or ""):
+            found = lower(found)
+            h = zlib.crc32(f"{'' if i is None else i}:{found}".encode())
+            if h % 31 == 0:
+                found = found[: h % len(found)] + found[h % len(found) + 1 :]
+            n[found] += 1
+    n = {w: k for w, k in n.items() if len(w) >= 7 and k >= 2}
+    holes = defaultdict(set)  # a word with one letter left out, marked or closed up
+    for w in n:
+        for k in range(len(w)):
+            holes[w[:k] + "?" + w[k + 1 :]].add(w)
+            holes[w[:k] + w[k + 1 :]].add(w)
+    near = defaultdict(set)
+    for hole, found in holes.items():
+        if "?" in hole:
+            for w in found:
+                near[w] |= found - {w}
+        elif hole in n:
+            for w in found:
+                near[w].add(hole)
+                near[hole].add(w)
+    form = {}
+    for w in n:
+        if near[w]:
+            best = min(near[w], key=lambda x: (-n[x], x))
+            if n[best] >= 10 * n[w]:
+                form[w] = best
+    out = {}
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (form.get(w), root, n[w], len(near[w]), n.get(form.get(w)))
+    return out
+
+
+def clusters(rows: list[tuple], count: int, rounds: int, scale: int = 256) -> list[tuple]:
+    """(vec_id, cluster, distance, cluster inertia, inertia, digest) in whole numbers, row by row."""
+    from math import floor
+
+    vectors = [(i, [floor(scale * x) for x in v]) for i, v in rows]
+    first = sorted((sha(f"2:{i}"), v) for i, v in vectors if i is not None)[:count]
+    centroids = [v for _, v in first]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), k) for k, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        member = defaultdict(list)
+        for _, v in vectors:
+            member[nearest(v)[1]].append(v)
+        for k, found in member.items():
+            centroids[k] = [sum(column) // len(found) for column in zip(*found)]
+    done = [(i, *reversed(nearest(v))) for i, v in vectors]
+    part = Counter()
+    for _, k, d in done:
+        part[k] += d
+    return [(i, k, d, part[k], sum(part.values()), sha(",".join(map(str, centroids[k])))) for i, k, d in done]

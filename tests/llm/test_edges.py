@@ -33,7 +33,7 @@ def repeated(spark, tmp_path_factory):
     return write(spark, tmp_path_factory.mktemp("repeated"), rows * 2, f"{SCHEMA}, n_words long, kept string, fingerprint string, size double")
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op4_exact_top_k"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op4_exact_top_k", "op11_centroid_clusters", "op12_spelling_variants"}))
 def test_repeated_rows_get_equal_answers(spark, repeated, name):
     frame = QUERIES[name](spark, repeated)
     assert len(set(frame.columns)) == len(frame.columns)
