@@ -22,6 +22,8 @@ encoded whole; pieces over ``LONG_PIECE`` characters are not remembered.
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-#: Pieces and token pairs that a task remembers, and the characters of the longest remembered piece.
-PIECES, PAIRS, LONG_PIECE = 400_000, 2_000_000, 64
+#: Pieces, words and token pairs that a task remembers, and the characters of the longest it remembers.
+PIECES, PAIRS, LONG_PIECE = 250_000, 500_000, 64
+#: Finds a character beyond U+00FF; all others are letters, marks and signs that every table knows alike.
+BEYOND_LATIN = re.compile("[^\x00-\xff]").search
 #: Rows that leave a task together hold about so many bytes or tokens; tokens gathered at a time.
 CHUNK, GATHER = 2_000_000, 200_000
 #: White space as the split pattern and the normal form see it.
@@ -63,6 +67,7 @@ class Vocabulary:
         self.lowers = "Lowercase" in self._steps(content.get("normalizer"))
         self.library = Tokenizer.from_file(path)
         self.pattern = regex.compile(self._split(content["pre_tokenizer"]))
+        self.plain = self.pattern.findall("abcdefgh") == ["abcdefgh"]  # letters stay together
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         if model["type"] != "BPE" or model.get("byte_fallback") or model.get("ignore_merges") or model.get("unk_token") or content.get("decoder"):
             raise ValueError("a byte-pair vocabulary without unknown token, fallback and decoder is expected")
@@ -79,7 +84,7 @@ class Vocabulary:
                 raise ValueError(f"the merge of {a!r} and {b!r} does not come once, after those that make its parts")
             self.order[token], self.left[token], self.right[token] = rank, one, two
             self.merge[one, two] = token
-        self.beside: dict[tuple[int, int], bool] = {}
+        self.size, self.beside = size, dict[int, bool]()
         letters = [name for name in ids if len(name.removesuffix(self.end) if self.end else name) == 1]
         self.letters = {c: k for k, c in enumerate(byte_letters())}
         # a letter at a word's end is a symbol of its own, written 256 places on
@@ -92,7 +97,7 @@ class Vocabulary:
                 continue
             whole[self._symbols(name)] = token
         for symbols, token in whole.items():
-            self.automaton.add_word(symbols, (len(symbols), token))
+            self.automaton.add_word(symbols, token)
         self.automaton.make_automaton()
         self.length = [0] * size
         for symbols, token in whole.items():
@@ -104,14 +109,8 @@ class Vocabulary:
                 if symbols[:n] in whole:
                     self.shorter[token] = whole[symbols[:n]]
                     break
-        names = [""] * size
-        for name, token in [*ids.items(), *self.special.items()]:
-            names[token] = name
-        #: all tokens' text in one string of bytes and where each begins
-        body = [name.encode() for name in names]
-        self.offsets = np.concatenate([[0], np.cumsum([len(b) for b in body])]).astype(np.int64)
-        self.body = np.frombuffer(b"".join(body), dtype=np.uint8)
         self.seen: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     @staticmethod
     def _steps(step: dict | None) -> list[str]:
@@ -154,11 +153,10 @@ class Vocabulary:
                 bar, b = min(bar, order[b] + 1), self.left[b]
 
     def fits(self, a: int, b: int) -> bool:
-        found = self.beside.get((a, b))
-        if found is None:
-            if len(self.beside) >= PAIRS:
-                self.beside.clear()
-            found = self.beside[a, b] = self._compatible(a, b, 1 << 60)
+        """Works out an entry of the table of pairs."""
+        if len(self.beside) >= PAIRS:
+            self.beside.clear()
+        found = self.beside[a * self.size + b] = self._compatible(a, b, 1 << 60)
         return found
 
     def encode_word(self, raw: bytes) -> list[int]:
@@ -166,39 +164,53 @@ class Vocabulary:
         symbols = raw.decode("latin-1")
         if self.end:
             symbols = symbols[:-1] + chr(raw[-1] + 256)
-        n, longest = len(symbols), {}
-        for last, (size, token) in self.automaton.iter(symbols):
-            longest[last - size + 1] = token  # a later end is a longer token
-        length, shorter = self.length, self.shorter
+        length, shorter, beside, size = self.length, self.shorter, self.beside, self.size
+        n = len(symbols)
+        longest = [-1] * (n + 1)
+        for last, token in self.automaton.iter(symbols):
+            longest[last + 1 - length[token]] = token  # a later end is a longer token
         taken: list[int] = []
         open_ = [True] * (n + 1)
-        at, token = 0, longest.get(0, -1)
+        at, token, before = 0, longest[0], -1
         while at < n:
             while token >= 0:
                 to = at + length[token]
-                if open_[to] and (not taken or self.fits(taken[-1], token)):
-                    break
+                if open_[to]:
+                    fits = before < 0 or beside.get(before * size + token)
+                    if fits is None:
+                        fits = self.fits(before, token)
+                    if fits:
+                        break
                 token = shorter[token]
             if token >= 0:
                 taken.append(token)
-                at = to
-                token = longest.get(at, -1)
+                at, before, token = to, token, longest[to]
             else:
                 if not taken:
                     raise ValueError(f"no tokens for {raw!r}")
                 open_[at] = False
-                at -= length[taken[-1]]
+                at -= length[before]
                 token = shorter[taken.pop()]
+                before = taken[-1] if taken else -1
         return taken
 
+    def word(self, word: str, raw: bytes) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            found = array("i", self.encode_word(raw)).tobytes()
+            remember(self.words, word, found)
+        return found
+
     def encode_piece(self, piece: str) -> bytes:
         """The tokens of text without white space, as 32-bit numbers."""
-        if piece.isascii():
-            found = [word.encode() for word in self.pattern.findall(piece.lower() if self.lowers else piece)]
-        else:  # the library's own steps, whose tables know other characters than Python's
-            piece = self.library.normalizer.normalize_str(piece) if self.library.normalizer else piece
-            found = [bytes(map(self.letters.__getitem__, word)) for word, _ in self.library.pre_tokenizer.pre_tokenize_str(piece)]
-        return np.array([t for raw in found for t in self.encode_word(raw)], dtype=np.int32).tobytes()
+        if not BEYOND_LATIN(piece):  # no change by the normal form but case
+            piece = piece.lower() if self.lowers else piece
+            found = [piece] if piece.isalpha() and self.plain else self.pattern.findall(piece)
+            return b"".join([self.word(word, word.encode()) for word in found])
+        # the library's own steps, whose tables know other characters than Python's
+        piece = self.library.normalizer.normalize_str(piece) if self.library.normalizer else piece
+        found = [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(piece)]
+        return b"".join([self.word("\n" + word, bytes(map(self.letters.__getitem__, word))) for word in found])
 
     def encode(self, text: str) -> bytes:
         """The tokens of a text, as 32-bit numbers."""
@@ -209,17 +221,32 @@ class Vocabulary:
             if part in self.special:
                 out.append(np.int32(self.special[part]).tobytes())
                 continue
+            if self.lowers and not BEYOND_LATIN(part):
+                part = part.lower()
             for piece in pieces(part):
                 found = seen.get(piece)
                 if found is None:
                     found = self.encode_piece(piece)
-                    if len(piece) <= LONG_PIECE:
-                        if len(seen) >= PIECES:
-                            seen.clear()
-                        seen[piece] = found
+                    remember(seen, piece, found)
                 out.append(found)
         return b"".join(out)
 
+
+class Offsets:
+    """All tokens' text in one string of bytes and where each begins."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            content = json.load(file)
+        ids = content["model"]["vocab"] | {t["content"]: t["id"] for t in content["added_tokens"]}
+        if content.get("decoder"):
+            raise ValueError("a vocabulary without a decoder is expected")
+        names = [b""] * (1 + max(ids.values()))
+        for name, token in ids.items():
+            names[token] = name.encode()
+        self.offsets = np.concatenate([[0], np.cumsum([len(b) for b in names])]).astype(np.int64)
+        self.body = np.frombuffer(b"".join(names), dtype=np.uint8)
+
     def gather(self, ids: np.ndarray) -> bytes:
         """The tokens' text, a space behind each."""
         size = self.offsets[ids + 1] - self.offsets[ids] + 1
@@ -237,6 +264,13 @@ class Vocabulary:
         return [body[a : max(a, b - 1)].decode() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
+def remember(cache: dict[str, bytes], text: str, found: bytes) -> None:
+    if len(text) <= LONG_PIECE:
+        if len(cache) >= PIECES:
+            cache.clear()
+        cache[text] = found
+
+
 def pieces(text: str) -> list[str]:
     if any(c in text for c in NO_SPACE):
         for c in SPACE[1:]:
@@ -286,8 +320,8 @@ def decode_documents(docs: DataFrame, vocabulary_path: str, ids: str = "ids", ou
     """``docs`` with the text of their token ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(vocabulary_path)
-        known = len(vocabulary.offsets) - 1
+        tokens = Offsets(vocabulary_path)
+        known = len(tokens.offsets) - 1
         for whole in batches:
             for batch in chunks(whole, [len(x) if x.is_valid else 0 for x in whole.column(ids)], CHUNK):
                 column = batch.column(ids)
@@ -297,7 +331,7 @@ def decode_documents(docs: DataFrame, vocabulary_path: str, ids: str = "ids", ou
                 usable = (values >= 0) & (values < known)
                 starts = np.concatenate([[0], np.cumsum(size)])
                 starts = np.concatenate([[0], np.cumsum(usable)])[starts]
-                texts = vocabulary.decode(values[usable], starts)
+                texts = tokens.decode(values[usable], starts)
                 yield replaced(batch, out, pa.array([t if x.is_valid else None for t, x in zip(texts, column)], pa.string()))
 
     return docs.mapInArrow(run, with_column(docs, out, StringType()))
