@@ -181,45 +181,59 @@ def linear_models(best: DataFrame, reduced: DataFrame, points: int) -> DataFrame
     return _joined(final.select("target", "holdout", "model", "params"), reduced, refit, schema, ["target", "holdout"])
 
 
+def _walk(pdf: pd.DataFrame, startup: int, warmup: int) -> pd.DataFrame:
+    """The trials of one study in order, with the median each was held against and whether it stopped."""
+    pdf = pdf.sort_values(["trial", "step"], kind="stable")
+    done: dict[int, list[float]] = {}
+    completed, medians, stops = 0, [], []
+    for _, rows in pdf.groupby("trial", sort=True):
+        found = [float(np.median(done[s])) if s in done else None for s in rows["step"]]
+        stop = [
+            m is not None and completed >= startup and s >= warmup and b < m
+            for m, s, b in zip(found, rows["step"], rows["best_so_far"])
+        ]
+        medians += found
+        stops += stop
+        if not any(stop):
+            completed += 1
+            for s, value in zip(rows["step"], rows["running_mean"]):
+                done.setdefault(int(s), []).append(value)
+    return pdf.assign(earlier_median=pd.Series(medians, index=pdf.index, dtype="float64"), pruned=stops)
+
+
+def _running(scores: DataFrame, study: list[str]) -> DataFrame:
+    """Scores with their running mean and the best of it so far, dealt by study."""
+    so_far = Window.partitionBy(*study, "trial").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    running = scores.repartition(*study).withColumn("running_mean", F.avg("score").over(so_far))
+    return running.withColumn("best_so_far", F.max("running_mean").over(so_far))
+
+
 def prune(scores: DataFrame, study: list[str], startup: int = STARTUP_TRIALS, warmup: int = WARMUP_STEPS) -> DataFrame:
     """Adds the running mean of a trial, the best of its running means so far, the median of the running
     means that completed earlier trials had at the step, and whether the trial stops there.
 
     A trial is judged once ``startup`` earlier ones have completed; one that stops completes nothing. So trials
     are walked in order, study by study: a study is at most a few hundred trials."""
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["trial", "step"], kind="stable")
-        done: dict[int, list[float]] = {}
-        completed, medians, stops = 0, [], []
-        for _, rows in pdf.groupby("trial", sort=True):
-            found = [float(np.median(done[s])) if s in done else None for s in rows["step"]]
-            stop = [
-                m is not None and completed >= startup and s >= warmup and b < m
-                for m, s, b in zip(found, rows["step"], rows["best_so_far"])
-            ]
-            medians += found
-            stops += stop
-            if not any(stop):
-                completed += 1
-                for s, value in zip(rows["step"], rows["running_mean"]):
-                    done.setdefault(int(s), []).append(value)
-        return pdf.assign(earlier_median=pd.Series(medians, index=pdf.index, dtype="float64"), pruned=stops)
-
-    so_far = Window.partitionBy(*study, "trial").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    running = scores.repartition(*study).withColumn("running_mean", F.avg("score").over(so_far))
-    running = running.withColumn("best_so_far", F.max("running_mean").over(so_far))
+    running = _running(scores, study)
     schema = T.StructType([*running.schema, T.StructField("earlier_median", T.DoubleType()), T.StructField("pruned", T.BooleanType())])
-    judged = running.groupBy(*study).applyInPandas(walk, schema)
+    judged = running.groupBy(*study).applyInPandas(lambda pdf: _walk(pdf, startup, warmup), schema)
     return judged.withColumn("earlier_median", F.when(~F.isnan("earlier_median"), F.col("earlier_median")))
 
 
-def best_trials(scores: DataFrame, study: list[str], startup: int = STARTUP_TRIALS) -> DataFrame:
-    """``(study…, trial, cv_best_r2)``: the unpruned trial with the highest mean, lowest number on ties."""
-    judged = prune(scores, study, startup)
-    complete = judged.groupBy(*study, "trial").agg(
-        F.avg("score").alias("cv_r2"), F.bool_or("pruned").alias("pruned")
-    )
-    kept = complete.filter(~F.col("pruned") & F.col("cv_r2").isNotNull() & ~F.isnan("cv_r2"))
-    order = F.struct("cv_r2", -F.col("trial"))
-    return kept.groupBy(*study).agg(F.max_by("trial", order).alias("trial"), F.max("cv_r2").alias("cv_best_r2"))
+def best_trials(scores: DataFrame, study: list[str], startup: int = STARTUP_TRIALS, warmup: int = WARMUP_STEPS) -> DataFrame:
+    """``(study…, trial, cv_best_r2)``: the unpruned trial with the highest mean, lowest number on ties.
+
+    Picked in the walk itself, so scores are shuffled once, by study."""
+
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        judged = _walk(pdf, startup, warmup)
+        # the running mean of a trial's last step is its mean
+        trials = judged.groupby("trial", sort=True).agg(cv_best_r2=("running_mean", "last"), pruned=("pruned", "any")).reset_index()
+        kept = trials[~trials["pruned"] & trials["cv_best_r2"].notna()]
+        best = kept.sort_values(["cv_best_r2", "trial"], ascending=[False, True]).head(1)
+        return best.assign(**{c: pdf[c].iloc[0] for c in study})[[*study, "trial", "cv_best_r2"]]
+
+    running = _running(scores, study)
+    fields = [f for f in running.schema if f.name in study]
+    schema = T.StructType([*sorted(fields, key=lambda f: study.index(f.name)), running.schema["trial"], T.StructField("cv_best_r2", T.DoubleType())])
+    return running.groupBy(*study).applyInPandas(pick, schema)
