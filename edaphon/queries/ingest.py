@@ -22,19 +22,82 @@ from edaphon.queries.views import (
 )
 from edaphon.session import fresh_path
 from edaphon.operators import quality as Q
-from edaphon.sinks.copy import copy_audit, copy_counters, copy_objects
+from edaphon.sinks.copy import copy_audit, copy_counters, copy_objects, put_objects
 from edaphon.sinks.lake import read_report, write_report
 from edaphon.sources import manifest as M
 from edaphon.sources.lab_tables import read_lab_csv
-from edaphon.sources.spectra import decode, decode_status, is_spectrum_key, spectra_base
+from edaphon.sources.spectra import decode, decode_status, is_spectrum_key, scan_spectra, spectra_base
 
 RUN = {"execution_utc": "2024-01-01 00:00:00", "source_bucket": "pages", "dest_bucket": "lake"}
 DEST = "bronze/"
 
 
-@query("bronze_manifest")
+def page_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """``(key, content)``: every page as an object, one flat folder per language; some are empty."""
+    lang = F.regexp_extract("url", "^https?://[^/]+/([a-z]+)", 1)
+    key = F.concat(lang, F.lit("/"), F.lpad(F.col("page_id").cast("string"), 8, "0"), F.lit(".html"))
+    html = F.when(F.col("page_id") % 50 == 7, "").otherwise(F.col("html"))
+    return table(spark, sf, "pages").select("page_id", key.alias("key"), F.encode(html, "utf-8").alias("content"))
+
+
+def page_files(spark: SparkSession, sf: str) -> str:
+    """A folder with the pages as files, written by tasks."""
+    root = fresh_path(spark, "pages")
+    put_objects(page_objects(spark, sf), root)
+    return root
+
+
+PAGE_OBJECTS_SQL = r"""
+page_objects as (select page_id, concat(regexp_extract(url, '^https?://[^/]+/([a-z]+)', 1), '/',
+    lpad(cast(page_id as varchar), 8, '0'), '.html') as key, case when page_id % 50 = 7 then '' else html end as html,
+    cast(case when page_id % 50 = 7 then 0 else strlen(html) end as bigint) as size from pages)"""
+
+
+@query("bronze_manifest", f"with {PAGE_OBJECTS_SQL} select key, size from page_objects")
 def bronze_manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return M.object_manifest(spark, sf)
+    """The pages written as files and listed again."""
+    return M.object_manifest(spark, page_files(spark, sf))
+
+
+@query(
+    "bronze_manifest_prefixes",
+    f"with {PAGE_OBJECTS_SQL} select key, size from page_objects where key like 'en/0%' or key like 'fr/%'",
+)
+def bronze_manifest_prefixes(spark: SparkSession, sf: str) -> DataFrame:
+    """Overlapping prefixes, part of a name and one that holds nothing."""
+    return M.object_manifest(spark, page_files(spark, sf), ["en/0", "en/00", "fr/", "zz/none/"])
+
+
+@query(
+    "spectra_scan",
+    f"""with {PAGE_OBJECTS_SQL} select key as source, size as bytes, md5(html) as digest from page_objects
+    where starts_with(key, 'en/')""",
+)
+def spectra_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The contents of the listed files, read by planned groups; empty files are rows."""
+    root = page_files(spark, sf)
+    files = scan_spectra(spark, root, "/en/", r"\.html$")
+    source = F.substring("source", len(root) + 2, 1 << 20)
+    return files.select(source.alias("source"), F.length("content").cast("bigint").alias("bytes"), F.md5("content").alias("digest"))
+
+
+@query(
+    "bronze_copy_pages",
+    f"""with {PAGE_OBJECTS_SQL}, listed as (select prefix, page_id, key, size from {PREFIX_SQL}
+        left join page_objects on starts_with(key, prefix))
+    select prefix, key as source_key, '{DEST}' || key as dest_key, size as source_size,
+        case when page_id % 10 = 3 then 3 else size end as dest_size,
+        case when key is null then 'empty_prefix' when page_id % 10 = 3 then 'skipped_existing' else 'copied' end as status,
+        case when key is null then 'Nenhum arquivo encontrado para o prefix.' else '' end as error_message
+    from listed""",
+)
+def bronze_copy_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Copies the pages' files to a folder where some of them are already, with other contents."""
+    root, target = page_files(spark, sf), fresh_path(spark, "bronze")
+    there = page_objects(spark, sf).filter("page_id % 10 = 3").select(F.concat(F.lit(DEST), "key").alias("key"), F.encode(F.lit("old"), "utf-8").alias("content"))
+    put_objects(there, target)
+    audit = copy_objects(M.object_manifest(spark, root), M.object_manifest(spark, target), root, target, PREFIXES, DEST, RUN)
+    return audit.select("prefix", "source_key", "dest_key", "source_size", "dest_size", "status", "error_message")
 
 
 @query(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,29 +80,52 @@ def copy_audit(source: DataFrame, before: DataFrame, after: DataFrame, prefixes:
     return _stamped(audit.withColumn("error_message", message), run)
 
 
-def _copy_one(source, source_path: str, dest, dest_path: str) -> int:
-    """Streams one object and returns the size found at the destination.
-
-    The bytes land under a name of their own and are renamed, so a repeated or a concurrent attempt
-    never leaves half an object. Object stores publish on close and need no rename.
-    """
+@contextmanager
+def _landing(dest: arrow_fs.FileSystem, path: str) -> Iterator:
+    """A stream whose bytes land under a name of their own and are renamed, so a repeated or a
+    concurrent attempt never leaves half an object. Object stores publish on close and need no rename."""
     if not isinstance(dest, (arrow_fs.LocalFileSystem, arrow_fs.HadoopFileSystem)):
-        landing = dest_path
+        landing = path
     else:
-        dest.create_dir(dest_path.rsplit("/", 1)[0], recursive=True)
-        folder, name = dest_path.rsplit("/", 1)
+        folder, name = path.rsplit("/", 1)
+        dest.create_dir(folder, recursive=True)
         landing = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    with source.open_input_stream(source_path) as reader, dest.open_output_stream(landing) as writer:
+    with dest.open_output_stream(landing) as writer:
+        yield writer
+    if landing != path:
+        dest.move(landing, path)
+
+
+def _copy_one(source, source_path: str, dest, dest_path: str) -> int:
+    """Streams one object and returns the size found at the destination."""
+    with source.open_input_stream(source_path) as reader, _landing(dest, dest_path) as writer:
         while chunk := reader.read(CHUNK):
             writer.write(chunk)
-    if landing != dest_path:
-        dest.move(landing, dest_path)
     found = dest.get_file_info(dest_path)
     if found.type == arrow_fs.FileType.NotFound:
         raise FileNotFoundError(f"{MISSING_MESSAGE}{dest_path}")
     return found.size
 
 
+def put_objects(rows: DataFrame, root: str) -> DataFrame:
+    """Writes ``(key, content)`` as objects below ``root`` and returns ``(key, size)``, written.
+
+    An object appears under its name when it is whole, so a repeated task does no harm."""
+    root = full_root(root)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, path = open_store(root)
+        for batch in batches:
+            sizes = []
+            for key, content in zip(batch.column("key").to_pylist(), batch.column("content")):
+                with _landing(store, f"{path}/{key}") as writer:
+                    writer.write(content.as_buffer() if content.is_valid else b"")
+                sizes.append(len(content.as_buffer()) if content.is_valid else 0)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sizes, pa.int64())], ["key", "size"])
+
+    return materialise(rows.select("key", "content").mapInArrow(run, "key string, size bigint"), "put")
+
+
 def copy_objects(source: DataFrame, before: DataFrame, source_root: str, dest_root: str, prefixes: list[str],
                  dest_prefix: str, run: dict[str, str], tasks: int | None = None) -> DataFrame:
     """Copies what the destination lacks and returns the written audit.

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from edaphon.functions.keys import blank_to_null, file_name, sample_id, sample_key
 from edaphon.operators.dedup import first_per_key, without_repeats
 from edaphon.sources.manifest import object_manifest
+from edaphon.sources.objects import read_objects
 
 # Where the spectra lie and how their files end.
 SPECTRA_FOLDER = "Bruker_Alpha_KBr/"
 SPECTRA_PATTERN = r"\.0$"
-SPECTRA_GLOB = "*.0"
 
 Decoder = Callable[[bytes], Sequence[float] | None]
 DECODED = "source string, spectrum array<double>, decode_status string, error_message string"
@@ -34,19 +34,13 @@ def text_decoder(content: bytes) -> list[float] | None:
     return [float(v) for v in text[3:].split(",")]
 
 
-def scan_spectra(spark: SparkSession, root: str) -> DataFrame:
-    """``(source, content)`` of the spectral files below ``root``, split over tasks by size.
+def scan_spectra(spark: SparkSession, root: str, folder: str = SPECTRA_FOLDER, pattern: str = SPECTRA_PATTERN) -> DataFrame:
+    """``(source, content)`` of the spectral files below ``root``, empty ones included.
 
-    Spark's file source leaves out empty files; they are added from the listing, so that the
-    status counts hold every file.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    # the filter on the path comes after the contents are read, the glob before
-    files = reader.option("pathGlobFilter", SPECTRA_GLOB).load(root)
-    full = files.filter(is_spectrum_key(F.col("path"))).select(F.col("path").alias("source"), "content")
+    The listing is filtered before a file is opened, and what is left is dealt to tasks by bytes."""
     path = F.concat(F.lit(f"{root.rstrip('/')}/"), "key")
-    empty = object_manifest(spark, root).filter((F.col("size") == 0) & is_spectrum_key(path))
-    return full.unionByName(empty.select(path.alias("source"), F.lit(b"").alias("content")))
+    wanted = object_manifest(spark, root).filter(is_spectrum_key(path, folder, pattern))
+    return read_objects(spark, root, wanted).select("source", "content")
 
 
 def decode(files: DataFrame, decoder: Decoder = text_decoder) -> DataFrame:
