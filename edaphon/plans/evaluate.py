@@ -39,7 +39,7 @@ class Options:
     startup_trials: int = S.STARTUP_TRIALS  # trials that are never pruned
     folds: int = 5
     test_share: float = 0.2
-    exact_sizes: bool = False  # ceil(share · n) test rows and even folds, for a join on the key
+    exact_sizes: bool = True  # ceil(share · n) test rows and even folds, for two passes over the keys; else by digest range
     seed: int = 42
     network_rounds: int = 1500
     log_targets: tuple[str, ...] = ()
@@ -65,6 +65,7 @@ class Evaluation:
     predictions: DataFrame
     linear: DataFrame
     samples: DataFrame
+    bases: DataFrame
     boosted: dict = field(default_factory=dict)
     networks: dict = field(default_factory=dict)
     skipped: dict[str, str] = field(default_factory=dict)
@@ -119,8 +120,6 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
     options = options or Options()
     spark = gold.sparkSession
     samples = samples_of(gold, options)
-    if options.exact_sizes:
-        samples = materialise(samples, "samples")
     study = G.study(samples, points, options.folds)
     reduced = materialise(study.reduced(), "reduced")
     shape = reduced.filter(F.col("holdout") == TEST).select("target", "n_train", F.lit(points).alias("points"))
@@ -175,7 +174,8 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
         predictions = predictions.unionByName(part)
     predictions = materialise(predictions, "predictions")
     results = result_table(predictions, best, linear, reduced, points, options.log_targets)
-    return Evaluation(results, predictions, linear, study.samples, boosted, networks, skipped)
+    bases = reduced.filter(F.col("holdout") == TEST).select("target", "mean_x", "scale", "loadings")
+    return Evaluation(results, predictions, linear, study.samples, bases, boosted, networks, skipped)
 
 
 def usable_targets(limits: DataFrame, targets: list[str]) -> tuple[DataFrame, dict[str, str]]:
@@ -272,21 +272,24 @@ def result_table(predictions: DataFrame, best: DataFrame, linear: DataFrame, red
 
 
 def save_models(evaluation: Evaluation, folder: str | None = None) -> str:
-    """Linear coefficients, boosted models and network weights below one folder."""
+    """Linear coefficients, boosted models, network weights and the components they see, below one
+    folder; ``plans/scoring.py`` loads it."""
     spark = evaluation.linear.sparkSession
     folder = folder or fresh_path(spark, "models")
     evaluation.linear.write.mode("overwrite").parquet(f"{folder}/linear")
     evaluation.samples.select("target", "ssn", "fold").write.mode("overwrite").parquet(f"{folder}/split")
+    evaluation.bases.write.mode("overwrite").parquet(f"{folder}/bases")
+    named = [(target, model, fitted.numFeatures) for (target, model), fitted in evaluation.boosted.items()]
+    spark.createDataFrame(named, "target string, model string, inputs int").write.mode("overwrite").parquet(f"{folder}/boosted_models")
     for (target, model), fitted in evaluation.boosted.items():
         fitted.write().overwrite().save(f"{folder}/boosted/{target}/{model}")
     nets = [
         (t, m, n.inputs, list(n.layers), n.activation, n.alpha, n.rate, n.weights.tolist())
         for (t, m), n in evaluation.networks.items()
     ]
-    if nets:
-        schema = (
-            "target string, model string, inputs int, layers array<int>, activation string, "
-            "alpha double, rate double, weights array<double>"
-        )
-        spark.createDataFrame(nets, schema).write.mode("overwrite").parquet(f"{folder}/networks")
+    schema = (
+        "target string, model string, inputs int, layers array<int>, activation string, "
+        "alpha double, rate double, weights array<double>"
+    )
+    spark.createDataFrame(nets, schema).write.mode("overwrite").parquet(f"{folder}/networks")
     return folder

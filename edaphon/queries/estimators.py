@@ -11,7 +11,8 @@ from edaphon.modelling.networks import Network, predict_networks, train_networks
 from edaphon.modelling.score import regression_metrics
 from edaphon.modelling.split import TEST, with_folds
 from edaphon.modelling.trees import fit_boosting, predict_boosting
-from edaphon.plans.evaluate import Options, evaluate, predict_linear
+from edaphon.plans.evaluate import Options, evaluate, predict_linear, save_models
+from edaphon.plans.scoring import load_models, score_spectra
 from edaphon.queries.registry import query
 from edaphon.queries.splits import LONG_SQL, first_points, projected, rounded
 from edaphon.queries.views import GOLD_SQL, PLANTED_SQL, POINTS, FOLD_SQL, gold, planted, planted_labelled
@@ -403,6 +404,26 @@ def refit_predict(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate(samples, POINTS, Options(models=S.LINEAR, linear_trials=40)).predictions
 
 
+@query(
+    "score_saved_models",
+    f"""with {PLANTED_SQL}, part as (select count(*) filter (fold = -1) as test, count(*) as n from planted)
+    select model, n as scored, test as compared, 0 as differing from part, (values ('Lasso'), ('PLS'), ('Ridge')) m(model)""",
+)
+def score_saved_models(spark: SparkSession, sf: str) -> DataFrame:
+    """Models saved, loaded and applied to all spectra; for the test rows the predictions made before saving
+    are there to compare."""
+    samples = planted(spark, sf).select("target", "ssn", "y", "spectrum")
+    options = Options(models=["Ridge", "Lasso", "PLS"], linear_trials=10, exact_sizes=False)
+    found = evaluate(samples, POINTS, options)
+    scored = score_spectra(samples.select("ssn", "spectrum"), load_models(spark, save_models(found)))
+    before = found.predictions.select("target", "model", "ssn", F.col("yhat").alias("before"))
+    both = scored.join(before, ["target", "model", "ssn"], "left")
+    return both.groupBy("model").agg(
+        F.count("yhat").alias("scored"), F.count("before").alias("compared"),
+        F.count_if(F.abs(F.col("yhat") - F.col("before")) > 1e-9).cast("int").alias("differing"),
+    )
+
+
 @query("evaluate_all_targets")
 def evaluate_all_targets(spark: SparkSession, sf: str) -> DataFrame:
     """The linear families on the five Gold tables, phosphorus in logs, with exact split sizes."""

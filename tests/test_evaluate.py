@@ -11,6 +11,7 @@ from edaphon.modelling import score as R
 from edaphon.modelling.networks import Network, predict_networks, train_networks
 from edaphon.modelling.trees import regressor, tree_depth
 from edaphon.plans import evaluate as E
+from edaphon.plans import scoring
 from edaphon.plans.evaluate import Options, evaluate, save_models
 
 
@@ -136,6 +137,26 @@ def test_evaluation(spark, tmp_path):
     assert spark.read.parquet(f"{folder}/linear").count() == 10
     assert spark.read.parquet(f"{folder}/networks").count() == 2
     assert GBTRegressionModel.load(f"{folder}/boosted/ph/XGBoost").getNumTrees == 3
+    check_saved_models(spark, found, folder)
+
+
+def check_saved_models(spark, found, folder):
+    """What is loaded predicts what the models predicted before they were saved, from the spectra alone."""
+    spectra = found.samples.filter("fold = -1").select(F.concat("target", F.lit("/"), "ssn").alias("ssn"), "spectrum")
+    odd = spark.createDataFrame([("short", [1.0]), ("none", None), ("nan", [float("nan")] * 40)], "ssn string, spectrum array<double>")
+    models = scoring.load_models(spark, folder)
+    before = {(r["target"], r["model"], r["ssn"]): r["yhat"] for r in found.predictions.collect()}
+    scored = scoring.score_spectra(spectra.unionByName(odd), models).collect()
+    assert len(scored) == 2 * len(before)  # models of both targets see the spectra of both
+    after = {(r["target"], r["model"], r["ssn"].split("/")[1]): r["yhat"] for r in scored if r["ssn"].split("/")[0] == r["target"]}
+    assert after.keys() == before.keys()
+    assert all(np.isclose(after[k], before[k], rtol=1e-9, atol=1e-9) for k in before)
+    scoring.SCAN_BYTES, whole = 1000, scoring.SCAN_BYTES
+    try:
+        assert len(scoring.scans(models)) > 3
+        assert scoring.score_spectra(spectra, models).count() == len(scored)
+    finally:
+        scoring.SCAN_BYTES = whole
 
 
 def test_trials_that_fall_behind_stop(spark):

@@ -69,3 +69,36 @@ def test_exact_folds_per_group(spark):
         test = math.ceil(n / 5)
         sizes = [(n - test) // 5 + (f < (n - test) % 5) for f in range(5)]
         assert [folds.count(f) for f in range(-1, 5)] == [test, *sizes]
+
+
+def test_exact_folds_move_no_spectra(spark):
+    rows = keys(spark, 200).select(F.lit("a").alias("target"), "ssn", F.array(F.lit(1.0), F.lit(2.0)).alias("spectrum"))
+    both = rows.unionByName(rows.withColumn("target", F.lit(None).cast("string")))  # a NULL group is a group
+    folded = with_exact_folds(both.coalesce(1), "ssn", ["target"])
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "hashpartitioning" not in plan
+    counts = {(r["target"], r["fold"]): r["count"] for r in folded.groupBy("target", "fold").count().collect()}
+    assert counts == {(t, f): 40 if f < 0 else 32 for t in ("a", None) for f in range(-1, 5)}
+
+
+def test_keys_that_are_missing_or_repeat(spark):
+    some = keys(spark, 30).unionByName(keys(spark, 10)).unionByName(spark.createDataFrame([(None,)] * 4, "ssn string"))
+    folded = with_exact_folds(some, "ssn", [])
+    assert folded.count() == 40 and folded.filter("fold = -1").select("ssn").distinct().count() == 6
+    assert exact_split(some, "ssn").count() == 30
+    assert with_exact_folds(some.filter("ssn is null"), "ssn", []).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3])
+def test_fewer_rows_than_folds(spark, n):
+    folds = sorted(r["fold"] for r in with_exact_folds(keys(spark, n), "ssn", []).collect())
+    assert folds == [-1, *range(n - 1)]
+
+
+def test_the_cut_is_found_inside_one_bin(spark, monkeypatch):
+    from edaphon.modelling import split
+
+    monkeypatch.setattr(split, "BIN_DIGITS", 1)  # many rows in a bin
+    rows = {r["ssn"]: r["split"] for r in exact_split(keys(spark, 500), "ssn").collect()}
+    order = sorted(rows, key=lambda k: digest(f"{k}|42"))
+    assert [rows[k] for k in order] == ["test"] * 100 + ["train"] * 400
