@@ -3,10 +3,11 @@
 Documents become token ids, long ones pieces. What is packed is the histogram of piece lengths, whose
 size is set by the capacity and not by the corpus. The linear program over configurations (multisets
 of lengths that fit a sequence) is solved by multiplicative weights: a length whose share has not been
-served yet weighs more, a knapsack by dynamic programming finds the configuration of most weight, and
-it serves a fraction of its scarcest length. Uses are rounded down; what is left of the histogram goes
-best fit, longest first, again by counts. Each place of a configuration then takes a run of the ranks
-that pieces have within their length, so pieces find their sequence without meeting each other.
+served yet weighs more, a knapsack by dynamic programming finds the configurations of most weight, one
+around every length, and each serves a fraction of its lengths, rounded up to whole uses. Rounds go on
+until the program has placed every piece; the plan is the program's alone. Each place of a configuration
+then takes a run of the ranks that pieces have within their length, so pieces find their sequence
+without meeting each other.
 
 Pieces of full length take a sequence each. Ranks are counted in salted parts of a length, so one
 frequent length is not one task.
@@ -17,6 +18,7 @@ repeat are packed as often as they occur; a NULL id stays NULL.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,16 +32,20 @@ from edaphon.llm.base import materialise
 
 CAPACITY = 2048
 END = 0
-#: Multiplicative weights: the part of its scarcest length that one step serves, the steps, and how fast
-#: weights fall with the share that was served.
-STEP = 0.1
-STEPS = 600
-RATE = 3.0
-#: Ranks of a length are counted in parts of about so many rows.
-PART_ROWS = 1_000_000
+#: Multiplicative weights: the part of a length that one use of a price serves at most, how fast the price
+#: of a length falls as it is served, the part of the tokens a round must place to keep its allowance, and
+#: the part by which the allowance grows.
+STEP, RATE, PROGRESS, GROWTH = 0.1, 0.1, 0.01, 8
+#: Powers of a length that its first price a token may have, tried in turn until a plan is as near to the
+#: volume bound as `NEAR`; the shortest plan counts.
+LONG, NEAR = (0.1, 1.0, 3.0), 0.002
+#: Ranks of a length are counted in as many parts as there are partitions, from so many rows a part on.
+PART_ROWS = 5_000
 CACHE = 600_000
 CHUNK_CHARS = 2_000_000
 
+SPACE = re.compile(r"\s").search
+
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint"
 
 
@@ -66,14 +72,16 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def learn(self, cache: dict, words: set[str], lead: str) -> None:
-        plain = [w for w in words if w and len(w.split()) == 1 and w == w.strip()]
-        cache.update((w, None) for w in words)
+        cache.update(dict.fromkeys(words))
+        if SPACE("".join(words)):
+            words = [w for w in words if not SPACE(w)]
+        plain = [w for w in words if w]
         if lead:  # one text for all, taken apart where a word opens
             ids = np.array(self.tokenizer.encode_batch_fast([lead + lead.join(plain)], add_special_tokens=False)[0].ids, dtype="<u4") if plain else np.zeros(0, "<u4")
             at = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), 4 * len(ids)]
             if len(at) == len(plain) + 1:
                 body = ids.tobytes()
-                cache.update((w, body[a:b]) for w, a, b in zip(plain, at, at[1:]))
+                cache.update(zip(plain, map(body.__getitem__, map(slice, at, at[1:]))))
                 return
         for word, found in zip(plain, self.tokenizer.encode_batch_fast([lead + w for w in plain], add_special_tokens=False)):
             cache[word] = np.array(found.ids, dtype="<u4").tobytes()
@@ -139,94 +147,75 @@ def tokenized_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPAC
     return docs.select(F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(run, schema)
 
 
-def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of most value: index of a size -> how often. ``sizes`` ascend."""
+def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per capacity the most value that fits, and the index of a size taken there (-1: none, one token stays free)."""
     best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     upto = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
-        best[c], pick[c] = best[c - 1], -1
+        best[c] = best[c - 1]
         if upto[c]:
             total = best[c - sizes[: upto[c]]] + values[: upto[c]]
             k = int(total.argmax())
             if total[k] > best[c]:
                 best[c], pick[c] = total[k], k
-    found: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if pick[c] < 0:
-            c -= 1
+    return best, pick
+
+
+def configuration(first: int, values: np.ndarray, sizes: np.ndarray, left: np.ndarray, best: np.ndarray, pick: np.ndarray, capacity: int) -> dict[int, int]:
+    """The configuration of most value with the size ``first`` in it, index -> how often; a size that has
+    run out since the prices were set gives way to the best one left."""
+    found, room = {first: 1}, capacity - int(sizes[first])
+    while room > 0:
+        k = int(pick[room])
+        if k >= 0 and left[k] <= found.get(k, 0):
+            fits = int(np.searchsorted(sizes, room, side="right"))
+            total = np.where(left[:fits] > 0, best[room - sizes[:fits]] + values[:fits], -1.0)
+            for gone in [i for i, n in found.items() if i < fits and n >= left[i]]:
+                total[gone] = -1.0
+            k = int(total.argmax()) if fits and total.max() > 0 else -1
+            if k < 0:
+                break
+        if k < 0:
+            room -= 1
         else:
-            found[int(pick[c])] = found.get(int(pick[c]), 0) + 1
-            c -= int(sizes[pick[c]])
+            found[k] = found.get(k, 0) + 1
+            room -= int(sizes[k])
     return found
 
 
-def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int, steps: int = STEPS, step: float = STEP, rate: float = RATE) -> dict[tuple, float]:
-    """Fractional uses of configurations (tuples of (index, times)) that serve all or most of ``counts``."""
-    left, served, uses = counts.astype(float), np.zeros(len(sizes)), {}
-    # no less than leads through all sequences in the given steps
-    least = max(1.0, float(sizes @ counts) / capacity / steps)
-    for _ in range(steps):
-        at = np.flatnonzero(left > 1e-9)
-        if not len(at):
-            break
-        worth = sizes[at] * np.exp(-rate * (served[at] - served[at].min()))
-        found = {int(at[k]): n for k, n in knapsack(worth, sizes[at], capacity).items()}
-        often = max(least, min(step * counts[k] / n for k, n in found.items()))
-        often = min(often, *(left[k] / n for k, n in found.items()))
-        key = tuple(sorted(found.items()))
-        uses[key] = uses.get(key, 0.0) + often
-        for k, n in found.items():
-            left[k] -= often * n
-            served[k] += often * n / counts[k]
-    return uses
-
-
-def rounded(uses: dict[tuple, float], counts: np.ndarray) -> tuple[list[tuple[tuple, int]], np.ndarray]:
-    """Whole uses of the configurations, and the counts they leave."""
-    left, out = counts.copy(), []
-    for key, often in sorted(uses.items(), key=lambda x: -x[1]):
-        whole = int(min(int(often + 1e-6), *(left[k] // n for k, n in key)))
-        if whole:
-            out.append((key, whole))
-            for k, n in key:
-                left[k] -= whole * n
-    return out, left
-
-
-def best_fit(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
-    """Best fit, longest first, on counts: groups of alike sequences share each step."""
-    gaps: dict[int, list[tuple[tuple, int]]] = {}
-    for k in range(len(sizes) - 1, -1, -1):
-        size, rest, made = int(sizes[k]), int(counts[k]), []
-        while rest:
-            fitting = [g for g in gaps if g >= size]
-            if fitting:
-                gap = min(fitting)
-                key, often = gaps[gap].pop()
-                if not gaps[gap]:
-                    del gaps[gap]
-                used = min(rest, often)
-                if used < often:
-                    gaps.setdefault(gap, []).append((key, often - used))
-                gaps.setdefault(gap - size, []).append(((*key, k), used))
-                rest -= used
-            else:
-                each = capacity // size
-                full, more = divmod(rest, each)
-                if full:
-                    made.append((capacity - each * size, ((k,) * each, full)))
-                if more:
-                    made.append((capacity - more * size, ((k,) * more, 1)))
-                rest = 0
-        for gap, group in made:
-            gaps.setdefault(gap, []).append(group)
-    out = []
-    for groups in gaps.values():
-        for key, often in groups:
-            times = {k: key.count(k) for k in key}
-            out.append((tuple(sorted(times.items())), often))
-    return out
+def configurations(sizes: np.ndarray, counts: np.ndarray, capacity: int, long: float = LONG[0], step: float = STEP, rate: float = RATE) -> list[tuple[tuple, int]]:
+    """Whole uses of configurations (tuples of (index, times)) that serve all of ``counts``.
+
+    Each round prices the lengths by the share of them that is left, fills one table, and takes from it the
+    best configuration around every length, each for at most ``step`` of that length, rounded up to whole
+    uses. A configuration that leaves more room than the round allows waits for other prices; the allowance
+    grows when little was placed."""
+    left, plan, allowed = counts.copy(), {}, 0
+    while left.any():
+        at = np.flatnonzero(left)
+        some, own = sizes[at], left[at].copy()
+        # a long piece is worth more a token than short ones, which fit in anywhere later
+        values = some * (some / capacity) ** long * np.exp(rate * own / counts[at])
+        best, pick = knapsack(values, some, capacity)
+        placed, before = 0, int(some @ own)
+        for k in range(len(some) - 1, -1, -1):
+            if not own[k]:
+                continue
+            found = configuration(k, values, some, own, best, pick, capacity)
+            room = capacity - sum(int(some[i]) * n for i, n in found.items())
+            if room > allowed:
+                continue
+            often = int(min(max(1, -(-int(counts[at[k]]) * step // 1)), *(own[i] // n for i, n in found.items())))
+            if often:
+                key = tuple(sorted((int(at[i]), n) for i, n in found.items()))
+                plan[key] = plan.get(key, 0) + often
+                for i, n in found.items():
+                    own[i] -= often * n
+                placed += often * (capacity - room)
+        left[at] = own
+        if placed < PROGRESS * before:
+            allowed = min(capacity, allowed + 1 + allowed // GROWTH)
+    return list(plan.items())
 
 
 def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[str, np.ndarray], int]:
@@ -234,11 +223,11 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[str
     lengths = sorted(size for size in histogram if size < capacity)
     sizes, counts = np.array(lengths, dtype=np.int64), np.array([histogram[x] for x in lengths], dtype=np.int64)
     plan: list[tuple[tuple, int]] = []
-    if lengths:
-        plan, left = rounded(configurations(sizes, counts, capacity), counts)
-        plan += best_fit(sizes, left, capacity)
-        # on few or awkward lengths rounding can cost more than the program gains
-        plan = min(plan, best_fit(sizes, counts, capacity), key=lambda groups: sum(often for _, often in groups))
+    for long in LONG if lengths else ():
+        found = configurations(sizes, counts, capacity, long)
+        plan = min(plan or found, found, key=lambda groups: sum(often for _, often in groups))
+        if sum(often for _, often in plan) <= (1 + NEAR) * float(sizes @ counts) / capacity:
+            break
     places, used, sequences = [], dict.fromkeys(range(len(sizes)), 0), 0
     for key, often in plan:
         offset = 0
@@ -255,11 +244,12 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[dict[str
 
 def with_length_rank(pieces: DataFrame, rows: int) -> DataFrame:
     """Adds ``rank`` within ``length``, counted in parts and shifted by the parts before."""
-    parts = max(1, -(-rows // PART_ROWS))
+    usual = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(usual, -(-rows // PART_ROWS)))
     salted = pieces.withColumn("_part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)))
     before = F.sum("_n").over(W.partitionBy("length").orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
     shift = salted.groupBy("length", "_part").agg(F.count("*").alias("_n")).withColumn("_shift", F.coalesce(before, F.lit(0))).drop("_n")
-    place = F.row_number().over(W.partitionBy("length", "_part").orderBy("doc_id", "piece")) - 1
+    place = F.row_number().over(W.partitionBy("length", "_part").orderBy("doc_id", "piece", "ids_crc32")) - 1
     return salted.withColumn("rank", place).join(shift, ["length", "_part"]).withColumn("rank", F.col("rank") + F.col("_shift")).drop("_part", "_shift")
 
 

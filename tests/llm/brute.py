@@ -258,3 +258,38 @@ def clusters(rows: list[tuple], count: int, rounds: int, scale: int = 256) -> li
     for _, k, d in done:
         part[k] += d
     return [(i, k, d, part[k], sum(part.values()), sha(",".join(map(str, centroids[k])))) for i, k, d in done]
+
+
+def best_fit(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[tuple, int]]:
+    """Best fit, longest first, on counts: groups of alike sequences share each step."""
+    gaps: dict[int, list[tuple[tuple, int]]] = {}
+    for k in range(len(sizes) - 1, -1, -1):
+        size, rest, made = int(sizes[k]), int(counts[k]), []
+        while rest:
+            fitting = [g for g in gaps if g >= size]
+            if fitting:
+                gap = min(fitting)
+                key, often = gaps[gap].pop()
+                if not gaps[gap]:
+                    del gaps[gap]
+                used = min(rest, often)
+                if used < often:
+                    gaps.setdefault(gap, []).append((key, often - used))
+                gaps.setdefault(gap - size, []).append(((*key, k), used))
+                rest -= used
+            else:
+                each = capacity // size
+                full, more = divmod(rest, each)
+                if full:
+                    made.append((capacity - each * size, ((k,) * each, full)))
+                if more:
+                    made.append((capacity - more * size, ((k,) * more, 1)))
+                rest = 0
+        for gap, group in made:
+            gaps.setdefault(gap, []).append(group)
+    out = []
+    for groups in gaps.values():
+        for key, often in groups:
+            times = {k: key.count(k) for k in key}
+            out.append((tuple(sorted(times.items())), often))
+    return out

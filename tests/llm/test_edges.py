@@ -1,5 +1,6 @@
 """Empty tables, repeated rows, NULL ids, extra columns with clashing names, and parts on their own."""
 
+import brute
 import numpy as np
 import pytest
 from odd_tables import SCHEMA, odd_rows, write
@@ -160,10 +161,25 @@ def test_packing_of_histograms(seed):
         used[length] = rank + uses
     assert used == {k: n for k, n in histogram.items() if k < 2048}
     sizes = np.array(sorted(used))
-    plain = packing.best_fit(sizes, np.array([used[k] for k in sizes.tolist()]), 2048)
+    plain = brute.best_fit(sizes, np.array([used[k] for k in sizes.tolist()]), 2048)
     assert sum(k * n for k, n in used.items()) / 2048 <= sequences <= sum(often for _, often in plain)
 
 
+@pytest.mark.parametrize("times", [1, 100])
+def test_the_program_places_every_piece_of_a_large_histogram(times):
+    rng = np.random.default_rng(9)
+    found = np.unique(np.minimum(2047, np.maximum(1, rng.lognormal(6.2, 1.0, 4000).astype(int))), return_counts=True)
+    sizes, counts = found[0], found[1] * times
+    used, sequences = np.zeros(len(sizes), int), 0
+    for key, often in packing.configurations(sizes, counts, 2048):
+        assert sum(int(sizes[k]) * n for k, n in key) <= 2048
+        sequences += often
+        for k, n in key:
+            used[k] += often * n
+    assert (used == counts).all()
+    assert sequences <= 1.002 * float(sizes @ counts) / 2048 + 1
+
+
 def test_token_ids_on_request(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     row = packing.tokenized_pieces(docs, tokenizer_path(), with_ids=True).first()
