@@ -1,18 +1,23 @@
 """Personal data: base patterns, then bootstrapped contextual extraction.
 
 Base spans come from one regular expression per kind with its check. They are the seeds. The words
-around a seed make lexical patterns (one or two words before, one after, both sides); words that look
-like identifiers but are no base span are the candidates. A pattern's confidence for a kind is the
-mean trust of the different values it surrounds, seeds counting 1; a value's trust is one minus the
-product of its patterns' doubts. Patterns and values are scored in turn for a fixed number of rounds;
-values trusted at the end become spans wherever they stand. All of it is expressions, joins and
-partial aggregations on tables of occurrences; texts are read once and never shuffled.
+around a seed make lexical patterns (one or two words before, one after, both sides); words with a
+digit or an @ that are no base span are the candidates of the kinds their shape allows, and known
+non-identifiers if it allows none. A pattern's support for a kind is the trust of the different values
+of that kind it surrounds, seeds counting 1; its confidence is that support over the support for all
+kinds, its non-identifiers and one more for what it has not shown yet. Candidates not trusted so far
+speak neither for nor against a pattern, so one that finds many unseen values is not doubted for it.
+A value's trust is one minus the product of its patterns' doubts. Patterns and values are scored in
+turn for a fixed number of rounds; values trusted at the end become spans wherever they stand. All of it
+is expressions, joins and partial aggregations on tables of occurrences; texts are read once and never
+shuffled.
 
 Positions are code points, ends exclusive. The expressions below have no repeated groups and start
 only where a match can start, so no text makes them overflow the stack or take quadratic time.
 
 Defined cases: NULL and empty texts have no spans; equal rows get equal spans; a NULL id is a
-document like any other; values found under two kinds keep the more trusted, then the first listed.
+document like any other; values found under two kinds keep the more trusted, then the first listed; an
+empty table has no rows; other columns, whatever their names, are not read; long texts are read whole.
 """
 
 from __future__ import annotations
@@ -26,6 +31,8 @@ from edaphon.llm.base import materialise
 KINDS = ("email", "ip", "card", "phone")
 #: Stands for a joint inside a match, so that the expressions need no groups; same length as before.
 JOINT, OTHER = "\x01", "\x02"
+#: Kind of a word that cannot be an identifier.
+NONE = -1
 
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.7
@@ -201,22 +208,33 @@ def contexts(x: Column) -> Column:
 
 
 def graph(scanned: DataFrame) -> DataFrame:
-    """Distinct edges (pattern, kind, value, seed): a seed speaks for its kind and against the others."""
-    everyone = F.array(*[F.lit(k) for k in range(len(KINDS))])
+    """Distinct edges (pattern, kind, value, seed) between patterns and what they surround; non-identifiers have
+    kind ``NONE`` and are no seeds."""
     seeds = scanned.select(F.explode("base").alias("x")).select(
-        F.explode(contexts(F.col("x"))).alias("pattern"), F.lower("x.value").alias("value"), F.col("x.kind").alias("own")
-    )
-    seeds = seeds.select("pattern", "value", F.explode(everyone).alias("kind"), "own").select(
-        "pattern", "kind", "value", F.when(F.col("kind") == F.col("own"), 1.0).otherwise(0.0).alias("seed")
+        F.explode(contexts(F.col("x"))).alias("pattern"), F.col("x.kind").alias("kind"), F.lower("x.value").alias("value"), F.lit(True).alias("seed")
     )
     others = scanned.select(F.explode("candidates").alias("x")).select(
         F.explode(contexts(F.col("x"))).alias("pattern"), F.lower("x.value").alias("value"), fits_kind(F.col("x.value")).alias("kinds")
     )
-    others = others.select("pattern", F.explode("kinds").alias("kind"), "value", F.lit(None).cast("double").alias("seed"))
+    kinds = F.when(F.size("kinds") > 0, F.col("kinds")).otherwise(F.array(F.lit(NONE)))
+    others = others.select("pattern", F.explode(kinds).alias("kind"), "value", F.lit(False).alias("seed"))
     return seeds.union(others).groupBy("pattern", "kind", "value").agg(F.max("seed").alias("seed"))
 
 
-def score(
+def pattern_scores(edges: DataFrame, trusted: DataFrame | None) -> DataFrame:
+    """Per pattern and kind its support and confidence: (pattern, kind, support, confidence)."""
+    rows = edges.withColumn("trust", F.lit(0.0)) if trusted is None else edges.join(trusted, ["value", "kind"], "left")
+    known = F.col("seed") | (F.col("kind") == NONE)
+    weight = F.when(known, 1.0).otherwise(F.coalesce("trust", F.lit(0.0)))
+    per_kind = [F.sum(F.when(F.col("kind") == k, weight).otherwise(0.0)).alias(f"s{k}") for k in range(len(KINDS))]
+    sums = rows.groupBy("pattern").agg(F.sum(weight).alias("all"), *per_kind)
+    supports = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"s{k}").alias("support")) for k in range(len(KINDS))])
+    return sums.select("pattern", "all", F.inline(supports)).select(
+        "pattern", "kind", "support", (F.col("support") / (F.col("all") + 1)).alias("confidence")
+    )
+
+
+def value_trust(
     edges: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS,
     min_confidence: float = MIN_CONFIDENCE, min_trust: float = MIN_TRUST,
 ) -> DataFrame:
@@ -224,24 +242,23 @@ def score(
     edges = materialise(edges, "pii-edges")
     trusted = None
     for _ in range(rounds):
-        rows = edges if trusted is None else edges.join(trusted, ["value", "kind"], "left")
-        trust = F.coalesce("seed", *([] if trusted is None else ["trust"]), F.lit(0.0))
-        patterns = (
-            rows.groupBy("pattern", "kind")
-            .agg(F.avg(trust).alias("confidence"), F.sum(trust).alias("support"))
-            .filter((F.col("support") >= min_seeds) & (F.col("confidence") >= min_confidence))
-        )
-        doubt = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9))))
+        patterns = pattern_scores(edges, trusted).filter((F.col("support") >= min_seeds) & (F.col("confidence") >= min_confidence))
+        doubt = F.sum(F.log(1 - F.col("confidence")))
         trusted = materialise(
-            edges.filter("seed is null")
+            edges.filter(~F.col("seed"))
             .join(patterns, ["pattern", "kind"])
             .groupBy("value", "kind")
             .agg((1 - F.exp(doubt)).alias("trust"))
             .filter(F.col("trust") >= min_trust),
             "pii-trusted",
         )
+    return trusted
+
+
+def score(edges: DataFrame, **options) -> DataFrame:
+    """The trusted values with the kind that is trusted most: (value, kind)."""
     best = F.min(F.struct((-F.col("trust")).alias("t"), "kind"))
-    return trusted.groupBy("value").agg(best.alias("best")).select("value", F.col("best.kind").alias("kind"))
+    return value_trust(edges, **options).groupBy("value").agg(best.alias("best")).select("value", F.col("best.kind").alias("kind"))
 
 
 def find_personal_data(docs: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -293,3 +293,23 @@ def best_fit(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple
             times = {k: key.count(k) for k in key}
             out.append((tuple(sorted(times.items())), often))
     return out
+
+
+def value_trust(edges: list[tuple], rounds: int = 3, min_seeds: int = 3, min_confidence: float = 0.7, min_trust: float = 0.8) -> dict:
+    """Bootstrapping on distinct edges (pattern, kind, value, seed): trust by (value, kind)."""
+    trusted: dict = {}
+    for _ in range(rounds):
+        confident = {}
+        for pattern in {e[0] for e in edges}:
+            around = [e for e in edges if e[0] == pattern]
+            weight = [1.0 if seed or kind == -1 else trusted.get((value, kind), 0.0) for _, kind, value, seed in around]
+            for k in range(4):
+                support = sum(w for w, e in zip(weight, around) if e[1] == k)
+                if support >= min_seeds and support / (sum(weight) + 1) >= min_confidence:
+                    confident[pattern, k] = support / (sum(weight) + 1)
+        doubts: dict = {}
+        for pattern, kind, value, seed in edges:
+            if not seed and (pattern, kind) in confident:
+                doubts[value, kind] = doubts.get((value, kind), 1.0) * (1 - confident[pattern, kind])
+        trusted = {key: 1 - doubt for key, doubt in doubts.items() if 1 - doubt >= min_trust}
+    return trusted
