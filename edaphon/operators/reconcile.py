@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from edaphon.functions.keys import blank_to_null, with_snake_names
 from edaphon.operators.quality import key_census
+from edaphon.session import materialise
 from edaphon.sources.lab_tables import KEY, LAB_TARGETS
 
 # Columns that describe a measurement file and do not reach Silver.
@@ -18,55 +19,73 @@ LINEAGE_COLUMNS = [
 ]
 
 
-HOT_ROWS = 1_000_000  # a key with more rows than this in one table is spread over several tasks
-HOT_KEYS = 10_000  # the hottest keys that are; any other holds less than a ten-thousandth of the rows
-SALTS = 64
+#: Rows of one key that a task may read or join. What a key exceeds it by, on either side or in the product of both,
+#: is dealt to more tasks, however many that takes.
+HOT_ROWS = 1_000_000
 
 
-def hot_keys(tables: dict[str, DataFrame], key: str = KEY, hot_rows: int = HOT_ROWS) -> dict[str, list]:
-    """The keys with many rows, per table. Counts are added up before the shuffle."""
-    census = key_census(tables, key)
-    most = F.greatest(*[F.col(t) for t in tables]) if len(tables) > 1 else F.col(next(iter(tables)))
-    hot = census.filter(F.col("key").isNotNull() & (most > hot_rows)).orderBy(most.desc(), "key").limit(HOT_KEYS)
-    rows = hot.collect()
-    return {t: [r["key"] for r in rows if r[t] > hot_rows] for t in tables}
+def hot_cells(counts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``(_hot, _cut_l, _cut_r, _both)`` for the keys to spread, from ``(key, n_left, n_right)``.
+
+    The rows of a key form a grid: its left rows cut into ``_cut_l`` chunks, its right rows into
+    ``_cut_r``, a task per cell. A cell joins at most about ``hot_rows`` pairs, so the copies this
+    takes are a small part of the pairs themselves.
+    """
+    most, n_l, n_r = float(max(hot_rows, 1)), F.col("n_left").cast("double"), F.col("n_right").cast("double")
+    other_l, other_r = F.greatest(n_r, F.lit(1.0)), F.greatest(n_l, F.lit(1.0))
+    side = F.lit(most**0.5)
+
+    def cuts(rows: Column, others: Column) -> Column:
+        return F.greatest(F.ceil(rows / F.greatest(side, F.lit(most) / others)), F.lit(1)).cast("int")
+
+    return counts.filter(F.col("key").isNotNull() & (other_l * other_r > hot_rows)).select(
+        F.col("key").alias("_hot"), cuts(n_l, other_l).alias("_cut_l"), cuts(n_r, other_r).alias("_cut_r"),
+        ((n_l > 0) & (n_r > 0)).alias("_both"),
+    )
 
 
-def full_outer(left: DataFrame, right: DataFrame, key: str = KEY, hot_left: list = (), hot_right: list = (),
-               salts: int = SALTS) -> DataFrame:
+def full_outer(left: DataFrame, right: DataFrame, key: str = KEY, hot: DataFrame | None = None) -> DataFrame:
     """Full outer join on ``key``, every row kept and duplicates multiplied.
 
-    The join runs on a stand-in for the key. Rows without a key match nothing, so each side's are
-    spread over stand-ins the other side does not have. The rows of a hot key are spread over
-    salted stand-ins, and the other side's rows with that key are repeated for each salt; since a
-    hot key does occur on its side, a repeated row that matched nothing is a leftover of the
-    spreading and is dropped. Columns other than the key must have different names on the sides.
+    Rows without a key match nothing, so each side's are spread over cells the other side does not
+    have. The rows of a key in ``hot`` (``hot_cells``) are dealt to the chunks of their side by a
+    digest of the row and repeated for every chunk of the other side. A key that both sides have
+    leaves no row unmatched, so what finds no partner in its cell is a leftover of the spreading and
+    is dropped. The table of hot keys is as long as the output has multiples of ``hot_rows``; Spark
+    joins it as it joins any other. Columns other than the key must have different names on the sides.
     """
-    hot_right = [k for k in hot_right if k not in set(hot_left)]
 
-    def stood_in(df: DataFrame, side: str, own_hot: list, other_hot: list) -> DataFrame:
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
         k, spread = F.col(key), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        stand_in = F.when(k.isNull(), F.concat(F.lit(f"\0{side}"), F.pmod(spread, F.lit(1024)).cast("string")))
-        if own_hot:
-            salted = F.concat(k, F.lit("\0"), F.pmod(spread, F.lit(salts)).cast("string"))
-            stand_in = stand_in.when(k.isin(own_hot), salted)
-        stand_in = stand_in.otherwise(k)
-        if other_hot:
-            each = F.array(*[F.concat(k, F.lit(f"\0{i}")) for i in range(salts)])
-            stand_in = F.explode(F.when(k.isin(other_hot), each).otherwise(F.array(stand_in)))
-        return df.withColumn("_on", stand_in).withColumnRenamed(key, f"_key_{side}")
-
-    joined = stood_in(left, "l", list(hot_left), hot_right).join(
-        stood_in(right, "r", hot_right, list(hot_left)), "_on", "full_outer"
-    )
-    in_left, in_right = F.col("_key_l"), F.col("_key_r")
-    if hot_left:
-        joined = joined.filter(~(in_left.isNull() & F.coalesce(in_right.isin(list(hot_left)), F.lit(False))))
-    if hot_right:
-        joined = joined.filter(~(in_right.isNull() & F.coalesce(in_left.isin(hot_right), F.lit(False))))
-    named = joined.withColumn(key, F.coalesce(in_left, in_right))
+        # rows without a key: cells below zero, left and right apart
+        without = -F.pmod(spread, F.lit(1024)).cast("int") * 2 - (1 if own == "l" else 2)
+        none, zero = k.isNull(), F.lit(0)
+        named = df.withColumn("_spread", spread)
+        if hot is None:
+            named = named.withColumns({"_chunk": F.when(none, without).otherwise(zero), "_copy": zero, f"_both_{own}": F.lit(False)})
+        else:
+            named = named.join(hot, k == F.col("_hot"), "left")
+            spread_out = F.pmod(F.col("_spread"), F.col(f"_cut_{own}")).cast("int")
+            copies = F.sequence(zero, F.coalesce(f"_cut_{other}", F.lit(1)) - 1)
+            named = named.withColumns(
+                {
+                    "_chunk": F.when(none, without).otherwise(F.coalesce(spread_out, zero)),
+                    "_copy": F.explode(copies),
+                    f"_both_{own}": F.coalesce("_both", F.lit(False)),
+                }
+            )
+        cell = ("_chunk", "_copy") if own == "l" else ("_copy", "_chunk")
+        # both parts of the cell are below zero without a key, whichever side
+        cells = [F.when(none, without).otherwise(F.col(c)).alias(f"_cell{i}") for i, c in enumerate(cell)]
+        rest = [F.col(f"`{c}`") for c in df.columns if c != key]
+        return named.select(F.coalesce(k, F.lit("")).alias("_on"), *cells, k.alias(f"_key_{own}"), f"_both_{own}", *rest)
+
+    joined = dealt(left, "l", "r").join(dealt(right, "r", "l"), ["_on", "_cell0", "_cell1"], "full_outer")
+    if hot is not None:
+        alone = F.col("_both_l").isNull() | F.col("_both_r").isNull()
+        joined = joined.filter(~(alone & F.coalesce("_both_l", "_both_r")))
     rest = [c for c in (*left.columns, *right.columns) if c != key]
-    return named.select(key, *[F.col(f"`{c}`") for c in rest])
+    return joined.select(F.coalesce("_key_l", "_key_r").alias(key), *[F.col(f"`{c}`") for c in rest])
 
 
 def present_targets(labs: list[DataFrame], targets: list[str] = LAB_TARGETS) -> list[str]:
@@ -75,15 +94,24 @@ def present_targets(labs: list[DataFrame], targets: list[str] = LAB_TARGETS) ->
 
 
 def lab_join(labs: dict[str, DataFrame], targets: list[str] = LAB_TARGETS, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The laboratories side by side, columns prefixed by laboratory, one row per combination."""
-    hot = hot_keys(labs, KEY, hot_rows)
-    joined, joined_hot, names = None, [], []
+    """The laboratories side by side, columns prefixed by laboratory, one row per combination.
+
+    One count per key and table tells how many rows each join makes of a key, so a key that is
+    moderate everywhere but large as a product is spread like one that is large in a table.
+    """
+    census = materialise(key_census(labs, KEY), "lab-keys")
+    joined, rows, names = None, None, []
     for name, lab in labs.items():
         kept = [t for t in targets if t in lab.columns]
         renamed = lab.select(KEY, *[F.col(f"`{t}`").alias(f"{name}:{t}") for t in kept])
         names += renamed.columns[1:]
-        joined = renamed if joined is None else full_outer(renamed, joined, KEY, hot[name], joined_hot)
-        joined_hot = sorted({*joined_hot, *hot[name]})
+        own = F.col(f"`{name}`").cast("double")
+        if joined is None:
+            joined, rows = renamed, own
+            continue
+        cells = materialise(hot_cells(census.select("key", own.alias("n_left"), rows.alias("n_right")), hot_rows), "hot-keys")
+        joined = full_outer(renamed, joined, KEY, None if cells.isEmpty() else cells)
+        rows = F.when((own > 0) | (rows > 0), F.greatest(own, F.lit(1.0)) * F.greatest(rows, F.lit(1.0))).otherwise(0.0)
     return joined.select(KEY, *[F.col(f"`{n}`") for n in names])
 
 

@@ -7,7 +7,7 @@ from edaphon.functions.spectrum import narrow, widen
 from edaphon.operators import gold as O
 from edaphon.operators import quality as Q
 from edaphon.operators.dedup import first_per_key, without_repeats
-from edaphon.operators.reconcile import coalesced_targets, full_outer, lab_join, merged_labs, silver_master
+from edaphon.operators.reconcile import coalesced_targets, full_outer, hot_cells, lab_join, merged_labs, silver_master
 from edaphon.sources.lab_tables import LAB_TARGETS
 
 NAN = float("nan")
@@ -48,12 +48,47 @@ def test_full_outer_with_hot_keys(spark, seed, hot_rows):
     assert sorted_rows(lab_join(labs, hot_rows=hot_rows)) == sorted_rows(plain_join(labs))
 
 
-@pytest.mark.parametrize("hot", [([], []), (["a"], []), ([], ["a"]), (["a"], ["a", "b"]), (["a", "x"], ["b"])])
-def test_full_outer_sides(spark, hot):
-    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("x", 5)], "SSN string, l int")
-    right = spark.createDataFrame([("a", 10), ("b", 20), ("b", 21), (None, 30), ("c", 40)], "SSN string, r int")
-    got = full_outer(left, right, "SSN", *hot, salts=5)
-    assert sorted_rows(got) == sorted_rows(left.join(right, "SSN", "full_outer"))
+@pytest.mark.parametrize("hot_rows", [0, 1, 2, 3, 100])
+def test_full_outer_sides(spark, hot_rows):
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4), ("x", 5), ("x", 5), ("", 6)], "SSN string, l int")
+    right = spark.createDataFrame([("a", 10), ("b", 20), ("b", 21), (None, 30), ("c", 40), ("a", 10)], "SSN string, r int")
+    census = Q.key_census({"n_left": left, "n_right": right})
+    want = sorted_rows(left.join(right, "SSN", "full_outer"))
+    assert sorted_rows(full_outer(left, right, "SSN", hot_cells(census, hot_rows))) == want
+    assert sorted_rows(full_outer(left, right, "SSN")) == want
+
+
+def test_key_that_is_hot_as_a_product_is_spread(spark):
+    """300 rows on each side: under the limit in either table, 90,000 pairs together."""
+    left = spark.range(300).select(F.expr("substring('kk', 1 + int(id % 2), 1)").alias("SSN"), F.col("id").alias("l"))
+    right = spark.range(300).select(F.expr("substring('kk', 1 + int(id % 2), 1)").alias("SSN"), F.col("id").alias("r"))
+    cells = hot_cells(Q.key_census({"n_left": left, "n_right": right}), 1000)
+    row = cells.first()
+    assert row["_both"] and row["_cut_l"] == row["_cut_r"] == 10
+    assert full_outer(left, right, "SSN", cells).distinct().count() == 90_000
+    # or these few rows would be broadcast, and put together again after a shuffle
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        for hot, alone in ((cells, False), (None, True)):
+            joined = full_outer(left, right, "SSN", hot)
+            sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+            assert sum(sizes) == 90_000 and (len(sizes) == 1) == alone and (max(sizes) < 60_000) != alone
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_cells_hold_few_pairs(spark):
+    counts = [("big", 10**9, 1), ("one_side", 10**9, 0), ("both", 10**7, 10**7), ("cold", 900, 900), (None, 10**9, 10**9)]
+    got = {r["_hot"]: r for r in hot_cells(spark.createDataFrame(counts, "key string, n_left long, n_right long")).collect()}
+    assert got.keys() == {"big", "one_side", "both"} and not got["one_side"]["_both"]
+    for key, n_left, n_right in counts[:3]:
+        r = got[key]
+        assert n_left / r["_cut_l"] * max(n_right, 1) / r["_cut_r"] <= 1_000_000
+        copies = n_left * (r["_cut_r"] - 1) + n_right * (r["_cut_l"] - 1)
+        assert copies <= n_left * max(n_right, 1) / 400
 
 
 @pytest.mark.parametrize("seed", range(4))
