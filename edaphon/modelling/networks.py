@@ -1,9 +1,11 @@
 """Feed-forward regression networks trained by data-parallel rounds.
 
-Rows are dealt to shards of bounded size by the digest of their key. In each round every shard
-runs one epoch of Adam in minibatches from the common weights, and Spark averages the shards'
+Rows are dealt to shards of a fixed size by a digest, whatever their number. In each round every
+shard runs one epoch of Adam in minibatches from the common weights, and Spark averages the shards'
 results by their rows. All networks of a call train in the same pass over the data; what travels is
-their weights. With one shard this is plain minibatch Adam.
+their weights. Where there are fewer shards than the cluster runs tasks, the networks are dealt to
+groups and each group gets its own copy of the shards: a task then trains one group on one shard. Neither
+the groups nor the batches rows arrive in touch the result, since a task holds its whole shard.
 """
 
 from __future__ import annotations
@@ -25,7 +27,8 @@ from edaphon.modelling.moments import matrix_of
 # Training defaults.
 BATCH, VALID_SHARE, PATIENCE, TOLERANCE = 200, 0.1, 10, 1e-4
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
-SHARD_ROWS = 500_000
+#: Rows of a shard, held by its task: 80 components take 5 MB.
+SHARD_ROWS = 8192
 
 
 @dataclass
@@ -114,31 +117,42 @@ class History:
 ROUND = "net int, n double, part array<double>, loss double, valid array<double>"
 
 
-def sharded(rows: DataFrame, shards: int, key: str, size: int, seed: int) -> DataFrame:
-    """Training rows dealt to shards, in digest order, with the validation rows marked. The deal
-    looks at the whole row, so a repeated key does not fill one shard."""
+def network_groups(networks: int, shards: int, tasks: int) -> int:
+    """Into how many groups networks are dealt, so that groups times shards keep ``tasks`` tasks busy."""
+    return max(1, min(networks, -(-tasks // shards)))
+
+
+def sharded(rows: DataFrame, shards: int, groups: int, key: str, size: int, seed: int) -> DataFrame:
+    """Training rows dealt to shards, in digest order, with the validation rows marked, once for each
+    group of networks: a partition per group and shard. The deal looks at the whole row, so a repeated
+    key does not fill one shard."""
     digest = seeded_md5(F.col(key), f"net{seed}")
     deal = F.xxhash64(key, "y", "features", F.lit(seed))
     dealt = rows.select(
         F.concat(F.substring(digest, 9, 8), F.hex(deal)).alias("_order"),
         F.pmod(deal, F.lit(shards)).cast("int").alias("_shard"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("_group"),
         (hex_uniform(digest) < VALID_SHARE).alias("_valid"),
         "y",
         F.slice("features", 1, size).alias("features"),
     )
-    return dealt.repartitionById(shards, "_shard").sortWithinPartitions("_order")
+    task = F.col("_group") * shards + F.col("_shard")
+    return dealt.repartitionById(shards * groups, task).sortWithinPartitions("_order")
 
 
 def train_networks(rows: DataFrame, n_rows: int, networks: list[Network], key: str = "ssn", rounds: int = 1500,
-                   seed: int = 42, shard_rows: int = SHARD_ROWS) -> History:
+                   seed: int = 42, shard_rows: int = SHARD_ROWS, tasks: int | None = None) -> History:
     """Trains ``networks`` in place on the ``n_rows`` rows ``(key, y, features)`` and stops early.
+    ``tasks`` is how many to keep busy, by default what the cluster runs at once.
 
     Ten rounds without a better validation score end a network's training, its best weights stay.
     The driver holds weights only.
     """
     size = max(n.inputs for n in networks)
-    data = sharded(rows, max(1, -(-n_rows // shard_rows)), key, size, seed).persist()
     context = rows.sparkSession.sparkContext
+    shards = max(1, -(-n_rows // shard_rows))
+    groups = network_groups(len(networks), shards, tasks or context.defaultParallelism)
+    data = sharded(rows, shards, groups, key, size, seed).persist()
     states = [np.stack([w, np.zeros_like(w), np.zeros_like(w)]) for w in (n.initial(seed) for n in networks)]
     steps, stale = [0] * len(networks), [0] * len(networks)
     best = [(-np.inf, s[0].copy()) for s in states]
@@ -146,7 +160,7 @@ def train_networks(rows: DataFrame, n_rows: int, networks: list[Network], key: s
     try:
         for number in range(rounds + 1):
             shared = context.broadcast({i: (networks[i].settings, states[i], steps[i]) for i in open_nets})
-            results = data.mapInArrow(_round(shared, size, seed + number), ROUND)
+            results = data.mapInArrow(_round(shared, groups, size, seed + number), ROUND)
             total = Summarizer.sum(array_to_vector("part"))
             sums = results.groupBy("net").agg(
                 F.sum("n").alias("n"),
@@ -166,7 +180,8 @@ def train_networks(rows: DataFrame, n_rows: int, networks: list[Network], key: s
                 stale[i] = 0 if score[i] > best[i][0] + TOLERANCE else stale[i] + 1
                 if score[i] > best[i][0]:
                     best[i] = (score[i], states[i][0].copy())
-                states[i] = (np.asarray(r["part"]) / n).reshape(3, -1)
+                if n:
+                    states[i] = (np.asarray(r["part"]) / n).reshape(3, -1)
                 steps[i] = int(r["steps"])
             shared.unpersist()
             history.loss.append(loss)
@@ -181,31 +196,30 @@ def train_networks(rows: DataFrame, n_rows: int, networks: list[Network], key: s
     return history
 
 
-def _round(shared, size: int, seed: int):
-    """One epoch of every network over the rows of a shard."""
+def _round(shared, groups: int, size: int, seed: int):
+    """One epoch of a group's networks over the rows of a shard, gathered first: a shard is small."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        nets = {i: (Network(*settings), state, step) for i, (settings, state, step) in shared.value.items()}
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        x = np.concatenate([matrix_of(b.column("features"), size) for b in parts])
+        y, held = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in parts]) for c in ("y", "_valid"))
+        group = parts[0].column("_group")[0].as_py()
+        nets = {i: (Network(*settings), state, step) for i, (settings, state, step) in shared.value.items() if i % groups == group}
         local = {i: [net, state.copy(), step] for i, (net, state, step) in nets.items()}
-        count, loss = 0, dict.fromkeys(nets, 0.0)
+        count, loss = int((~held).sum()), dict.fromkeys(nets, 0.0)
         valid = {i: np.zeros(4) for i in nets}
-        rng = np.random.default_rng(seed)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            x, y = matrix_of(batch.column("features"), size), batch.column("y").to_numpy(zero_copy_only=False)
-            held = batch.column("_valid").to_numpy(zero_copy_only=False)
-            if held.any():
-                for i, (net, state, _) in nets.items():
-                    error = y[held] - net.forward(state[0], x[held][:, : net.inputs])[-1][:, 0]
-                    valid[i] += [held.sum(), error @ error, y[held].sum(), y[held] @ y[held]]
-            order = rng.permutation(np.flatnonzero(~held))
-            for start in range(0, len(order), BATCH):
-                rows = order[start : start + BATCH]
-                count += len(rows)
-                for i, one in local.items():
-                    one[2] += 1
-                    loss[i] += adam_step(one[0], one[1], x[rows], y[rows], one[2])
+        if held.any():
+            for i, (net, state, _) in nets.items():
+                error = y[held] - net.forward(state[0], x[held][:, : net.inputs])[-1][:, 0]
+                valid[i] += [held.sum(), error @ error, y[held].sum(), y[held] @ y[held]]
+        order = np.random.default_rng(seed).permutation(np.flatnonzero(~held))
+        for start in range(0, len(order), BATCH):
+            rows = order[start : start + BATCH]
+            for i, one in local.items():
+                one[2] += 1
+                loss[i] += adam_step(one[0], one[1], x[rows], y[rows], one[2])
         for i, (_, state, step) in local.items():
             part = (state * count).ravel()
             yield pa.RecordBatch.from_arrays(

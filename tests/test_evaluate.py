@@ -8,7 +8,7 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
 from edaphon.modelling import score as R
-from edaphon.modelling.networks import Network, predict_networks, train_networks
+from edaphon.modelling.networks import Network, network_groups, predict_networks, sharded, train_networks
 from edaphon.modelling.trees import regressor, tree_depth
 from edaphon.plans import evaluate as E
 from edaphon.plans import scoring
@@ -62,6 +62,58 @@ def test_networks_are_reproducible(spark):
     assert np.allclose(first.weights, second.weights, atol=1e-9)
 
 
+def test_networks_are_dealt_to_tasks(spark):
+    """More groups of networks are more tasks, each with some rows, and the same weights."""
+    rows, _, _ = rows_of(spark, 500)
+    trained = []
+    for tasks in (1, 6, 100):
+        nets = [Network(4, (6 + i,), "relu", 1e-4, 1e-2) for i in range(3)]
+        train_networks(rows, 500, nets, rounds=3, shard_rows=200, tasks=tasks)
+        trained.append([n.weights for n in nets])
+    for other in trained[1:]:
+        assert all(np.allclose(a, b, atol=1e-9) for a, b in zip(trained[0], other))
+    assert [network_groups(3, 3, tasks) for tasks in (1, 6, 100)] == [1, 2, 3]
+    data = sharded(rows, 3, 2, "ssn", 4, 42)
+    filled = data.groupBy(F.spark_partition_id().alias("p")).agg(F.countDistinct("_group", "_shard").alias("n")).collect()
+    assert data.count() == 1000 and len(filled) == 6 and all(r["n"] == 1 for r in filled)
+
+
+def test_rounds_against_numpy(spark):
+    """Weights after each round, written out: epochs of Adam per shard from common weights, averaged by rows."""
+    rows, _, _ = rows_of(spark, 500)
+    net = Network(4, (6,), "tanh", 1e-3, 1e-2)
+    history = train_networks(rows, 500, [net], rounds=2, seed=5, shard_rows=200)
+    shards: dict = {}
+    for r in sharded(rows, 3, 1, "ssn", 4, 5).sort("_shard", "_order").collect():
+        shards.setdefault(r["_shard"], []).append(r)
+    w = net.initial(5)
+    state, step, seen = np.stack([w, 0 * w, 0 * w]), 0, [(-np.inf, w)]
+    for number in range(3):
+        parts, held, weights, loss, steps = [], [], [], 0.0, []
+        for own in shards.values():
+            x, y = np.array([r["features"] for r in own]), np.array([r["y"] for r in own])
+            valid = np.array([r["_valid"] for r in own])
+            held.append((y[valid], net.forward(state[0], x[valid])[-1][:, 0]))
+            mine, at = state.copy(), step
+            order = np.random.default_rng(5 + number).permutation(np.flatnonzero(~valid))
+            for start in range(0, len(order), 200):
+                chosen, at = order[start : start + 200], at + 1
+                grad, value = net.gradient(mine[0], x[chosen], y[chosen])
+                mine[1], mine[2] = 0.9 * mine[1] + 0.1 * grad, 0.999 * mine[2] + 0.001 * grad**2
+                rate = 1e-2 * np.sqrt(1 - 0.999**at) / (1 - 0.9**at)
+                mine[0] -= rate * mine[1] / (np.sqrt(mine[2]) + 1e-8)
+                loss += value
+            parts.append(mine)
+            weights.append(len(order))
+            steps.append(at)
+        y, yhat = (np.concatenate(side) for side in zip(*held))
+        score = 1 - ((y - yhat) ** 2).sum() / ((y - y.mean()) ** 2).sum()
+        assert np.isclose(history.score[number][0], score) and np.isclose(history.loss[number][0], loss / sum(weights))
+        seen.append((score, state[0].copy()))
+        state, step = sum(p * n for p, n in zip(parts, weights)) / sum(weights), max(steps)
+    assert np.allclose(net.weights, max(seen, key=lambda s: s[0])[1], atol=1e-9)
+
+
 def test_early_stopping(spark):
     rng = np.random.default_rng(0)
     noise = [(f"s{i}", float(rng.normal()), rng.normal(size=3).tolist()) for i in range(150)]
