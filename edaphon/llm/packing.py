@@ -41,7 +41,8 @@ STEP, RATE, PROGRESS, GROWTH = 0.1, 0.1, 0.01, 8
 LONG, NEAR = (0.1, 1.0, 3.0), 0.002
 #: Ranks of a length are counted in as many parts as there are partitions, from so many rows a part on.
 PART_ROWS = 5_000
-CACHE = 600_000
+#: Words a task remembers, words it learns at once, and characters it takes apart at once; they bound its memory.
+CACHE, LEARNED = 600_000, 20_000
 CHUNK_CHARS = 2_000_000
 
 SPACE = re.compile(r"\s").search
@@ -76,8 +77,12 @@ class Encoder:
         if SPACE("".join(words)):
             words = [w for w in words if not SPACE(w)]
         plain = [w for w in words if w]
+        for start in range(0, len(plain), LEARNED):  # what the library returns for a text is many times the text
+            self.learn_some(cache, plain[start : start + LEARNED], lead)
+
+    def learn_some(self, cache: dict, plain: list[str], lead: str) -> None:
         if lead:  # one text for all, taken apart where a word opens
-            ids = np.array(self.tokenizer.encode_batch_fast([lead + lead.join(plain)], add_special_tokens=False)[0].ids, dtype="<u4") if plain else np.zeros(0, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast([lead + lead.join(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
             at = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), 4 * len(ids)]
             if len(at) == len(plain) + 1:
                 body = ids.tobytes()
