@@ -44,6 +44,8 @@ SPACE = {
 LAYERS = [(64,), (128,), (128, 64), (256, 128)]
 ACTIVATIONS = ["relu", "tanh"]
 MIN_PCA, MIN_KBEST, MAX_PLS = 10, 30, 30
+#: Numbers of boosted trees in the space; one fit of the longest scores them all.
+LENGTHS = tuple(range(100, 501, 50))
 SMALLEST = 2  # components and features below which a target cannot be searched
 STARTUP_TRIALS, WARMUP_STEPS = 20, 1
 LINEAR = ["Ridge", "PLS", "ElasticNet", "ElasticNet_SelectKBest", "Lasso"]
@@ -92,6 +94,17 @@ def candidates(limits: DataFrame, n_trials: int = 100, seed: int = 42, models: l
     return trials.select("target", "trial", F.inline(F.array(*drawn))).select("target", "model", "trial", "params")
 
 
+def staged(drawn: DataFrame, lengths: tuple[int, ...] = LENGTHS) -> DataFrame:
+    """``candidates`` of boosted models with every number of trees: draw d at the i-th length is trial
+    ``d * len(lengths) + i``. Trials of one draw are the same fit, read at several lengths."""
+    every = F.posexplode(F.array(*[F.lit(float(n)) for n in lengths]))
+    each = drawn.select("*", every.alias("_place", "_trees"))
+    rest = F.map_filter("params", lambda name, _: name != "n_estimators")
+    params = F.map_concat(rest, F.create_map(F.lit("n_estimators"), "_trees"))
+    trial = (F.col("trial") * len(lengths) + F.col("_place")).cast("int")
+    return each.select("target", "model", trial.alias("trial"), params.alias("params"))
+
+
 def linear_weights(model: str, params: dict, row) -> tuple[str, int, np.ndarray]:
     """Weights on the principal components or on the best features, and how many of them."""
     if model == "ElasticNet_SelectKBest":

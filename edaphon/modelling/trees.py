@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame
@@ -14,6 +15,9 @@ from edaphon.session import shared_dir
 # Smallest leaf of the two families and their number of bins per feature.
 MIN_LEAF = {"XGBoost": 1, "LightGBM": 20}
 BINS = 256
+#: Component scores in a partition of the training rows; a tree is a Spark job or more per level, so
+#: a small target should not be many tasks.
+PART_VALUES = 4_000_000
 
 
 def tree_depth(model: str, params: dict[str, float]) -> int:
@@ -52,6 +56,13 @@ def with_vector(rows: DataFrame, count: int) -> DataFrame:
     return rows.withColumn("vector", array_to_vector(F.slice("features", 1, count)))
 
 
+def held_rows(rows: DataFrame, n: int, width: int) -> DataFrame:
+    """``rows`` for many fits: dealt by sample to partitions of an even size, in a fixed order, so that fits on
+    the same samples agree, and kept in memory or on disk. A lost part is read from the table again."""
+    parts = max(1, -(-n * max(width, 1) // PART_VALUES))
+    return rows.repartition(parts, "ssn").sortWithinPartitions("ssn").persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def fit_boosting(rows: DataFrame, n: int, model: str, params: dict[str, float], seed: int = 42) -> GBTRegressionModel:
     """``rows`` is ``(y, features)`` of the ``n`` training samples."""
     context = rows.sparkSession.sparkContext
@@ -63,3 +74,14 @@ def fit_boosting(rows: DataFrame, n: int, model: str, params: dict[str, float],
 
 def predict_boosting(fitted: GBTRegressionModel, rows: DataFrame, params: dict[str, float]) -> DataFrame:
     return fitted.transform(with_vector(rows, int(params["pca_n_components"]))).drop("vector")
+
+
+def staged_r2(fitted: GBTRegressionModel, rows: DataFrame, params: dict[str, float], lengths: list[int]) -> list[float | None]:
+    """R² on ``rows`` with the first 1, 2, ... trees, at the given numbers of trees, from two scans. None where
+    the values do not vary."""
+    vectors = with_vector(rows, int(params["pca_n_components"])).select("y", "vector")
+    spread = vectors.agg(F.var_pop("y")).first()[0]
+    if not spread:
+        return [None] * len(lengths)
+    errors = fitted.evaluateEachIteration(vectors, "squared")
+    return [1 - errors[min(n, len(errors)) - 1] / spread for n in lengths]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from threading import get_ident
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -14,7 +15,7 @@ from edaphon.modelling import search as S
 from edaphon.modelling.networks import Network, predict_networks, train_networks
 from edaphon.modelling.score import log_target, ranked, regression_metrics
 from edaphon.modelling.split import TEST, with_exact_folds, with_folds
-from edaphon.modelling.trees import fit_boosting, predict_boosting
+from edaphon.modelling.trees import fit_boosting, held_rows, predict_boosting, staged_r2
 from edaphon.session import fresh_path, materialise
 
 # The fields of a result row.
@@ -30,11 +31,14 @@ PREDICTIONS = ["target", "ssn", "model", "y", "yhat"]
 
 @dataclass
 class Options:
-    """Budgets of the search. Linear trials cost no data pass; tree and network trials do."""
+    """Budgets of the search. Linear trials cost no data pass; tree and network trials do. A boosted draw is
+    fitted once a fold, with the most trees, and scored at every number in ``tree_lengths``; each is a
+    trial, so 100 tree trials at nine lengths are 12 fits a fold."""
 
     models: list[str] = field(default_factory=lambda: list(S.SPACE))
     linear_trials: int = 100
     tree_trials: int = 100
+    tree_lengths: tuple[int, ...] = S.LENGTHS
     network_trials: int = 100
     startup_trials: int = S.STARTUP_TRIALS  # trials that are never pruned
     folds: int = 5
@@ -43,8 +47,7 @@ class Options:
     seed: int = 42
     network_rounds: int = 1500
     log_targets: tuple[str, ...] = ()
-    parallel: int = 4
-    overrides: dict[str, float] = field(default_factory=dict)
+    parallel: int = 8  # fits side by side; each is a chain of small jobs
 
 
 @dataclass
@@ -126,14 +129,11 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
     limits, skipped = usable_targets(S.bounds(shape), list(study.shift_y))
 
     def trials_of(models: list[str], count: int) -> DataFrame:
-        drawn = S.candidates(limits, count, options.seed, [m for m in options.models if m in models])
-        forced = F.create_map(*[part for k, v in options.overrides.items() for part in (F.lit(k), F.lit(float(v)))])
-        if not options.overrides:
-            return drawn
-        keys = F.map_keys("params")
-        kept = F.map_filter(forced, lambda k, _: F.array_contains(keys, k))
-        rest = F.map_filter("params", lambda k, _: ~F.map_contains_key(kept, k))
-        return drawn.withColumn("params", F.map_concat(rest, kept))
+        named = [m for m in options.models if m in models]
+        if models is not BOOSTED:
+            return S.candidates(limits, count, options.seed, named)
+        draws = -(-count // len(options.tree_lengths))
+        return S.staged(S.candidates(limits, draws, options.seed, named), options.tree_lengths)
 
     budgets = [(S.LINEAR, options.linear_trials), (BOOSTED, options.tree_trials), ([NETWORK], options.network_trials)]
     wanted = [(m, n) for m, n in budgets if n > 0 and set(m) & set(options.models)]
@@ -161,7 +161,9 @@ def evaluate(gold: DataFrame, points: int, options: Options | None = None) -> Ev
         rows, n, available = projections.of(target, TEST)
         train, test = rows.filter(F.col("fold") >= 0), rows.filter(F.col("fold") == TEST)
         if model in BOOSTED:
+            train = held_rows(train, n, available)
             fitted = boosted[target, model] = fit_boosting(train, n, model, params, options.seed)
+            train.unpersist()
             predicted = predict_boosting(fitted, test, params)
         else:
             network = networks[target, model] = network_of(params, available)
@@ -199,12 +201,25 @@ def _cross_validate(heavy: list[dict], projections: Projections, options: Option
         number = F.col("fold")
         return rows.filter((number >= 0) & (number != fold)), rows.filter(number == fold), n, available
 
-    def boosted(job) -> tuple:
-        trial, fold = job
-        train, held, n, _ = parts(trial["target"], fold)
-        fitted = fit_boosting(train, n, trial["model"], trial["params"], options.seed)
-        scored = _r2(predict_boosting(fitted, held, trial["params"]), []).collect()
-        return trial["target"], trial["model"], trial["trial"], fold, scored[0]["score"]
+    def boosted(job) -> list[tuple]:
+        """All trials of one draw: the longest is fitted, the others are its first trees."""
+        own, fold, (train, held, n) = job
+        spark = projections.rows.sparkSession
+        # a pool each, so that a long fit does not hold up the short ones (where spark.scheduler.mode is FAIR)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{get_ident()}")
+        first = max(own, key=lambda t: t["params"]["n_estimators"])
+        fitted = fit_boosting(train, n, first["model"], first["params"], options.seed)
+        found = staged_r2(fitted, held, first["params"], [int(t["params"]["n_estimators"]) for t in own])
+        return [(t["target"], t["model"], t["trial"], fold, score) for t, score in zip(own, found)]
+
+    def draws() -> dict[tuple, list[dict]]:
+        """Trials left, by what they share: everything but the number of trees."""
+        out: dict[tuple, list[dict]] = {}
+        for t in heavy:
+            if t["model"] in BOOSTED:
+                rest = sorted((k, v) for k, v in t["params"].items() if k != "n_estimators")
+                out.setdefault((t["target"], t["model"], *rest), []).append(t)
+        return out
 
     def network(job) -> list[tuple]:
         target, fold = job
@@ -218,9 +233,16 @@ def _cross_validate(heavy: list[dict], projections: Projections, options: Option
     scored: list[tuple] = []
     with ThreadPoolExecutor(options.parallel) as pool:
         for fold in range(options.folds):
-            trees = [(t, fold) for t in heavy if t["model"] in BOOSTED]
+            left, kept = draws(), {}
+            for target in sorted({own[0]["target"] for own in left.values()}):
+                train, held, n, available = parts(target, fold)
+                kept[target] = (held_rows(train, n, available), held, n)
+            trees = [(own, fold, kept[own[0]["target"]]) for own in left.values()]
             nets = [(t, fold) for t in sorted({t["target"] for t in heavy if t["model"] == NETWORK})]
-            scored += pool.map(boosted, trees)
+            for part in pool.map(boosted, trees):
+                scored += part
+            for train, _, _ in kept.values():
+                train.unpersist()
             for part in pool.map(network, nets):
                 scored += part
             # a trial that falls behind after this fold is not tried on the next

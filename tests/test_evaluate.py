@@ -8,6 +8,7 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
 from edaphon.modelling import score as R
+from edaphon.modelling import trees
 from edaphon.modelling.networks import Network, network_groups, predict_networks, sharded, train_networks
 from edaphon.modelling.trees import regressor, tree_depth
 from edaphon.plans import evaluate as E
@@ -122,7 +123,7 @@ def test_early_stopping(spark):
     assert 10 < len(history.loss) < 61
 
 
-def test_tree_mapping():
+def test_tree_mapping(spark):
     params = {"max_depth": 8, "num_leaves": 15, "n_estimators": 100, "learning_rate": 0.1, "subsample": 0.7,
               "colsample_bytree": 0.6, "reg_alpha": 1.0, "reg_lambda": 2.5}
     assert tree_depth("XGBoost", params) == 8 and tree_depth("LightGBM", params) == 4
@@ -169,7 +170,7 @@ def test_evaluation(spark, tmp_path):
     options = Options(
         linear_trials=25, tree_trials=1, network_trials=1, folds=2, network_rounds=4, log_targets=("p",), exact_sizes=True,
         models=["Ridge", "PLS", "ElasticNet", "ElasticNet_SelectKBest", "Lasso", "XGBoost", "MLP"],
-        overrides={"n_estimators": 3, "max_depth": 2},
+        tree_lengths=(3,),
     )
     found = evaluate(gold, 40, options)
     results = [r.asDict() for r in found.results.collect()]
@@ -217,8 +218,7 @@ def test_trials_that_fall_behind_stop(spark):
     y = x @ rng.normal(size=12)
     rows = [("t", f"s{i}", float(y[i]), x[i].tolist()) for i in range(150)]
     gold = spark.createDataFrame(rows, "target string, ssn string, y double, spectrum array<double>")
-    options = Options(models=["XGBoost"], tree_trials=4, folds=3, startup_trials=1,
-                      overrides={"n_estimators": 2, "max_depth": 2})
+    options = Options(models=["XGBoost"], tree_trials=4, folds=3, startup_trials=1)
     samples = E.samples_of(gold, options)
     study = E.G.study(samples, 12, 3)
     reduced = E.materialise(study.reduced(), "reduced")
@@ -235,3 +235,34 @@ def test_trials_that_fall_behind_stop(spark):
     for trial, steps in tried.items():
         stopped = [s for t, s in pruned if t == trial]
         assert steps == list(range(min(stopped, default=2) + 1))
+
+
+def test_lengths_of_one_draw_share_a_fit(spark):
+    """Every length scores as a fit of its own would, and trials are numbered draw by draw."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(160, 12))
+    y = x[:, 0] - x[:, 1] ** 2 + 0.1 * rng.normal(size=160)
+    rows = [("t", f"s{i}", float(y[i]), x[i].tolist()) for i in range(160)]
+    gold = spark.createDataFrame(rows, "target string, ssn string, y double, spectrum array<double>")
+    options = Options(models=["LightGBM"], folds=2)
+    study = E.G.study(E.samples_of(gold, options), 12, 2)
+    reduced = E.materialise(study.reduced(), "reduced")
+    limits = E.S.bounds(reduced.filter("holdout = -1").selectExpr("target", "n_train", "12 as points"))
+    drawn = E.S.candidates(limits, 2, models=["LightGBM"])
+    trials = [r.asDict() for r in E.S.staged(drawn, (1, 4, 9)).orderBy("trial").collect()]
+    assert [t["trial"] for t in trials] == list(range(6))
+    assert [t["params"]["n_estimators"] for t in trials] == [1.0, 4.0, 9.0] * 2
+    assert len({t["params"]["learning_rate"] for t in trials}) == 2
+    projections = E.Projections(*E.components(study, reduced))
+    scored = {(trial, fold): r2 for _, _, trial, fold, r2 in E._cross_validate(trials, projections, options)}
+    assert len(scored) == 12
+    for trial in (trials[1], trials[5]):
+        own, n, width = projections.of("t", 1)
+        train = trees.held_rows(own.filter("fold >= 0 and fold != 1"), n, width)
+        assert train.rdd.getNumPartitions() == 1
+        fitted = trees.fit_boosting(train, n, "LightGBM", trial["params"], options.seed)
+        alone = R.regression_metrics(trees.predict_boosting(fitted, own.filter("fold = 1"), trial["params"]), []).first()["test_r2"]
+        train.unpersist()
+        assert np.isclose(scored[trial["trial"], 1], alone)
+    flat = own.filter("fold = 1").withColumn("y", F.lit(1.0))
+    assert trees.staged_r2(fitted, flat, trial["params"], [1, 9]) == [None, None]
