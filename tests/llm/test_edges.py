@@ -1,5 +1,7 @@
 """Empty tables, repeated rows, NULL ids, extra columns with clashing names, and parts on their own."""
 
+import random
+
 import brute
 import numpy as np
 import pytest
@@ -7,7 +9,7 @@ from odd_tables import SCHEMA, odd_rows, write
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from edaphon.llm import licenses, packing, personal_data, quality_rules
+from edaphon.llm import licenses, packing, personal_data, quality_rules, topk
 from edaphon.llm.base import word_count
 from edaphon.llm.graph import components
 from edaphon.llm.line_dedup import remove_repeated_lines
@@ -110,6 +112,33 @@ def test_large_components_stay_exact(spark):
     assert got == [(1, 3 * 10**18 + 2), (2, 3 * 10**18 + 1)]
 
 
+def test_scores_beyond_a_bigint_are_its_ends(spark):
+    rows = [(0, [1e12, 1.0]), (3, [1e12, 0.0]), (2, [2e12, 0.0]), (1, [-1e12, 5.0]), (4, [0.0, 7.0]), (5, [1e300, 0.0]), (6, [-1e300, 0.0])]
+    vectors = integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = [(r["vec_id"], r["score"]) for r in top_k(vectors, F.col("vec_id") == 0, 10).orderBy("rank").collect()]
+    high, low = 2**63 - 1, -(2**63)
+    assert got == [(2, high), (3, high), (5, high), (4, 7 * 1024**2), (1, low), (6, low)]
+
+
+@pytest.mark.parametrize("size", [1, 1 << 40])
+def test_top_k_with_shares_and_other_columns(spark, monkeypatch, size):
+    """Several copies of every block, queries that pass one of them, columns named like the operator's own; against all products."""
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(topk, "SHARE", 2)
+    pick = random.Random(3)
+    rows = [(i, [float(pick.randrange(-4, 5) * size) for _ in range(5)], i, "x", b"y", 1, 2) for i in range(90)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, block int, ids string, data binary, share int, v int")
+    got: dict[int, list[tuple[int, int]]] = {}
+    for r in top_k(integer_vectors(table, scale=1), F.col("vec_id") % 3 == 0, 7).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    high = 2**63 - 1
+    whole = {r[0]: [int(x) for x in r[1]] for r in rows}
+    for q in range(0, 90, 3):
+        scores = [(i, max(-high - 1, min(high, sum(a * b for a, b in zip(whole[q], v))))) for i, v in whole.items() if i != q]
+        assert got[q] == sorted(scores, key=lambda x: (-x[1], x[0]))[:7]
+
+
 def test_targets(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), (None, 100), ("c", 0)], "source string, size long")
     got = {r["source"]: r["target"] for r in source_targets(sizes).collect()}
