@@ -19,6 +19,8 @@ LINEAGE_COLUMNS = [
 ]
 
 
+#: Buckets of the key filter before the spectra move; at most as many numbers are broadcast (8 bytes each, some 64 MB in all).
+FILTER_BUCKETS = 1 << 21
 #: Rows of one key that a task may read or join. What a key exceeds it by, on either side or in the product of both,
 #: is dealt to more tasks, however many that takes.
 HOT_ROWS = 1_000_000
@@ -165,6 +167,21 @@ def merged_labs(labs: dict[str, DataFrame], targets: list[str] = LAB_TARGETS) ->
     )
 
 
+def with_lab_row(spectra: DataFrame, labs: dict[str, DataFrame], buckets: int = FILTER_BUCKETS) -> DataFrame:
+    """``spectra`` without most of those that no laboratory measured, taken out where they lie.
+
+    Keys are hashed to a fixed number of buckets and the buckets that laboratories fill are broadcast, which
+    bounds the broadcast whatever the number of keys. A spectrum that shares a bucket by chance stays,
+    for the join with the laboratories to drop; with many more keys than buckets all stay.
+    """
+
+    def bucket(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(buckets))
+
+    filled = reduce(DataFrame.unionByName, [lab.select(bucket(KEY).alias("_bucket")) for lab in labs.values()]).distinct()
+    return spectra.join(F.broadcast(filled), bucket(KEY) == F.col("_bucket"), "left_semi")
+
+
 def silver_master(spectra: DataFrame, labs: dict[str, DataFrame], targets: list[str] = LAB_TARGETS) -> DataFrame:
     """Targets of every sample with its spectrum, NULL where it was not scanned.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from edaphon.functions.spectrum import narrow
 from edaphon.operators import quality as Q
 from edaphon.operators.gold import FAILED, GOLD_TARGETS, audit_rows, gold_tidy, spectral_points, written_counts
-from edaphon.operators.reconcile import silver_master
+from edaphon.operators.reconcile import silver_master, with_lab_row
 from edaphon.plans.evaluate import Evaluation, Options, evaluate, save_models
 from edaphon.session import materialise
 from edaphon.sinks.copy import copy_counters, copy_objects
@@ -80,7 +80,7 @@ def run_silver(spark: SparkSession, lake: Lake, decoder: Decoder, run_ts: str) -
     decoded = materialise(decode(scan_spectra(spark, bronze), decoder), "decoded")
     write_report(decode_status(decoded), lake.path("validations", "spectra"), run_ts)
     spectra = require_spectra(spectra_base(decoded, written=True))
-    path, used = write_silver(silver_master(spectra, labs), lake.path("silver"))
+    path, used = write_silver(silver_master(with_lab_row(spectra, labs), labs), lake.path("silver"))
     if used != "parquet":
         raise RuntimeError(f"Silver was saved as CSV below {path}; metrics need the Parquet table")
     silver = spark.read.parquet(path)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edaphon.functions.keys import blank_to_null, snake_name_of
+from edaphon.functions.keys import blank_to_null, snake_name_of, with_clean_key
 from edaphon.functions.spectrum import lengthen, widen
 from edaphon.operators import quality as Q
 from edaphon.operators.dedup import first_per_key
-from edaphon.operators.reconcile import LINEAGE_COLUMNS, coalesced_targets, lab_join
+from edaphon.operators.reconcile import LINEAGE_COLUMNS, coalesced_targets, lab_join, silver_master, with_lab_row
 from edaphon.queries.registry import query
 from edaphon.queries.views import (
     LABS_SQL,
@@ -50,6 +52,13 @@ def silver_wide(spark: SparkSession, sf: str) -> DataFrame:
     return widen(silver(spark, sf), POINTS)
 
 
+@query("silver_filtered_spectra", f"with {SILVER_SQL} select ssn, {TARGET_LIST}, {WIDE_SQL} from silver")
+def silver_filtered_spectra(spark: SparkSession, sf: str) -> DataFrame:
+    """Spectra that no laboratory measured are taken out before the join, as the Silver job does."""
+    measured = labs(spark, sf)
+    return widen(silver_master(with_lab_row(spectra(spark, sf), measured), measured), POINTS)
+
+
 @query("key_blank_to_null", f"with {LABS_SQL} select c.ssn as clean_key, o.o_orderkey from orders o join (select "
        "o_orderkey, case when o_orderkey % 97 = 0 then null else concat('icr', lpad(cast(o_custkey as varchar), "
        "12, '0')) end as ssn from orders) c using (o_orderkey)")
@@ -370,6 +379,53 @@ def silver_write_read(spark: SparkSession, sf: str) -> DataFrame:
     return widen(spark.read.format(used).load(path), POINTS)
 
 
+@query("silver_csv_fallback", f"with {SILVER_SQL} select ssn, {TARGET_LIST}, {WIDE_SQL} from silver")
+def silver_csv_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver where Parquet cannot be written (a codec that is not installed): the CSV it leaves, read back."""
+    codec = "spark.sql.parquet.compression.codec"
+    before = spark.conf.get(codec)
+    spark.conf.set(codec, "lzo")
+    try:
+        path, used = write_silver(silver(spark, sf), points=POINTS)
+    finally:
+        spark.conf.set(codec, before)
+    if used != "csv":
+        raise RuntimeError(f"expected CSV, Silver was saved as {used}")
+    columns = ["ssn string", *[f"{t} double" for t in TARGETS], *[f"wn_{i} double" for i in range(POINTS)]]
+    return read_report(spark, path, ", ".join(columns))
+
+
+GUARDED = ["benchmark", "conversations", "documents", "events", "labels", "pages"]
+
+
+@query(
+    "key_column_guard",
+    " union all ".join(
+        f"select '{t}' as table_name, count(*) as table_rows, count(case when trim(text) <> '' then 1 end) as clean_keys, "
+        f"null as message from {t}" for t in ("benchmark", "conversations", "documents")
+    )
+    + "".join(
+        f" union all select '{t}', count(*), null, 'table ''{t}'' has no key column ''text''' from {t}"
+        for t in ("events", "labels", "pages")
+    ),
+)
+def key_column_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables asked for a key column: how many keys it holds, or what the guard says of a table without one."""
+    parts = []
+    for name in GUARDED:
+        rows, keys, message = table(spark, sf, name), F.lit(None), F.lit(None)
+        try:
+            rows = with_clean_key(rows, name, "text")
+            keys = F.count("text")
+        except KeyError as error:
+            message = F.lit(error.args[0])
+        parts.append(rows.agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("table_rows"),
+            keys.cast("long").alias("clean_keys"), message.cast("string").alias("message"),
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(
     "schema_report",
     f"with {SILVER_SQL} select 'ssn' as column_name, 'string' as type, count(ssn) as filled from silver union all "

@@ -41,6 +41,17 @@ def test_silver_moves_each_side_once(shuffling, sf):
     assert plan.count("Exchange hashpartitioning") == 2 and "partial_min" in plan
 
 
+def test_unmeasured_spectra_leave_before_they_move(shuffling, sf):
+    plan = plan_of(QUERIES["silver_filtered_spectra"](shuffling, sf))
+    lines = plan.split("\n")
+    semi = next(i for i, line in enumerate(lines) if "LeftSemi" in line and "BroadcastHashJoin" in line)
+    depth = lines[semi].index("BroadcastHashJoin")
+    above = [line for line in lines[:semi] if "Exchange hashpartitioning" in line and line.index("Exchange") < depth]
+    assert above  # the exchange of the join lies over the filter
+    below = lines[semi + 1 : next(i for i in range(semi + 1, len(lines)) if "BroadcastExchange" in lines[i])]
+    assert not any("Exchange" in line for line in below)  # and none under it on the side of the spectra
+
+
 def test_one_row_per_key_is_cut_before_the_shuffle(shuffling, sf):
     plan = plan_of(QUERIES["dedup_by_key"](shuffling, sf))
     exchange = plan.index("Exchange hashpartitioning")

@@ -4,6 +4,7 @@ import pytest
 from oracle import compare
 
 import __spark_entry__ as entry
+from edaphon.operators.gold import DUPLICATES, EMPTY, FAILED, INVALID, SUCCESS
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
@@ -27,3 +28,9 @@ def test_query_runs(name, spark, sf):
 def test_entry(spark):
     frame = entry.entry(spark)
     assert frame.count() > 0 and frame.columns[0] == "ssn"
+
+
+def test_audit_reaches_every_status(spark, sf):
+    found = {r["gold_name"]: r for r in QUERIES["gold_audit_statuses"](spark, sf).collect()}
+    assert {r["status"] for r in found.values()} == {FAILED, EMPTY, DUPLICATES, INVALID, SUCCESS}
+    assert found["exbas"]["error_message"] == "Target exbas não existe" and found["ecec"]["output_rows"] == 0

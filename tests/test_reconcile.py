@@ -7,7 +7,15 @@ from edaphon.functions.spectrum import narrow, widen
 from edaphon.operators import gold as O
 from edaphon.operators import quality as Q
 from edaphon.operators.dedup import first_per_key, without_repeats
-from edaphon.operators.reconcile import coalesced_targets, full_outer, hot_cells, lab_join, merged_labs, silver_master
+from edaphon.operators.reconcile import (
+    coalesced_targets,
+    full_outer,
+    hot_cells,
+    lab_join,
+    merged_labs,
+    silver_master,
+    with_lab_row,
+)
 from edaphon.sources.lab_tables import LAB_TARGETS
 
 NAN = float("nan")
@@ -240,3 +248,26 @@ def test_guards(spark):
             O.gold_table(silver.drop(missing), "ph", 1)
     with pytest.raises(ValueError, match="wn_"):
         narrow(silver)
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 1 << 21])
+def test_key_filter_keeps_what_laboratories_measured(spark, buckets):
+    """Keys that share a bucket by chance stay and do no harm; NULL keys and empty laboratories neither."""
+    schema = "SSN string, pH double"
+    labs = {
+        "rres": spark.createDataFrame([("icr1", 1.0), (None, 2.0)], schema),
+        "icraf": spark.createDataFrame([("icr2", 3.0), ("icr1", 4.0)], schema),
+        "cropnuts": spark.createDataFrame([], schema),
+    }
+    scans = [(f"icr{i}", [float(i)]) for i in range(50)] + [(None, [0.0])]
+    spectra = spark.createDataFrame(scans, "SSN string, spectrum array<double>")
+    kept = with_lab_row(spectra, labs, buckets)
+    assert kept.columns == spectra.columns
+    keys = {r["SSN"] for r in kept.collect()}
+    assert {"icr1", "icr2"} <= keys and (buckets == 1) == (len(keys) == 51)
+    if buckets > 3:
+        assert keys <= {"icr1", "icr2", None}
+    plain, filtered = (silver_master(s, labs, ["pH"]).orderBy("ssn").collect() for s in (spectra, kept))
+    assert plain == filtered and [r["spectrum"] for r in filtered] == [None, [1.0], [2.0]]
+    nothing = {n: lab.limit(0) for n, lab in labs.items()}
+    assert with_lab_row(spectra, nothing, buckets).count() == 0
