@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from threading import get_ident
@@ -231,20 +232,27 @@ def _cross_validate(heavy: list[dict], projections: Projections, options: Option
         return [(target, NETWORK, own[r["net"]]["trial"], fold, r["score"]) for r in _r2(scored, ["net"]).collect()]
 
     scored: list[tuple] = []
+    studies = Counter((t["target"], t["model"]) for t in heavy)
+    # so few trials are never pruned: their folds need not wait for each other
+    together = max(studies.values(), default=0) <= options.startup_trials
+    waves = [list(range(options.folds))] if together else [[fold] for fold in range(options.folds)]
     with ThreadPoolExecutor(options.parallel) as pool:
-        for fold in range(options.folds):
+        for wave in waves:
             left, kept = draws(), {}
             for target in sorted({own[0]["target"] for own in left.values()}):
-                train, held, n, available = parts(target, fold)
-                kept[target] = (held_rows(train, n, available), held, n)
-            trees = [(own, fold, kept[own[0]["target"]]) for own in left.values()]
-            nets = [(t, fold) for t in sorted({t["target"] for t in heavy if t["model"] == NETWORK})]
+                for fold in wave:
+                    train, held, n, available = parts(target, fold)
+                    kept[target, fold] = (held_rows(train, n, available), held, n)
+            trees = [(own, fold, kept[own[0]["target"], fold]) for own in left.values() for fold in wave]
+            nets = [(t, fold) for t in sorted({t["target"] for t in heavy if t["model"] == NETWORK}) for fold in wave]
             for part in pool.map(boosted, trees):
                 scored += part
             for train, _, _ in kept.values():
                 train.unpersist()
             for part in pool.map(network, nets):
                 scored += part
+            if together:
+                continue
             # a trial that falls behind after this fold is not tried on the next
             judged = S.prune(projections.rows.sparkSession.createDataFrame(scored, SCORES), STUDY, options.startup_trials)
             behind = {(r["target"], r["model"], r["trial"]) for r in judged.filter("pruned").collect()}
