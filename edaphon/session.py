@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: The folder of a local process without the setting.
+_own: list[str] = []
+
 
 def local_session(cores: str | int = "*", name: str = "edaphon") -> SparkSession:
     """A session for tests and benches; a cluster brings its own."""
@@ -38,9 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix="edaphon-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    if not _own:  # kept here, since a running session does not take the setting any more
+        _own.append(tempfile.mkdtemp(prefix="edaphon-"))
+    return _own[0]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
