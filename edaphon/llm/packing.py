@@ -18,12 +18,12 @@ repeat are packed as often as they occur; a NULL id stays NULL.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -41,11 +41,16 @@ STEP, RATE, PROGRESS, GROWTH = 0.1, 0.1, 0.01, 8
 LONG, NEAR = (0.1, 1.0, 3.0), 0.002
 #: Ranks of a length are counted in as many parts as there are partitions, from so many rows a part on.
 PART_ROWS = 5_000
-#: Words a task remembers, words it learns at once, and characters it takes apart at once; they bound its memory.
-CACHE, LEARNED = 600_000, 20_000
-CHUNK_CHARS = 2_000_000
+#: Bytes of units and ids a task remembers, units it learns at once, and characters it takes apart at once; they
+#: bound its memory.
+CACHE, LEARNED = 64_000_000, 20_000
+CHUNK_CHARS = 4_000_000
 
-SPACE = re.compile(r"\s").search
+#: A unit without white space but the newline in front.
+PLAIN = "\\A\n?[^" + "".join(filter(str.isspace, map(chr, range(0x3001)))) + "]+\\z"
+#: Marks that are taken off, and the characters before them: ASCII digits, and letters up to U+024F.
+MARKS = '.,;:!?)"'
+LETTERS = [c for c in map(chr, range(0x250)) if c in "0123456789" or c.isalpha()]
 
 PIECES = "doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint"
 
@@ -53,9 +58,11 @@ PIECES = "doc_id bigint, piece int, start bigint, length int, ids_crc32 bigint"
 class Encoder:
     """Token ids as little-endian unsigned 32-bit bytes.
 
-    The byte-level vocabulary cuts a text before each space that follows a non-space, and around a
-    newline between non-spaces. So words are encoded once and looked up after; texts with any other
-    white space are encoded whole.
+    The byte-level vocabulary cuts a text before each space that follows a non-space, around a newline
+    between non-spaces, and between a letter or digit and a punctuation mark. So texts are taken apart there,
+    in columns: a unit is a word behind a space, or a newline with the word behind it; a mark at its end is
+    taken off. Different units of a chunk are looked up once, what is new is encoded, and the ids go to all
+    places in one gather. Texts with any other white space are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -63,53 +70,70 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.newline = self.whole("\n")
-        #: ids that begin with a space, which only a word's first id does
+        #: ids that open a unit: those that begin with a space, which only a word's first id does, and the newline
         self.opens = np.zeros(1 + max(self.tokenizer.get_vocab().values()), dtype=bool)
         self.opens[[i for token, i in self.tokenizer.get_vocab().items() if token.startswith("\u0120")]] = True
-        self.first: dict[str, bytes | None] = {}
-        self.rest: dict[str, bytes | None] = {}
+        self.opens[np.frombuffer(self.newline, "<u4")] = True
+        self.marks = pa.array([*map(self.whole, MARKS), b""], pa.large_binary())
+        #: units, written without their space, and their ids; none: white space that units do not cover
+        self.units, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def learn(self, cache: dict, words: set[str], lead: str) -> None:
-        cache.update(dict.fromkeys(words))
-        if SPACE("".join(words)):
-            words = [w for w in words if not SPACE(w)]
-        plain = [w for w in words if w]
-        for start in range(0, len(plain), LEARNED):  # what the library returns for a text is many times the text
-            self.learn_some(cache, plain[start : start + LEARNED], lead)
-
-    def learn_some(self, cache: dict, plain: list[str], lead: str) -> None:
-        if lead:  # one text for all, taken apart where a word opens
-            ids = np.array(self.tokenizer.encode_batch_fast([lead + lead.join(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
-            at = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), 4 * len(ids)]
-            if len(at) == len(plain) + 1:
-                body = ids.tobytes()
-                cache.update(zip(plain, map(body.__getitem__, map(slice, at, at[1:]))))
-                return
-        for word, found in zip(plain, self.tokenizer.encode_batch_fast([lead + w for w in plain], add_special_tokens=False)):
-            cache[word] = np.array(found.ids, dtype="<u4").tobytes()
+    def learn(self, units: pa.Array) -> pa.Array:
+        """The ids of units that were not met before."""
+        plain = pc.match_substring_regex(units, PLAIN)
+        texts = pc.binary_join_element_wise(pc.if_else(pc.starts_with(units, "\n"), string(""), string(" ")), units, string("")).filter(plain)
+        # what the library returns for a text is many times the text
+        found = [self.learn_some(texts.slice(k, LEARNED).to_pylist()) for k in range(0, len(texts), LEARNED)]
+        known = pa.concat_arrays([*found, self.marks.slice(len(MARKS))])
+        plain = plain.to_numpy(zero_copy_only=False)
+        return known.take(pa.array(np.where(plain, np.cumsum(plain) - 1, len(texts))))
+
+    def learn_some(self, texts: list[str]) -> pa.Array:
+        # one text for all, taken apart where a unit opens
+        ids = np.array(self.tokenizer.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, dtype="<u4")
+        at = np.append(4 * np.flatnonzero(self.opens[ids]), 4 * len(ids)).astype(np.int64)
+        if len(at) == len(texts) + 1:
+            return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(at), pa.py_buffer(ids)])
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return pa.array([np.array(f.ids, dtype="<u4").tobytes() for f in found], pa.large_binary())
+
+    def look_up(self, units: pa.Array) -> pa.Array:
+        """The ids of different units."""
+        last = pc.index_in(pc.utf8_slice_codeunits(units, -1), pa.array(list(MARKS), pa.large_string()))
+        behind = pc.is_in(pc.utf8_slice_codeunits(units, -2, -1), pa.array(LETTERS, pa.large_string()))
+        marked = pc.and_(last.is_valid(), behind)
+        words = pc.if_else(marked, pc.utf8_slice_codeunits(units, 0, -1), units)
+        before = len(self.units)
+        # units met before are different and come first, so they keep their places
+        coded = pa.concat_arrays([self.units, words]).dictionary_encode()
+        self.ids = pa.concat_arrays([self.ids, self.learn(coded.dictionary.slice(before))])
+        self.units, at = coded.dictionary, coded.indices.slice(before)
+        found = self.ids.take(at)
+        marks = self.marks.take(pc.if_else(pc.and_(marked, pc.greater(pc.binary_length(found), 0)), last, len(MARKS)))
+        if self.units.nbytes + self.ids.nbytes > CACHE:  # what is in use stays
+            kept = at.unique()
+            self.units, self.ids = self.units.take(kept), self.ids.take(kept)
+        return pc.binary_join_element_wise(found, marks, pa.scalar(b"", pa.large_binary()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        lines = [[line.split(" ") for line in text.split("\n")] for text in texts]
-        first = {line[0] for doc in lines for line in doc}
-        rest = {w for doc in lines for line in doc for w in line[1:]}
-        for cache, words, lead in ((self.first, first, ""), (self.rest, rest, " ")):
-            missing = words - cache.keys()
-            if missing and len(cache) + len(missing) > CACHE:
-                kept = {w: cache[w] for w in words & cache.keys()}  # what is in use stays
-                cache.clear()
-                cache.update(kept)
-            if missing:
-                self.learn(cache, missing, lead)
-        out = []
-        for text, doc in zip(texts, lines):
-            try:
-                out.append(self.newline.join([b"".join([self.first[line[0]], *map(self.rest.__getitem__, line[1:])]) for line in doc]))
-            except TypeError:  # a None: white space the words do not cover
-                out.append(self.whole(text))
-        return out
+        # a newline in front makes the first word a unit like others; its id is left out below
+        lines = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n")
+        words = pc.split_pattern(pc.binary_join_element_wise(string("\n"), lines, string("")), " ")
+        coded = words.values.dictionary_encode()
+        ids = self.look_up(coded.dictionary).take(coded.indices)
+        at, size = words.offsets.to_numpy(), pc.binary_length(ids).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(size)])
+        gaps = np.concatenate([[0], np.cumsum(size == 0)])
+        body = memoryview(ids.buffers()[2] or b"")
+        starts, stops, covered = (ends[at[:-1]] + len(self.newline)).tolist(), ends[at[1:]].tolist(), (np.diff(gaps[at]) == 0).tolist()
+        return [bytes(body[a:b]) if c else self.whole(text) for text, a, b, c in zip(texts, starts, stops, covered)]
+
+
+def string(text: str) -> pa.Scalar:
+    return pa.scalar(text, pa.large_string())
 
 
 def cut(size: int, capacity: int) -> list[tuple[int, int]]:
